@@ -113,10 +113,9 @@ def mask_cards(text: Column) -> Column:
     """Runs of 13-19 digits (single spaces or hyphens allowed) become ``<CARD>`` when the
     Luhn check passes; ``STRUCT<text, hits BIGINT>``."""
     runs = F.regexp_extract_all(text, F.lit(r"\b(?:\d[ \-]?){12,18}\d\b"), 0)
-    good = F.array_distinct(F.filter(
-        runs, lambda r: F.luhn_check(F.regexp_replace(r, r"[^0-9]", ""))))
-    hits = F.size(F.filter(
-        runs, lambda r: F.luhn_check(F.regexp_replace(r, r"[^0-9]", ""))))
+    valid = F.filter(runs, lambda r: F.call_function(
+        "luhn_check", F.regexp_replace(r, r"[^0-9]", "")))
+    good, hits = F.array_distinct(valid), F.size(valid)
     # longest first, so that a run inside a longer one never breaks it
     ordered = F.reverse(F.array_sort(F.transform(
         good, lambda r: F.struct(F.length(r).alias("n"), r.alias("r")))))
