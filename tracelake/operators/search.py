@@ -140,14 +140,43 @@ def viewer_tags(owner: Column, team: Column, unlocked: Column, scope: str = "aut
     return {"personal": mine, "community": community, "auto": F.concat(mine, community)}[scope]
 
 
+def visible_rows(experiences: DataFrame, owner: str, team: str, unlocked: bool,
+                 scope: str = "auto") -> DataFrame:
+    """Rows one viewer may see: a filter on visibility tags, no join."""
+    tags = viewer_tags(F.lit(owner), F.lit(team), F.lit(unlocked), scope)
+    return experiences.filter(F.arrays_overlap(visibility_tags(
+        F.col("owner"), F.col("acl"), F.col("publish_status"), F.col("review_status"),
+        F.col("sanitization_status")), tags))
+
+
 def acl_join(viewers: DataFrame, experiences: DataFrame) -> DataFrame:
-    """(viewer, experience_id) a viewer may see, as an equi-join on visibility tags."""
-    v = viewers.select("viewer", F.explode(viewer_tags(
-        F.col("owner"), F.col("team"), F.col("unlocked"))).alias("tag"))
-    e = experiences.select("experience_id", F.explode(visibility_tags(
+    """(viewer, n_own, n_team, n_community, n_visible): what each viewer may see.
+
+    Rows are counted per tag first, and own rows also seen through a team or the community
+    are taken out by their (owner, tag) count. Every join is an equi-join between counts, so
+    viewer-row pairs never exist.
+    """
+    e = experiences.select("owner", visibility_tags(
         F.col("owner"), F.col("acl"), F.col("publish_status"), F.col("review_status"),
-        F.col("sanitization_status"))).alias("tag"))
-    return v.join(e, "tag").select("viewer", "experience_id").distinct()
+        F.col("sanitization_status")).alias("t")).filter(F.size("t") > 0).select(
+        "owner", F.get("t", F.lit(1)).alias("shared"))
+    both = e.groupBy("owner", "shared").agg(F.count(F.lit(1)).alias("n"))
+    own = both.groupBy("owner").agg(F.sum("n").alias("n_own"))
+    pairs = both.filter("shared IS NOT NULL")
+    per_tag = pairs.groupBy("shared").agg(F.sum("n").alias("n_tag"))
+    v = viewers.select("viewer", "owner", F.explode(F.filter(F.array(
+        F.concat(F.lit("team:"), "team"), F.when(F.col("unlocked"), F.lit("community"))),
+        lambda x: x.isNotNull())).alias("shared"))
+    seen = (v.join(per_tag, "shared", "left").join(pairs, ["owner", "shared"], "left")
+            .withColumn("extra", F.coalesce("n_tag", F.lit(0)) - F.coalesce("n", F.lit(0)))
+            .groupBy("viewer").agg(
+                F.sum(F.when(F.col("shared") != "community", F.coalesce("n_tag", F.lit(0))).otherwise(0)).alias("n_team"),
+                F.sum(F.when(F.col("shared") == "community", F.coalesce("n_tag", F.lit(0))).otherwise(0)).alias("n_community"),
+                F.sum("extra").alias("extra")))
+    out = viewers.join(own, "owner", "left").join(seen, "viewer", "left")
+    n_own = F.coalesce("n_own", F.lit(0).cast("long"))
+    return out.select("viewer", n_own.alias("n_own"), "n_team", "n_community",
+                      (n_own + F.col("extra")).alias("n_visible"))
 
 
 def acl_filtered_search(queries: DataFrame, experiences: DataFrame, k: int = TOP_K,

@@ -94,11 +94,18 @@ def merge_scopes(spark, sf):
     return rounded(op.merge_scopes(p, c, 5))
 
 
-@case("acl_join", f"WITH {EXP_CTE}, {VIEW_CTE} SELECT query_id AS viewer, experience_id FROM v, e WHERE {LIVE} AND ({MINE} OR {TEAM} OR {PUBLIC})")
+@case("acl_join", f"""WITH {EXP_CTE}, {VIEW_CTE} SELECT query_id AS viewer, count(*) FILTER ({LIVE} AND {MINE}) AS n_own,
+ count(*) FILTER ({LIVE} AND {TEAM}) AS n_team, count(*) FILTER ({LIVE} AND {PUBLIC}) AS n_community,
+ count(*) FILTER ({LIVE} AND ({MINE} OR {TEAM} OR {PUBLIC})) AS n_visible FROM v, e GROUP BY query_id""")
 def acl_join(spark, sf):
     return op.acl_join(viewers(spark, sf).withColumnRenamed("query_id", "viewer"), experiences(spark, sf))
 
 
+@case("visible_rows", f"WITH {EXP_CTE}, v AS (SELECT 'o3' AS owner, 'red' AS team, TRUE AS unlocked) SELECT experience_id FROM v, e WHERE {LIVE} AND ({MINE} OR {TEAM} OR {PUBLIC})")
+def visible_rows(spark, sf):
+    return op.visible_rows(experiences(spark, sf), "o3", "red", True).select("experience_id")
+
+
 @case("personal_recent", f"WITH {EXP_CTE} SELECT experience_id, created_at FROM e WHERE owner = 'o3' ORDER BY created_at DESC, experience_id LIMIT 20")
 def personal_recent(spark, sf):
     from tracelake.operators.governance import personal_recent as recent
