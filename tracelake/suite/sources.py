@@ -8,6 +8,7 @@ from tracelake.functions import text as tx
 from tracelake.schema import THINKING_PREFIX
 from tracelake.session import shared_dir
 from tracelake.sources import base, chat, event_log, listing, messages, rollout
+from tracelake.sources.registry import read_traces, register_reader
 from tracelake.suite.cards import flat_sql
 from tracelake.suite.registry import case, table, turns
 
@@ -368,18 +369,28 @@ def raw_manifest(spark, sf):
     return listing.raw_manifest(spark, sf, glob="*.parquet")
 
 
+def _by_folder(parse):
+    def read(spark, path, **options):
+        lines = base.read_lines(spark, path, "*.txt", **options)
+        return parse(lines.withColumn("session_id", F.regexp_extract("path", "session_id=([^/]+)/", 1)))
+    return read
+
+
 @case("union_sources", f"""WITH {RAW_CTE}, a AS ({NUMBERED}), r AS ({ROLE_SQL})
  SELECT 'event_log' AS source, session_id, turn_index, role, content FROM a UNION ALL SELECT 'role_jsonl', session_id, turn_index, role, content FROM r""")
 def union_sources(spark, sf):
     """Through files: lines are written as one file per session group and read back."""
-    from tracelake.sources.registry import read_traces
     out = {}
-    for name, lines in (("event_log", event_lines(spark, sf)), ("role_jsonl", role_lines(spark, sf))):
+    for name, lines in (("event_folders", event_lines(spark, sf)), ("role_folders", role_lines(spark, sf))):
         path = shared_dir(spark, name)
         rows = lines.repartition("session_id").sortWithinPartitions("session_id", "block", "seq")
-        rows.select("session_id", F.col("raw").alias("value")).write.partitionBy("session_id").option("fileExtension", "jsonl").text(path)
+        rows.select("session_id", F.col("raw").alias("value")).write.partitionBy("session_id").text(path)
         out[name] = path
-    return read_traces(spark, out).select("source", "session_id", "turn_index", "role", "content")
+    # the writer names files itself, so here the folder is the session
+    register_reader("event_folders", _by_folder(event_log.event_turns))
+    register_reader("role_folders", _by_folder(messages.role_turns))
+    return read_traces(spark, out).withColumn("source", F.when(
+        F.col("source") == "event_folders", "event_log").otherwise("role_jsonl")).select("source", "session_id", "turn_index", "role", "content")
 
 
 @case("write_tables")
