@@ -5,8 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from functools import reduce
-from operator import or_
+from functools import lru_cache, reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -19,55 +18,56 @@ HITS_TYPE = T.MapType(T.StringType(), T.LongType())
 TREE_TYPE = T.StructType([T.StructField("json", T.StringType()), T.StructField("hits", HITS_TYPE)])
 
 
+def sql_text(value: str) -> str:
+    """SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _spell(pattern: str, unicode_boundary: bool) -> str:
     return ("(?U)" + pattern) if unicode_boundary else pattern
 
 
-def _may_match(text: Column, rule: Rule, unicode_boundary: bool) -> Column:
+def _may_match(text: str, rule: Rule, unicode_boundary: bool) -> str:
     if rule.needs:
-        return reduce(or_, [F.contains(text, F.lit(n)) for n in rule.needs])
-    return F.rlike(text, F.lit(_spell(rule.probe or rule.pattern, unicode_boundary)))
+        return "(" + " OR ".join(f"contains({text}, {sql_text(n)})" for n in rule.needs) + ")"
+    return f"({text} RLIKE {sql_text(_spell(rule.probe or rule.pattern, unicode_boundary))})"
+
+
+@lru_cache(maxsize=64)
+def _fold_sql(rules: tuple[Rule, ...], unicode_boundary: bool) -> str:
+    """One fold over the rule numbers, as SQL text over the variable ``t``.
+
+    The running text is evaluated once per rule and every pattern stays a literal, so it is
+    compiled once per task. Flags say which rules can match the incoming text at all; once a
+    rule has rewritten it, the flag is taken again. Text rather than Column calls because a
+    few thousand of those cost more on the driver than the planning of the query.
+    """
+    probes = list(dict.fromkeys((r.needs, r.probe or r.pattern) for r in rules))
+    by_probe = {(r.needs, r.probe or r.pattern): r for r in rules}
+    cases = []
+    for n, rule in enumerate(rules):
+        pattern = sql_text(_spell(rule.pattern, unicode_boundary))
+        flag = f"s.flags[{probes.index((rule.needs, rule.probe or rule.pattern))}]"
+        again = f"(size(s.seen) > 0 AND {_may_match('s.text', rule, unicode_boundary)})"
+        cases.append(
+            f"WHEN {n} THEN CASE WHEN {flag} OR {again} THEN named_struct("
+            f"'text', regexp_replace(s.text, {pattern}, {sql_text(rule.placeholder)}), "
+            f"'seen', concat(s.seen, array(named_struct('name', '{rule.name}', "
+            f"'n', CAST(regexp_count(s.text, {pattern}) AS BIGINT)))), 'flags', s.flags) ELSE s END")
+    flags = ", ".join(_may_match("t", by_probe[p], unicode_boundary) for p in probes)
+    start = ("named_struct('text', t, 'seen', CAST(array() AS array<struct<name:string,n:bigint>>), "
+             f"'flags', array({flags}))")
+    numbers = ", ".join(str(i) for i in range(len(rules)))
+    return (f"aggregate(array({numbers}), {start}, (s, i) -> CASE i {' '.join(cases)} ELSE s END, "
+            "s -> named_struct('text', s.text, 'hits', map_from_entries(filter(s.seen, e -> e.n > 0))))")
 
 
 def redact(text: Column, rules: tuple[Rule, ...] = DEFAULT_RULES,
            unicode_boundary: bool = False) -> Column:
     """``STRUCT<text STRING, hits MAP<STRING,BIGINT>>``: every rule rewrites the text the
     previous rule left, and its hits are counted on that same text."""
-    rules = tuple(rules)
-    hit_list = "array<struct<name:string,n:bigint>>"
-    probes = list(dict.fromkeys((r.needs, r.probe) for r in rules))
-
-    def apply(rule: Rule, state: Column) -> Column:
-        current, seen = state["text"], state["seen"]
-        pattern = F.lit(_spell(rule.pattern, unicode_boundary))
-        found = F.struct(F.lit(rule.name).alias("name"),
-                         F.regexp_count(current, pattern).cast("long").alias("n"))
-        rewritten = F.struct(
-            F.regexp_replace(current, pattern, F.lit(rule.placeholder)).alias("text"),
-            F.concat(seen, F.array(found)).alias("seen"),
-            state["flags"].alias("flags"))
-        # flags were taken on the incoming text; once a rule has rewritten it, look again
-        guard = state["flags"][probes.index((rule.needs, rule.probe))] | (
-            (F.size(seen) > 0) & _may_match(current, rule, unicode_boundary))
-        return F.when(guard, rewritten).otherwise(state)
-
-    def merge(state: Column, i: Column) -> Column:
-        # one fold over the rule numbers: the running text is evaluated once per rule, and
-        # every pattern stays a literal, so it is compiled once per task
-        cases = F.when(i == 0, apply(rules[0], state))
-        for n, rule in enumerate(rules[1:], start=1):
-            cases = cases.when(i == n, apply(rule, state))
-        return cases.otherwise(state)
-
-    by_probe = {(r.needs, r.probe): r for r in rules}
-    flags = F.array(*[_may_match(text, by_probe[p], unicode_boundary) for p in probes])
-    start = F.struct(text.alias("text"), F.array().cast(hit_list).alias("seen"),
-                     flags.alias("flags"))
-    return F.aggregate(
-        F.array(*[F.lit(i) for i in range(len(rules))]), start, merge,
-        lambda state: F.struct(
-            state["text"].alias("text"),
-            F.map_from_entries(F.filter(state["seen"], lambda e: e["n"] > 0)).alias("hits")))
+    body = _fold_sql(tuple(rules), unicode_boundary)
+    return F.call_function("transform", F.array(text), F.expr(f"t -> {body}")).getItem(0)
 
 
 def redact_text(df: DataFrame, col: str, rules: tuple[Rule, ...] = DEFAULT_RULES,
@@ -100,13 +100,21 @@ def has_high_severity(hits: Column, high: tuple[str, ...] = HIGH_CATEGORIES) ->
                  lambda e: e["key"].isin(*high) & (e["value"] > 0)), F.lit(False))
 
 
-def hit_sums(hits: Column, rules: tuple[Rule, ...] = DEFAULT_RULES) -> Column:
-    """Aggregate: sum of hit maps as one map, by fixed per-category sums (one pass, partial
-    aggregation on the map side, no explode and no second shuffle)."""
-    totals = F.array(*[F.coalesce(F.sum(hits.getItem(r.name)), F.lit(0).cast("long"))
-                       for r in rules])
-    named = F.map_from_arrays(F.array(*[F.lit(r.name) for r in rules]), totals)
-    return F.map_filter(named, lambda _k, v: v > 0)
+def hit_sums(hits: str, rules: tuple[Rule, ...] = DEFAULT_RULES) -> Column:
+    """Aggregate: sum of a hit map column as one map, by fixed per-category sums (one pass,
+    partial aggregation on the map side, no explode and no second shuffle)."""
+    cells = ", ".join(f"'{r.name}', coalesce(sum({hits}['{r.name}']), CAST(0 AS BIGINT))" for r in rules)
+    return F.expr(f"map_filter(map({cells}), (k, v) -> v > 0)")
+
+
+def rule_hit_report(df: DataFrame, hits: str, rules: tuple[Rule, ...] = DEFAULT_RULES) -> DataFrame:
+    """(category, hits, n_texts) over a corpus, in one pass: per-rule sums and counts, laid
+    out as rows only after the aggregation."""
+    cells = ", ".join(
+        f"named_struct('category', '{r.name}', 'hits', coalesce(sum({hits}['{r.name}']), CAST(0 AS BIGINT)), "
+        f"'n_texts', count({hits}['{r.name}']))" for r in rules)
+    return (df.agg(F.expr(f"array({cells})").alias("c")).select(F.explode("c").alias("c"))
+            .select("c.*").filter("n_texts > 0"))
 
 
 def mask_cards(text: Column) -> Column:

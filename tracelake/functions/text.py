@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -75,16 +72,22 @@ def flatten_ws(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"\s+", " "))
 
 
+def _any_of(parts) -> str:
+    return "(?:" + "|".join(f"\\Q{p}\\E" for p in parts) + ")"
+
+
 def starts_with_any(c: Column, prefixes) -> Column:
-    return reduce(or_, [F.startswith(c, F.lit(p)) for p in prefixes])
+    """One anchored pattern over the first characters only."""
+    longest = max(len(p) for p in prefixes)
+    return F.rlike(F.substring(c, 1, longest), F.lit(r"\A" + _any_of(prefixes)))
 
 
 def contains_any(c: Column, parts) -> Column:
-    return reduce(or_, [F.contains(c, F.lit(p)) for p in parts])
+    return F.rlike(c, F.lit(_any_of(parts)))
 
 
 def ends_with_any(c: Column, suffixes) -> Column:
-    return reduce(or_, [F.endswith(c, F.lit(s)) for s in suffixes])
+    return F.rlike(c, F.lit(_any_of(suffixes) + r"\z"))
 
 
 def clip(c: Column, limit: int, keep: int | None = None) -> Column:

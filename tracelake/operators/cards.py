@@ -53,7 +53,7 @@ def card_core(clean: DataFrame, rules: tuple[Rule, ...] = DEFAULT_RULES, task_ty
     named = F.expr("max_by(marker, turn_index) FILTER (WHERE marker IS NOT NULL)")
     cards = rows.groupBy("session_id").agg(
         first.alias("ask"), last.alias("reply"), named.alias("marker"),
-        F.count("reply").alias("n_steps"), hit_sums(F.col("redactions"), rules).alias("redactions"))
+        F.count("reply").alias("n_steps"), hit_sums("redactions", rules).alias("redactions"))
     return cards.select(
         "session_id",
         F.coalesce("ask", F.lit(sc.NO_USER)).alias("query"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tracelake.functions import text as tx
 from tracelake.functions.rules import DEFAULT_RULES
 from tracelake.operators import cards as op
+from tracelake.session import materialize
 from tracelake.suite.registry import (
     case, hits_text, hits_text_sql, q, rule_steps, table, turns, turns_cte,
 )
@@ -99,7 +100,8 @@ SELECT session_id, count(*) FILTER ({REAL_ASSISTANT}) AS n_steps,
   coalesce(string_agg(substring(txt, 1, 280), '|' ORDER BY turn_index) FILTER ({REAL_ASSISTANT}), '') AS steps
 FROM clean GROUP BY session_id""")
 def card_with_steps(spark, sf):
-    clean = op.redact_turns(turns(spark, sf), tool_inputs=False)
+    # three readers of the redacted turns: the rules run once, the result is stored
+    clean = materialize(op.redact_turns(turns(spark, sf), tool_inputs=False), "clean")
     out = op.attach_steps(op.card_core(clean), op.card_steps(clean))
     return out.select("session_id", "n_steps", F.array_join("steps", "|").alias("steps"))
 

@@ -12,7 +12,7 @@ from tracelake.operators import cards as cd
 from tracelake.operators import governance as gv
 from tracelake.suite.cards import CLEAN_SQL, SUMS
 from tracelake.suite.registry import (
-    case, hits_text, hits_text_sql, q, rule_steps, table, turns, turns_cte,
+    case, hits_text, hits_text_sql, q, rule_steps, spread, table, turns, turns_cte,
 )
 
 DOCS = f"WITH {rule_steps('documents', 'text', keep='doc_id, source')}"
@@ -20,7 +20,7 @@ HIGH = " + ".join(f"h_{n}" for n in HIGH_CATEGORIES)
 
 
 def docs(spark, sf):
-    return rd.redact_text(table(spark, sf, "documents").select("doc_id", "source", "text"), "text")
+    return rd.redact_text(spread(table(spark, sf, "documents").select("doc_id", "source", "text")), "text")
 
 
 @case("redact_text", f"{DOCS} SELECT doc_id, txt AS text_redacted FROM r")
@@ -37,7 +37,7 @@ def redaction_counts(spark, sf):
                           f"SELECT session_id, {hits_text_sql()} AS redactions FROM a")
 def redaction_totals(spark, sf):
     clean = cd.redact_turns(turns(spark, sf))
-    return (clean.groupBy("session_id").agg(rd.hit_sums(F.col("redactions")).alias("m"))
+    return (clean.groupBy("session_id").agg(rd.hit_sums("redactions").alias("m"))
             .select("session_id", hits_text("m").alias("redactions")))
 
 
@@ -64,7 +64,7 @@ PAGE_URL = "concat(url, '?from=192.0.2.', CAST(page_id % 250 AS STRING))"
  b AS (SELECT page_id, r.txt AS html, u.txt AS url, {SCOPE_SUMS} FROM r JOIN u ON page_id = pid)
  SELECT page_id, html, url, {hits_text_sql()} AS redactions FROM b""")
 def redact_scope(spark, sf):
-    pages = table(spark, sf, "pages").select("page_id", F.expr(PAGE_URL).alias("url"), "html")
+    pages = spread(table(spark, sf, "pages")).select("page_id", F.expr(PAGE_URL).alias("url"), "html")
     out = rd.redact_scope(pages, ["url", "html"])
     return out.withColumn("redactions", hits_text("redactions"))
 
@@ -82,7 +82,7 @@ CARD_NUMBER = "CASE doc_id % 3 WHEN 0 THEN ' card 4111 1111 1111 1111 end' WHEN
  SELECT b.doc_id, coalesce(n, 0) AS hits, coalesce(list_reduce(list_prepend(t, list_sort(runs)), lambda a, x: replace(a, x, '<CARD>')), t) AS masked
  FROM b LEFT JOIN good USING (doc_id)""")
 def credit_card_luhn(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", F.concat("text", F.expr(CARD_NUMBER)).alias("t"))
+    d = spread(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", F.concat("text", F.expr(CARD_NUMBER)).alias("t"))
     return d.select("doc_id", rd.mask_cards(F.col("t")).alias("m")).select("doc_id", "m.hits", F.col("m.text").alias("masked"))
 
 
@@ -99,7 +99,7 @@ def one_rule(rule, text):
 
 
 def apply_rule(spark, sf, rule, text):
-    d = table(spark, sf, "documents").select("doc_id", F.expr(text).alias("t"))
+    d = spread(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", F.expr(text).alias("t"))
     return d.select("doc_id", rd.redact(F.col("t"), (rule,)).alias("r")).select(
         "doc_id", F.col("r.text").alias("masked"), F.coalesce(F.col("r.hits")[rule.name], F.lit(0).cast("long")).alias("hits"))
 
@@ -123,8 +123,7 @@ def custom_rules(spark, sf):
     f"SELECT '{r.name}' AS category, h_{r.name} AS n FROM r" for r in DEFAULT_RULES)
     + ") SELECT category, CAST(sum(n) AS BIGINT) AS hits, count(*) AS n_texts FROM long WHERE n > 0 GROUP BY category")
 def rule_hit_report(spark, sf):
-    return (docs(spark, sf).select(F.explode("redactions").alias("category", "n")).groupBy("category")
-            .agg(F.sum("n").alias("hits"), F.count(F.lit(1)).alias("n_texts")))
+    return rd.rule_hit_report(docs(spark, sf), "redactions")
 
 
 @case("review_routing", f"""{DOCS} SELECT doc_id, CASE WHEN {HIGH} > 0 THEN 'pending' ELSE 'auto_approved' END AS review_status,
@@ -132,7 +131,7 @@ def rule_hit_report(spark, sf):
   FROM r LEFT JOIN labels USING (doc_id)""".replace("'text'", "'text'").replace(
     "documents)", "(SELECT doc_id, source, concat(text, CASE WHEN doc_id % 5 = 0 THEN ' password = Zq100000000000000x' ELSE '' END) AS text FROM documents))", 1))
 def review_routing(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", F.expr(
+    d = spread(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", F.expr(
         "concat(text, CASE WHEN doc_id % 5 = 0 THEN ' password = Zq100000000000000x' ELSE '' END)").alias("text"))
     cards = d.select("doc_id", rd.redact(F.col("text")).alias("r")).select("doc_id", F.col("r.hits").alias("redactions"))
     verdicts = table(spark, sf, "labels").select("doc_id", (F.col("toxic") == 1).alias("is_sensitive"))

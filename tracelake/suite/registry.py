@@ -32,6 +32,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Ahead of CPU-heavy expressions: an input that comes in fewer pieces than the session
+    has cores is dealt out; an input of many splits is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 # --- derived turns, one SQL text for both engines ----------------------------------------
 
 TURNS_SQL = """
@@ -62,7 +69,7 @@ BASE_SECOND = 1_704_067_200  # 2024-01-01T00:00:00Z
 
 
 def turns(spark: SparkSession, sf: str) -> DataFrame:
-    conv = table(spark, sf, "conversations")
+    conv = spread(table(spark, sf, "conversations"))
     raw = spark.sql(TURNS_SQL, conversations=conv)
     return raw.select(
         "session_id", "conv_id", "turn_index", "role", "content",

@@ -21,7 +21,10 @@ def drained(spark, df, label):
 
 @case("stream_redact", f"WITH {rule_steps('documents', 'text', keep='doc_id')} SELECT doc_id, txt AS text FROM r")
 def stream_redact(spark, sf):
-    return drained(spark, sync.stream_redact(stream(spark, sf, "documents").select("doc_id", "text"), ["text"]), "redact")
+    cores = spark.sparkContext.defaultParallelism
+    few = table(spark, sf, "documents").rdd.getNumPartitions() < cores
+    rows = stream(spark, sf, "documents").select("doc_id", "text")
+    return drained(spark, sync.stream_redact(rows, ["text"], pieces=cores if few else None), "redact")
 
 
 PRINT_SQL = "SELECT DISTINCT 'a' || (doc_id % 3) AS agent_id, sha256(text) AS fingerprint FROM documents"
