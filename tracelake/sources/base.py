@@ -47,10 +47,10 @@ def read_lines(spark: SparkSession, path: str, glob: str | None = None,
 def read_docs(spark: SparkSession, path: str, glob: str | None = None,
               max_kb: int | None = None) -> DataFrame:
     """Whole files: formats that are one JSON document or one markdown page per file."""
-    reader = spark.read.option("recursiveFileLookup", "true").option("wholetext", "true")
+    reader = spark.read.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    docs = reader.text(path).select(
+    docs = reader.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw"),
         F.col("_metadata.file_modification_time").alias("mtime"),
         F.col("_metadata.file_size").alias("size_bytes"))
