@@ -210,3 +210,20 @@ def test_tick(spark):
         "a": "uploaded", "b": "skipped", "c": "skipped", "d": "skipped_consent", "old": "skipped"}
     assert [r["session_id"] for r in todo.collect()] == ["a"]
     assert jobs.tick(turns, ses, seen, None, now)[1].count() == 0
+
+
+def test_chat_numbering_in_a_hot_hour(spark, monkeypatch):
+    from tracelake.sources import chat
+    rnd = random.Random(4)
+    rows = [(i, "ann" if i % 3 else "human", "bob", f"m{i}", "", "", rnd.choice(["", "2024-01-01T10:00:00", "2024-01-01T10:00:01", "2024-01-01T11:00:00"]), f"t{i % 2}")
+            for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, sender string, recipient string, content string, workflow string, stage string, ts string, thread_id string")
+    plain = sorted(chat.chat_to_turns(df).select("session_id", "turn_index", "content").collect())
+    monkeypatch.setattr(scan, "CHUNK", 7)
+    fine = sorted(chat.chat_to_turns(df, hot=5).select("session_id", "turn_index", "content").collect())
+    want = []
+    for t in ("t0", "t1"):
+        mine = sorted((r for r in rows if r[7] == t), key=lambda r: (r[6], r[0]))
+        want += [(t, n, f"[{r[1]}→bob] {r[3]}") for n, r in enumerate(mine)]
+    assert [tuple(r) for r in plain] == sorted(want)
+    assert fine == plain

@@ -104,15 +104,17 @@ def reward_join(experiences: DataFrame, rewards: DataFrame, judge_model: str | N
 def judge_agreement(rewards: DataFrame, dim: str = "outcome") -> DataFrame:
     """Every pair of judges on the turns both scored: (judge_a, judge_b, n, same, mean_gap).
 
-    The judges of one turn are few (they are part of the key), so pairs are made inside the
-    turn and summed; no self-join of the reward table.
+    Turns with the same scores by the same judges are counted together first, so pairs are
+    made from the few distinct score patterns and not from the turns.
     """
     per_turn = rewards.groupBy("experience_id", "turn_index").agg(
-        F.array_sort(F.collect_list(F.struct("judge_model", dim))).alias("j"))
+        F.array_sort(F.collect_set(F.struct("judge_model", dim))).alias("j"))
+    patterns = per_turn.groupBy("j").agg(F.count(F.lit(1)).alias("w"))
     pairs = F.flatten(F.transform("j", lambda a: F.transform(
         F.filter("j", lambda b: b["judge_model"] > a["judge_model"]),
         lambda b: F.struct(a["judge_model"].alias("judge_a"), b["judge_model"].alias("judge_b"),
                            (a[dim] - b[dim]).alias("gap")))))
-    return (per_turn.select(F.explode(pairs).alias("p")).groupBy("p.judge_a", "p.judge_b").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("p.gap") == 0).alias("same"),
-        F.bround(F.sum(F.abs("p.gap")).cast("double") / F.count(F.lit(1)), 6).alias("mean_gap")))
+    w = F.col("w")
+    return (patterns.select("w", F.explode(pairs).alias("p")).groupBy("p.judge_a", "p.judge_b").agg(
+        F.sum(w).alias("n"), F.sum(F.when(F.col("p.gap") == 0, w).otherwise(0)).alias("same"),
+        F.bround(F.sum(F.abs("p.gap") * w).cast("double") / F.sum(w), 6).alias("mean_gap")))

@@ -18,13 +18,15 @@ CHUNK = 65_536
 
 def running(df: DataFrame, keys: list[str], order: list[str], *, chunk: Column | None = None,
             sums: dict[str, Column] | None = None, lasts: dict[str, Column] | None = None,
-            totals: dict[str, str] | None = None, inclusive: bool = False) -> DataFrame:
+            totals: dict[str, str] | None = None, inclusive: bool = False,
+            coarse: str | None = None) -> DataFrame:
     """Add running columns per ``keys`` in the order of ``order``.
 
     ``sums`` maps an output to a summed expression, ``lasts`` to an expression whose latest
     non-null value is wanted, ``totals`` names the sum of a whole session (output -> sum).
     ``chunk`` defaults to the position divided by a fixed length; the chunks must be ordered
-    like the rows.
+    like the rows. ``coarse`` names a field of a struct chunk by which the summaries of a
+    session are themselves cut, for sessions of very many chunks (sums only).
     """
     sums, lasts, totals = sums or {}, lasts or {}, totals or {}
     chunk = F.floor(F.col(order[0]) / F.lit(CHUNK)) if chunk is None else chunk
@@ -40,11 +42,19 @@ def running(df: DataFrame, keys: list[str], order: list[str], *, chunk: Column |
           for n in lasts])
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
-    carry = summary.select(
-        *keys, "_chunk",
-        *[F.sum(f"_s_{n}").over(before).alias(f"_c_{n}") for n in sums],
-        *[F.last(F.col(f"_s_{n}")["v"], True).over(before).alias(f"_c_{n}") for n in lasts],
-        *[F.sum(f"_s_{src}").over(whole).alias(out) for out, src in totals.items()])
+    if coarse is None:
+        carry = summary.select(
+            *keys, "_chunk",
+            *[F.sum(f"_s_{n}").over(before).alias(f"_c_{n}") for n in sums],
+            *[F.last(F.col(f"_s_{n}")["v"], True).over(before).alias(f"_c_{n}") for n in lasts],
+            *[F.sum(f"_s_{src}").over(whole).alias(out) for out, src in totals.items()])
+    else:
+        if lasts or totals:
+            raise ValueError("a coarse level carries sums only")
+        level = summary.withColumnRenamed("_chunk", "_fine")
+        carry = running(level, keys, ["_fine"], chunk=F.col("_fine")[coarse],
+                        sums={f"_c_{n}": F.col(f"_s_{n}") for n in sums}).select(
+            *keys, F.col("_fine").alias("_chunk"), *[f"_c_{n}" for n in sums])
     if not totals:
         # most sessions have one chunk and need no carry: the join side stays tiny
         carry = carry.filter(
