@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracelake.functions import text as tx
-from tracelake.functions.redact import redact  # noqa: F401  (re-exported for jobs)
 from tracelake.operators.scan import running
+from tracelake.session import materialize
 
 # Clip lengths of a packed transcript and the text of its lines.
 PACK_USER, PACK_ASSISTANT, PACK_TOOL = 600, 600, 120
@@ -27,12 +27,14 @@ def evaluable_pairs(turns: DataFrame) -> DataFrame:
     """(session_id, user_idx, assistant_idx, pair_no, n_pairs).
 
     A user turn is answered by the first assistant turn after it, and the latest non-blank
-    user turn counts. Only roles and a blank flag are shuffled, never content.
+    user turn counts. The turns are read once, down to roles and a blank flag; that narrow
+    table is stored, since the running values below read it several times.
     """
     marks = turns.select(
         "session_id", "turn_index",
         ((F.col("role") == "user") & ~tx.is_blank(F.col("content"))).alias("asks"),
         (F.col("role") == "assistant").alias("answers")).filter("asks OR answers")
+    marks = materialize(marks, "marks")
     seen = running(marks, ["session_id"], ["turn_index"], lasts={
         "user_idx": F.when(F.col("asks"), F.col("turn_index")),
         "prev_answer": F.when(F.col("answers"), F.col("turn_index"))})
@@ -88,6 +90,8 @@ def subsequent_context(turns: DataFrame, pairs: DataFrame, k: int = 4,
     window runs over blocks of that number, and each block also gets a copy of the first
     ``k`` turns of the next one, so no task ever holds a whole session.
     """
+    if k > CONTEXT_CHUNK:
+        raise ValueError(f"at most {CONTEXT_CHUNK} following turns")
     role = F.col("role")
     body = F.substring(F.coalesce("content", F.lit("")), 1, max_chars)
     calls = _calls(turns)
@@ -102,15 +106,14 @@ def subsequent_context(turns: DataFrame, pairs: DataFrame, k: int = 4,
     numbered = running(rows, ["session_id"], ["turn_index"], sums={"no": F.col("eligible")},
                        inclusive=True)
     block = F.floor(F.col("no") / F.lit(CONTEXT_CHUNK))
-    own = numbered.withColumn("block", block).withColumn("copy", F.lit(False))
-    halo = numbered.filter(
-        (F.col("eligible") == 1) & (F.col("no") >= CONTEXT_CHUNK)
-        & (F.col("no") % CONTEXT_CHUNK < k)
-    ).withColumn("block", block - 1).withColumn("copy", F.lit(True))
+    halo = ((F.col("eligible") == 1) & (F.col("no") >= CONTEXT_CHUNK)
+            & (F.col("no") % CONTEXT_CHUNK < k))
+    homes = F.when(halo, F.array(block, block - 1)).otherwise(F.array(block))
+    placed = numbered.select("*", F.posexplode(homes).alias("copy", "block"))
     w = (Window.partitionBy("session_id", "block").orderBy("no").rangeBetween(1, k))
     after = F.collect_list(F.when(F.col("eligible") == 1, F.struct("no", "line"))).over(w)
-    context = (own.unionByName(halo).withColumn("after", after)
-               .filter(~F.col("copy") & F.col("answers"))
+    context = (placed.withColumn("after", after)
+               .filter((F.col("copy") == 0) & F.col("answers"))
                .select("session_id", F.col("turn_index").alias("assistant_idx"),
                        F.array_join(F.transform(F.array_sort("after"), lambda a: a["line"]),
                                     "\n\n").alias("subsequent")))

@@ -19,34 +19,34 @@ CHUNK = 65_536
 def running(df: DataFrame, keys: list[str], order: list[str], *, chunk: Column | None = None,
             sums: dict[str, Column] | None = None, lasts: dict[str, Column] | None = None,
             totals: dict[str, str] | None = None, inclusive: bool = False,
-            coarse: str | None = None) -> DataFrame:
+            coarse: str | None = None, carry_from: Column | None = None) -> DataFrame:
     """Add running columns per ``keys`` in the order of ``order``.
 
-    ``sums`` maps an output to a summed expression, ``lasts`` to an expression whose latest
-    non-null value is wanted, ``totals`` names the sum of a whole session (output -> sum).
+    ``sums`` maps an output to a summed expression, ``lasts`` to a position (a value that grows
+    with the order) of which the latest non-null one is wanted, ``totals`` names the sum of a
+    whole session (output -> sum). ``carry_from`` is true for all rows of sessions that may
+    have more than one chunk: only those are read for the summaries.
     ``chunk`` defaults to the position divided by a fixed length; the chunks must be ordered
     like the rows. ``coarse`` names a field of a struct chunk by which the summaries of a
     session are themselves cut, for sessions of very many chunks (sums only).
     """
     sums, lasts, totals = sums or {}, lasts or {}, totals or {}
     chunk = F.floor(F.col(order[0]) / F.lit(CHUNK)) if chunk is None else chunk
-    at = F.struct(*[F.col(o) for o in order])
     rows = df.withColumn("_chunk", chunk)
     for name, e in {**sums, **lasts}.items():
         rows = rows.withColumn(f"_v_{name}", e)
 
-    summary = rows.groupBy(*keys, "_chunk").agg(
+    summed = rows if carry_from is None else rows.filter(carry_from)
+    summary = summed.groupBy(*keys, "_chunk").agg(
         *[F.coalesce(F.sum(f"_v_{n}"), F.lit(0)).alias(f"_s_{n}") for n in sums],
-        *[F.max(F.when(F.col(f"_v_{n}").isNotNull(),
-                       F.struct(at.alias("at"), F.col(f"_v_{n}").alias("v")))).alias(f"_s_{n}")
-          for n in lasts])
+        *[F.max(f"_v_{n}").alias(f"_s_{n}") for n in lasts])
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
     if coarse is None:
         carry = summary.select(
             *keys, "_chunk",
             *[F.sum(f"_s_{n}").over(before).alias(f"_c_{n}") for n in sums],
-            *[F.last(F.col(f"_s_{n}")["v"], True).over(before).alias(f"_c_{n}") for n in lasts],
+            *[F.max(f"_s_{n}").over(before).alias(f"_c_{n}") for n in lasts],
             *[F.sum(f"_s_{src}").over(whole).alias(out) for out, src in totals.items()])
     else:
         if lasts or totals:
@@ -67,6 +67,6 @@ def running(df: DataFrame, keys: list[str], order: list[str], *, chunk: Column |
         out = out.withColumn(n, F.coalesce(F.sum(f"_v_{n}").over(here), F.lit(0))
                              + F.coalesce(F.col(f"_c_{n}"), F.lit(0)))
     for n in lasts:
-        out = out.withColumn(n, F.coalesce(F.last(F.col(f"_v_{n}"), True).over(here),
+        out = out.withColumn(n, F.coalesce(F.max(f"_v_{n}").over(here),
                                            F.col(f"_c_{n}")))
     return out.select(*df.columns, *sums, *lasts, *totals)

@@ -7,6 +7,8 @@ file into one task.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,14 +59,33 @@ def read_docs(spark: SparkSession, path: str, glob: str | None = None,
     return _files(docs, max_kb).withColumn("session_id", file_stem(F.col("path")))
 
 
-def number_turns(found: DataFrame, extra: list[str] | None = None) -> DataFrame:
+def _bytes(value: str) -> int:
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgt]?)b?", value.strip().lower()).groups()
+    return int(number) * 1024 ** " kmgt".index(unit or " ")
+
+
+def with_multi(lines: DataFrame) -> DataFrame:
+    """Lines with ``_multi``: whether their file may be read in more than one split. A file
+    no larger than the smallest split size never is, and needs no carry between splits."""
+    if "_multi" in lines.columns:
+        return lines
+    if "size_bytes" not in lines.columns:
+        return lines.withColumn("_multi", F.lit(True))
+    conf = lines.sparkSession.conf
+    least = min(_bytes(conf.get("spark.sql.files.openCostInBytes", "4mb")),
+                _bytes(conf.get("spark.sql.files.maxPartitionBytes", "128mb")))
+    return lines.withColumn("_multi", F.col("size_bytes") > least)
+
+
+def number_turns(found: DataFrame) -> DataFrame:
     """Rows (session_id, block, seq, sub, turn...) to turns with a dense ``turn_index``. The
-    file split is the chunk of the running count."""
+    file split is the chunk of the running count. With ``_multi`` the counts are taken from
+    split files only, so the others are parsed once."""
     return running(found, ["session_id"], ["block", "seq", "sub"],
                    chunk=F.struct("block", F.floor(F.col("sub") / CHUNK)),
-                   sums={"turn_index": F.lit(1)}).select(
-        "session_id", "turn_index", "role", "content", "ts", "tool_calls", "tool_result_for",
-        *(extra or []))
+                   sums={"turn_index": F.lit(1)},
+                   carry_from=F.col("_multi") if "_multi" in found.columns else None).select(
+        "session_id", "turn_index", "role", "content", "ts", "tool_calls", "tool_result_for")
 
 
 def no_calls() -> Column:

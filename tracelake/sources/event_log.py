@@ -24,7 +24,7 @@ CALL_HEAD, RESULT_HEAD, ERROR_MARK, IMAGE = "🔧 调用工具: ", "📤 工具
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
-    return lines.withColumn("j", F.from_json("raw", LINE, b.JSON))
+    return b.with_multi(lines).withColumn("j", F.from_json("raw", LINE, b.JSON))
 
 
 def event_turns(lines: DataFrame) -> DataFrame:
@@ -53,7 +53,7 @@ def event_turns(lines: DataFrame) -> DataFrame:
               .when(F.col("j.message.content").isNull(), typed)
               .otherwise(F.concat(asked, results)))
     found = b.explode_turns(rows.withColumn("ts", F.coalesce("j.timestamp", F.lit(""))), turns,
-                            [*ORDER, "ts"])
+                            [*ORDER, "ts", "_multi"])
     return b.number_turns(found)
 
 
@@ -113,11 +113,11 @@ def split_blocks(rows: DataFrame, items, plain, role) -> DataFrame:
     shown = F.filter(F.transform(F.filter(bs, b.is_dict), show), lambda t: t.isNotNull())
     whole = F.when(~tx.is_blank(plain), F.array(F.struct(
         role.alias("role"), plain.alias("head"), F.lit(None).cast("string").alias("input"))))
-    each = rows.select("session_id", "block", "seq", "ts", F.posexplode(
+    each = rows.select("session_id", "block", "seq", "ts", "_multi", F.posexplode(
         F.when(items.isNull(), whole).otherwise(shown)).alias("sub", "_b"))
     body = F.when(F.col("_b.input").isNull(), F.col("_b.head")).otherwise(F.concat(
         F.col("_b.head"), F.lit("\n\n```json\n"), pretty_json(F.col("_b.input")), F.lit("\n```")))
-    return each.select("session_id", "block", "seq", "sub", "ts", F.col("_b.role").alias("role"),
+    return each.select("session_id", "block", "seq", "sub", "ts", "_multi", F.col("_b.role").alias("role"),
                        body.alias("content"), b.no_calls().alias("tool_calls"),
                        F.lit("").alias("tool_result_for"))
 

@@ -27,7 +27,7 @@ def scalar_content(json: Column, path: str = "$.content") -> Column:
 
 
 def role_turns(lines: DataFrame) -> DataFrame:
-    rows = lines.withColumn("j", F.from_json("raw", ROLE_LINE, b.JSON)).filter(
+    rows = b.with_multi(lines).withColumn("j", F.from_json("raw", ROLE_LINE, b.JSON)).filter(
         F.startswith(tx.lstrip(F.col("raw")), F.lit("{")) & F.try_parse_json("raw").isNotNull())
     rows = rows.withColumn("bs", b.blocks(F.col("j.content")))
     bs = F.filter("bs", b.is_dict)
@@ -40,7 +40,7 @@ def role_turns(lines: DataFrame) -> DataFrame:
     rows = rows.withColumn("content", content).withColumn("ts", F.coalesce("j.ts", "j.timestamp", F.lit("")))
     turns = b.one_if(~tx.is_blank(F.col("content")) | (F.size(calls) > 0),
                      b.turn(role, F.col("content"), calls, last))
-    found = b.explode_turns(rows, turns, ["session_id", "block", "seq", "ts"])
+    found = b.explode_turns(rows, turns, ["session_id", "block", "seq", "ts", "_multi"])
     return b.number_turns(found)
 
 
@@ -63,7 +63,7 @@ def read_role_jsonl(spark: SparkSession, path: str, **options) -> DataFrame:
 def _doc_turns(docs: DataFrame, items: Column, build) -> DataFrame:
     """Message texts of every document -> numbered turns. Elements spread over tasks after
     the explode, ordered by their place in the document."""
-    each = docs.select("session_id", F.posexplode(items).alias("seq", "m"))
+    each = docs.select("session_id", (F.size(items) > 65_536).alias("_multi"), F.posexplode(items).alias("seq", "m"))
     found = build(each.withColumn("block", F.floor(F.col("seq") / 65_536)))
     return b.number_turns(found)
 
@@ -82,7 +82,7 @@ def _plain_turns(each: DataFrame, any_type: bool, default_role: str = "user",
         "role", F.coalesce(F.nullif(F.col("j.role"), F.lit("")), F.lit(default_role)))
     if not keep_blank:
         rows = rows.filter(~tx.is_blank(F.col("content")))
-    return rows.select("session_id", "block", "seq", F.lit(0).alias("sub"), "role", "content",
+    return rows.select("session_id", "block", "seq", "_multi", F.lit(0).alias("sub"), "role", "content",
                        F.lit("").alias("ts"), b.no_calls().alias("tool_calls"), F.lit("").alias("tool_result_for"))
 
 
@@ -140,13 +140,13 @@ def read_history_items(spark: SparkSession, path: str, **options) -> DataFrame:
 def markdown_turns(docs: DataFrame) -> DataFrame:
     """``#### request`` headings, the text below each is the answer; the preamble is skipped."""
     chunks = F.split("raw", r"(?md)^####\s+")
-    each = docs.select("session_id", F.posexplode(F.slice(chunks, F.lit(2), F.greatest(F.size(chunks) - 1, F.lit(0)))).alias("seq", "c"))
+    each = docs.select("session_id", (F.size(chunks) > 65_536).alias("_multi"), F.posexplode(F.slice(chunks, F.lit(2), F.greatest(F.size(chunks) - 1, F.lit(0)))).alias("seq", "c"))
     cut = F.locate("\n", F.col("c"))
     head = tx.strip(F.when(cut > 0, F.substring("c", F.lit(1), cut - 1)).otherwise(F.col("c")))
     rest = tx.strip(F.when(cut > 0, F.substring(F.col("c"), cut + 1, F.length("c"))).otherwise(F.lit("")))
     turns = F.concat(b.one_if(head != "", b.turn("user", head)), b.one_if(rest != "", b.turn("assistant", rest)))
     rows = each.withColumn("block", F.floor(F.col("seq") / 65_536)).withColumn("ts", F.lit(""))
-    return b.number_turns(b.explode_turns(rows, turns, ["session_id", "block", "seq", "ts"]))
+    return b.number_turns(b.explode_turns(rows, turns, ["session_id", "block", "seq", "ts", "_multi"]))
 
 
 def read_markdown_chat(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -183,7 +183,7 @@ GENERIC = ("name string, role string, type string, content array<string>, text s
 
 def normalize_messages(each: DataFrame) -> DataFrame:
     """Message texts (session_id, block, seq, m) -> unnumbered turns; blank ones are dropped."""
-    rows = each.filter(F.startswith(tx.lstrip(F.col("m")), F.lit("{"))).withColumn(
+    rows = b.with_multi(each).filter(F.startswith(tx.lstrip(F.col("m")), F.lit("{"))).withColumn(
         "j", F.from_json("m", GENERIC, b.JSON)).filter("j IS NOT NULL")
     rows = rows.withColumn("bs", b.blocks(F.col("j.content")))
     bs = F.col("bs")
@@ -206,7 +206,7 @@ def normalize_messages(each: DataFrame) -> DataFrame:
     last = F.try_element_at(b.of_type(bs, "tool_result"), F.lit(-1))["f"]["tool_use_id"]
     result_for = F.coalesce(last, F.nullif(F.col("j.tool_call_id"), F.lit("")), "j.tool_use_id", F.lit(""))
     rows = rows.select(
-        "session_id", "block", "seq", F.lit(0).alias("sub"),
+        "session_id", "block", "seq", "_multi", F.lit(0).alias("sub"),
         tx.coerce_role(F.coalesce("j.role", "j.type"), F.col("j.name")).alias("role"), content.alias("content"),
         F.coalesce("j.timestamp", "j.ts", "j.created_at", F.lit("")).alias("ts"),
         F.concat(block_calls, api_calls).alias("tool_calls"), result_for.alias("tool_result_for"))

@@ -44,7 +44,7 @@ def _output(raw: Column) -> Column:
 
 
 def rollout_turns(lines: DataFrame) -> DataFrame:
-    rows = lines.withColumn("j", F.from_json("raw", LINE, b.JSON)).filter("j IS NOT NULL")
+    rows = b.with_multi(lines).withColumn("j", F.from_json("raw", LINE, b.JSON)).filter("j IS NOT NULL")
     p = F.col("j.payload")
     legacy = F.col("j.role").isNotNull() & F.get_json_object("raw", "$.content").isNotNull()
     old_role = _role(F.col("j.role"))
@@ -73,7 +73,7 @@ def rollout_turns(lines: DataFrame) -> DataFrame:
               .when(kind == "function_call", call).when(kind == "function_call_output", result)
               .otherwise(b.no_turns()))
     ts = F.coalesce(F.nullif(F.col("j.timestamp"), F.lit("")), "j.ended_at", F.lit(""))
-    found = b.explode_turns(rows.withColumn("ts", ts), turns, ["session_id", "block", "seq", "ts"])
+    found = b.explode_turns(rows.withColumn("ts", ts), turns, ["session_id", "block", "seq", "ts", "_multi"])
     return b.number_turns(found)
 
 

@@ -25,7 +25,7 @@ def stream_lines(spark: SparkSession, path: str, max_files: int | None = None,
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
-        F.col("value").alias("raw"))
+        F.col("_metadata.file_size").alias("size_bytes"), F.col("value").alias("raw"))
 
 
 def stored_ledger(spark: SparkSession, out: str, batch: int) -> DataFrame | None:

@@ -72,7 +72,7 @@ def event_lines(spark, sf):
     meta = F.lit('{"type":"summary","summary":"x"}')
     return (c.withColumn("raw", F.explode(F.array(line, meta, F.lit("{broken"))))
             .withColumn("seq", F.col("seq") * 10 + F.when(F.col("raw") == meta, 1).otherwise(0))
-            .withColumn("mtime", F.timestamp_seconds(F.col("conv_id"))).withColumn("size_bytes", F.col("conv_id") * 10)
+            .withColumn("mtime", F.timestamp_seconds(F.col("conv_id"))).withColumn("size_bytes", F.lit(50_000_000) + F.col("conv_id") * 10)
             .select("session_id", "block", "seq", "raw", "mtime", "size_bytes"))
 
 
@@ -346,7 +346,7 @@ def thread_participants(spark, sf):
     return chat.thread_participants(chat_table(spark, sf))
 
 
-@case("list_sessions", """SELECT 's' || conv_id AS session_id, conv_id * 10 AS size_bytes, '/w/' || (conv_id % 5) AS cwd, '1.' || min(turn) AS version
+@case("list_sessions", """SELECT 's' || conv_id AS session_id, 50000000 + conv_id * 10 AS size_bytes, '/w/' || (conv_id % 5) AS cwd, '1.' || min(turn) AS version
   FROM conversations GROUP BY conv_id ORDER BY conv_id DESC LIMIT 30""")
 def list_sessions(spark, sf):
     return listing.list_sessions(event_lines(spark, sf), 30).select("session_id", "size_bytes", "cwd", "version")
