@@ -95,3 +95,10 @@ def test_custom_rule(spark):
     assert one(spark, "x MY_ABC123 y", (rule,)) == ("x MY=<SECRET> y", {"mine": 1})
     with pytest.raises(ValueError):
         custom_rule("x", "a", "b", "urgent")
+
+
+def test_sql_surface(spark):
+    rd.register_sql(spark)
+    r = spark.sql("SELECT redact('mail ann@example.com') AS a, redact_tree('{\"k\":\"ann@example.com\"}') AS b").first()
+    assert (r["a"]["text"], r["a"]["hits"]) == ("mail <EMAIL>", {"email": 1})
+    assert r["b"]["json"] == '{"k":"<EMAIL>"}'

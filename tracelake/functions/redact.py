@@ -180,7 +180,11 @@ def redact_tree(rules: tuple[Rule, ...] = DEFAULT_RULES):
 
 
 def register_sql(spark, rules: tuple[Rule, ...] = DEFAULT_RULES) -> None:
-    """SQL surface: ``redact_tree(json)``."""
+    """SQL surface: ``redact(text)`` as a JVM-side SQL function and ``redact_tree(json)``."""
+    body = _fold_sql(tuple(rules), False)
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION redact(txt STRING) "
+              "RETURNS STRUCT<text: STRING, hits: MAP<STRING, BIGINT>> "
+              f"RETURN transform(array(txt), t -> {body})[0]")
     spark.udf.register("redact_tree", redact_tree(rules))
 
 

@@ -136,14 +136,23 @@ def deep_queue_status(experiences: DataFrame) -> DataFrame:
 
 
 def leaderboard(experiences: DataFrame) -> DataFrame:
-    """Owners by published rows, then rows. Ranking happens after the aggregation."""
+    """Owners by published rows, then rows, densely ranked.
+
+    Scores are made distinct first and ranked in two levels: inside one published count, and
+    over the published counts. Different counts that add up to N rows number at most the
+    square root of 2N, so neither level can grow large.
+    """
     per = experiences.groupBy("owner").agg(
         F.count_if(F.col("publish_status") == "published").alias("n_published"),
         F.count(F.lit(1)).alias("n_rows"))
-    # rank by counting the distinct scores above: the distinct (published, rows) pairs are few
-    scores = per.groupBy("n_published", "n_rows").agg(F.count(F.lit(1)).alias("n_same"))
-    w = Window.orderBy(F.desc("n_published"), F.desc("n_rows"))
-    ranks = scores.withColumn("rank_no", F.dense_rank().over(w).cast("long")).drop("n_same")
+    scores = per.select("n_published", "n_rows").distinct()
+    inside = scores.withColumn("_in", F.row_number().over(
+        Window.partitionBy("n_published").orderBy(F.desc("n_rows"))))
+    above = scores.groupBy("n_published").agg(F.count(F.lit(1)).alias("_n")).withColumn("_above", F.coalesce(
+        F.sum("_n").over(Window.orderBy(F.desc("n_published")).rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0))).drop("_n")
+    ranks = inside.join(above, "n_published").select(
+        "n_published", "n_rows", (F.col("_above") + F.col("_in")).alias("rank_no"))
     return per.join(ranks, ["n_published", "n_rows"])
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -22,6 +21,7 @@ def local_session(cpus: int | str = 8, app: str = "tracelake", memory: str = "8g
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
@@ -45,7 +45,3 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = shared_dir(spark, label)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") and os.path.exists(path)

@@ -11,7 +11,7 @@ from tracelake.suite.registry import case, q, table
 
 NOW = dt.datetime(1998, 6, 1)
 
-EXPERIENCES = """SELECT concat('x', CAST(o_orderkey AS STRING)) AS experience_id, o_orderkey, concat('o', CAST(o_custkey % 40 AS STRING)) AS owner,
+EXPERIENCES = """SELECT concat('x', CAST(o_orderkey AS STRING)) AS experience_id, o_orderkey, o_orderstatus, concat('o', CAST(o_custkey % 40 AS STRING)) AS owner,
  CASE o_orderkey % 6 WHEN 0 THEN 'done' WHEN 1 THEN 'flagged' WHEN 2 THEN 'human_review' ELSE 'layer1_only' END AS sanitization_status,
  CASE WHEN o_orderkey % 11 = 0 THEN 'revoked' ELSE 'auto_approved' END AS review_status,
  CASE o_orderkey % 4 WHEN 0 THEN 'published' WHEN 1 THEN 'unpublished' ELSE 'private' END AS publish_status,
@@ -22,7 +22,7 @@ LOG = """SELECT o_orderdate AS ts, concat('o', CAST(o_custkey % 400 AS STRING))
  concat('x', CAST(o_orderkey % 5000 AS STRING)) AS target_id FROM {orders}"""
 LOGC = "log AS (" + LOG.format(orders="orders") + ")"
 REQUESTS = """SELECT concat('x', CAST(o_orderkey AS STRING)) AS experience_id, concat('o', CAST(CASE WHEN o_orderkey % 5 = 0 THEN o_custkey + 1 ELSE o_custkey END % 40 AS STRING)) AS owner
- FROM {orders} WHERE o_orderkey % 7 = 0"""
+ FROM {orders} WHERE o_orderpriority = '1-URGENT'"""
 REQ = "req AS (" + REQUESTS.format(orders="orders") + ")"
 OUTCOMES = """SELECT concat('s', CAST(event_id AS STRING)) AS session_id, concat('src', CAST(user_id % 4 AS STRING)) AS source,
  CASE event_type WHEN 'error' THEN 'failed' WHEN 'view' THEN 'uploaded' WHEN 'click' THEN 'uploaded' ELSE CASE WHEN event_id % 2 = 0 THEN 'skipped_size' ELSE 'skipped_consent' END END AS status,
@@ -92,7 +92,7 @@ def revoke_cascade(spark, sf):
 PUB = """SELECT concat('x', CAST(page_id AS STRING)) AS experience_id, concat('o', CAST(page_id % 9 AS STRING)) AS owner,
  CASE WHEN page_id % 13 = 0 THEN 'revoked' ELSE 'auto_approved' END AS review_status, 'private' AS publish_status, url,
  concat(html, CASE page_id % 4 WHEN 0 THEN ' see file:///Users/ann/x.txt' WHEN 1 THEN ' on 192.168.0.7' ELSE '' END) AS body FROM {pages}"""
-PUB_REQ = "SELECT concat('x', CAST(page_id AS STRING)) AS experience_id, concat('o', CAST(CASE WHEN page_id % 6 = 0 THEN 99 ELSE page_id % 9 END AS STRING)) AS owner FROM {pages} WHERE page_id % 2 = 0"
+PUB_REQ = "SELECT concat('x', CAST(page_id AS STRING)) AS experience_id, concat('o', CAST(CASE WHEN page_id % 6 = 0 THEN 99 ELSE page_id % 9 END AS STRING)) AS owner FROM {pages}"
 HITS = " + ".join(f"len(regexp_extract_all(url, {q(p)})) + len(regexp_extract_all(body, {q(p)}))" for _n, p, _s in op.STRICT_PUBLIC)
 PUB_SQL = f"""p AS ({PUB.format(pages='pages')}), pr AS ({PUB_REQ.format(pages='pages')}),
  res AS (SELECT p.experience_id, pr.owner AS caller, CASE WHEN p.owner <> pr.owner THEN 'not_owner' WHEN review_status = 'revoked' THEN 'revoked'
@@ -121,11 +121,11 @@ def unpublish(spark, sf):
     return op.unpublish(experiences(spark, sf), requests(spark, sf)).select("experience_id", "publish_status")
 
 
-@case("deep_pii_ledger", f"""WITH {EXP} SELECT experience_id, CASE WHEN sanitization_status = 'layer1_only' AND o_orderkey % 2 = 0 THEN 'done' ELSE sanitization_status END AS sanitization_status,
- CASE WHEN sanitization_status = 'layer1_only' AND o_orderkey % 2 = 0 THEN 'name:' || (o_orderkey % 5) ELSE strict_redactions END AS strict_redactions FROM e""")
+@case("deep_pii_ledger", f"""WITH {EXP} SELECT experience_id, CASE WHEN sanitization_status = 'layer1_only' AND o_orderstatus = 'O' THEN 'done' ELSE sanitization_status END AS sanitization_status,
+ CASE WHEN sanitization_status = 'layer1_only' AND o_orderstatus = 'O' THEN 'name:' || (o_orderkey % 5) ELSE strict_redactions END AS strict_redactions FROM e""")
 def deep_pii_ledger(spark, sf):
     e = experiences(spark, sf)
-    res = e.filter("o_orderkey % 2 = 0").select("experience_id", F.concat(
+    res = e.filter("o_orderstatus = 'O'").select("experience_id", F.concat(
         F.lit("name:"), (F.col("o_orderkey") % 5).cast("string")).alias("strict_redactions"))
     return op.deep_pass(e, res, "9000000").select("experience_id", "sanitization_status", "strict_redactions")
 

@@ -88,15 +88,15 @@ def stream_tick_metrics(spark, sf):
 
 
 @case("deep_backfill_stream", """SELECT 'x' || o_orderkey AS experience_id, 'done' AS sanitization_status, 'name:' || (o_orderkey % 5) AS strict_redactions
- FROM orders WHERE o_orderkey % 6 > 2 AND o_orderkey % 2 = 0""")
+ FROM orders WHERE o_orderkey % 6 > 2 AND o_orderstatus = 'O'""")
 def deep_backfill_stream(spark, sf):
     def rows(df):
-        return df.select(F.concat(F.lit("x"), F.col("o_orderkey").cast("string")).alias("experience_id"), "o_orderkey",
+        return df.select(F.concat(F.lit("x"), F.col("o_orderkey").cast("string")).alias("experience_id"), "o_orderkey", "o_orderstatus",
                          F.when(F.col("o_orderkey") % 6 > 2, "layer1_only").otherwise("done").alias("sanitization_status"),
                          F.lit(None).cast("string").alias("strict_redactions"))
-    res = rows(table(spark, sf, "orders")).filter("o_orderkey % 2 = 0").select("experience_id", F.concat(
+    res = rows(table(spark, sf, "orders")).filter("o_orderstatus = 'O'").select("experience_id", F.concat(
         F.lit("name:"), (F.col("o_orderkey") % 5).cast("string")).alias("strict_redactions"))
-    return drained(spark, sync.deep_drain(rows(stream(spark, sf, "orders")), res).drop("o_orderkey"), "deep")
+    return drained(spark, sync.deep_drain(rows(stream(spark, sf, "orders")), res).drop("o_orderkey", "o_orderstatus"), "deep")
 
 
 @case("stream_sync", """WITH n AS (SELECT conv_id, count(*) FILTER (role IN ('user', 'assistant')) AS base,
