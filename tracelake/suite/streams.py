@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tracelake.session import shared_dir
 from tracelake.streaming import sync
-from tracelake.suite.registry import case, rule_steps, table
+from tracelake.suite.registry import BASE_SECOND, case, rule_steps, table
 from tracelake.suite.sources import event_lines
 
 
@@ -33,7 +33,7 @@ PRINT_SQL = "SELECT DISTINCT 'a' || (doc_id % 3) AS agent_id, sha256(text) AS fi
 def doc_prints(df):
     return df.select(F.concat(F.lit("a"), (F.col("doc_id") % 3).cast("string")).alias("agent_id"),
                      F.sha2("text", 256).alias("fingerprint"), F.concat(F.lit("s"), F.col("doc_id").cast("string")).alias("session_id"),
-                     F.col("doc_id").alias("arrival"), F.timestamp_seconds(F.col("doc_id")).alias("ts"))
+                     F.col("doc_id").alias("arrival"), F.timestamp_seconds(F.col("doc_id") + BASE_SECOND).alias("ts"))
 
 
 @case("stream_dedup", PRINT_SQL)
