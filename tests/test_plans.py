@@ -57,3 +57,36 @@ def test_content_is_not_shuffled_for_fingerprints_and_pairs(spark):
         p = plan(suite.QUERIES[key](spark, SF))
         for keys in re.findall(r"Exchange\nInput \[\d+\]: \[([^\]]*)\]\nArguments: hashpartitioning", p):
             assert "content" not in keys and "text" not in keys
+
+
+def test_size_cap_prunes_files_and_unsplit_files_are_read_once(spark, tmp_path):
+    from tracelake.sources.base import read_lines
+    from tracelake.sources.event_log import read_event_jsonl
+    row = '{"type":"user","message":{"role":"user","content":"hi"}}\n'
+    (tmp_path / "small.jsonl").write_text(row)
+    (tmp_path / "large.jsonl").write_text(row * 3000)
+    p = plan(read_event_jsonl(spark, str(tmp_path), max_kb=64))
+    assert p.count("Scan text") == p.count("- Scan text") * 2 == 2
+    assert (read_lines(spark, str(tmp_path), max_kb=64).rdd.getNumPartitions()
+            < read_lines(spark, str(tmp_path)).rdd.getNumPartitions())
+    got = read_event_jsonl(spark, str(tmp_path), max_kb=64).collect()
+    assert [r["session_id"] for r in got] == ["small"]
+
+
+def test_one_session_of_many_chunks(spark):
+    from pyspark.sql import functions as F
+
+    from tracelake.operators import cards, pairs
+    n = 200_000
+    turns = spark.range(n).select(
+        F.lit("hot").alias("session_id"), F.col("id").alias("turn_index"),
+        F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.lit("words here").alias("content"))
+    p = pairs.evaluable_pairs(turns)
+    r = p.agg(F.count("*").alias("n"), F.max("pair_no").alias("last"), F.max("n_pairs").alias("all"),
+              F.count_if(F.col("assistant_idx") - F.col("user_idx") != 1).alias("wrong"),
+              F.count_if(F.col("pair_no") != (F.col("user_idx") / 2 + 1)).alias("misnumbered")).first()
+    assert tuple(r) == (n // 2, n // 2, n // 2, 0, 0)
+    ctx = pairs.subsequent_context(turns, p, 4)
+    sizes = {tuple(x) for x in ctx.groupBy(F.size(F.split("subsequent", "\n\n")).alias("k")).count().collect()}
+    assert sizes == {(4, n // 2 - 2), (2, 1), (1, 1)}
+    assert cards.fingerprint(turns).first()["n_turns"] == n

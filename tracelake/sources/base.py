@@ -24,39 +24,42 @@ def file_stem(path: Column) -> Column:
     return F.regexp_replace(F.substring_index(path, "/", -1), r"\.[^.]*$", "")
 
 
-def _files(df: DataFrame, max_kb: int | None) -> DataFrame:
-    return df if not max_kb else df.filter(F.col("size_bytes") <= max(64, max_kb) * 1024)
+def _reader(spark: SparkSession, glob: str | None, since: str | None):
+    reader = spark.read.option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.option("modifiedAfter", since) if since else reader
+
+
+def _sized(files: DataFrame, max_kb: int | None) -> DataFrame:
+    """Size cap on file metadata, right on the scan: larger files are never opened."""
+    return files.filter(F.col("_metadata.file_size") <= max(64, max_kb) * 1024) if max_kb else files
 
 
 def read_lines(spark: SparkSession, path: str, glob: str | None = None,
                max_kb: int | None = None, since: str | None = None) -> DataFrame:
-    """Text lines with file order. The size and time filters are on file metadata, so files
-    are skipped before they are opened."""
-    reader = spark.read.option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    if since:
-        reader = reader.option("modifiedAfter", since)
-    lines = reader.text(path).select(
+    """Text lines with file order. Size and time filters prune files before they are opened."""
+    files = _sized(_reader(spark, glob, since).text(path), max_kb)
+    lines = files.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"), F.col("value").alias("raw"),
         F.col("_metadata.file_modification_time").alias("mtime"),
-        F.col("_metadata.file_size").alias("size_bytes"))
-    return _files(lines, max_kb).withColumn("session_id", file_stem(F.col("path")))
+        F.col("_metadata.file_size").alias("size_bytes")).withColumn("session_id", file_stem(F.col("path")))
+    if max_kb and max(64, max_kb) * 1024 <= least_split(spark):
+        # no file of this size is ever split: numbering needs no second look at the files
+        lines = lines.withColumn("_multi", F.lit(False))
+    return lines
 
 
 def read_docs(spark: SparkSession, path: str, glob: str | None = None,
-              max_kb: int | None = None) -> DataFrame:
+              max_kb: int | None = None, since: str | None = None) -> DataFrame:
     """Whole files: formats that are one JSON document or one markdown page per file."""
-    reader = spark.read.option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    docs = reader.text(path, wholetext=True).select(
+    docs = _sized(_reader(spark, glob, since).text(path, wholetext=True), max_kb)
+    return docs.select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw"),
         F.col("_metadata.file_modification_time").alias("mtime"),
-        F.col("_metadata.file_size").alias("size_bytes"))
-    return _files(docs, max_kb).withColumn("session_id", file_stem(F.col("path")))
+        F.col("_metadata.file_size").alias("size_bytes")).withColumn("session_id", file_stem(F.col("path")))
 
 
 def _bytes(value: str) -> int:
@@ -64,6 +67,12 @@ def _bytes(value: str) -> int:
     return int(number) * 1024 ** " kmgt".index(unit or " ")
 
 
+def least_split(spark: SparkSession) -> int:
+    """The smallest size at which a file may be read in more than one split."""
+    return min(_bytes(spark.conf.get("spark.sql.files.openCostInBytes", "4mb")),
+               _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128mb")))
+
+
 def with_multi(lines: DataFrame) -> DataFrame:
     """Lines with ``_multi``: whether their file may be read in more than one split. A file
     no larger than the smallest split size never is, and needs no carry between splits."""
@@ -71,10 +80,7 @@ def with_multi(lines: DataFrame) -> DataFrame:
         return lines
     if "size_bytes" not in lines.columns:
         return lines.withColumn("_multi", F.lit(True))
-    conf = lines.sparkSession.conf
-    least = min(_bytes(conf.get("spark.sql.files.openCostInBytes", "4mb")),
-                _bytes(conf.get("spark.sql.files.maxPartitionBytes", "128mb")))
-    return lines.withColumn("_multi", F.col("size_bytes") > least)
+    return lines.withColumn("_multi", F.col("size_bytes") > least_split(lines.sparkSession))
 
 
 def number_turns(found: DataFrame) -> DataFrame:
