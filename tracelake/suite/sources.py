@@ -10,13 +10,13 @@ from tracelake.session import shared_dir
 from tracelake.sources import base, chat, event_log, listing, messages, rollout
 from tracelake.sources.registry import read_traces, register_reader
 from tracelake.suite.cards import flat_sql
-from tracelake.suite.registry import case, table, turns
+from tracelake.suite.registry import case, spread, table, turns
 
 TEXT = "struct<type:string,text:string>"
 
 
 def conv(spark, sf):
-    return table(spark, sf, "conversations").select(
+    return spread(table(spark, sf, "conversations")).select(
         F.concat(F.lit("s"), F.col("conv_id").cast("string")).alias("session_id"), "conv_id", "turn", "role", "text",
         F.floor(F.col("turn") / 3).alias("block"), F.col("turn").alias("seq"))
 
