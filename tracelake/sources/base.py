@@ -116,7 +116,7 @@ def one_if(cond: Column, t: Column) -> Column:
 
 
 def dump(text: Column) -> Column:
-    """JSON text as the reference prints it: one blank after commas and colons."""
+    """JSON text as it is shown in turns: one blank after commas and colons."""
     return tx.spaced_json(text)
 
 
