@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -29,11 +30,13 @@ def local_session(cpus: int | str = 8, app: str = "tracelake", memory: str = "8g
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared folder the cluster names.
 
-    Only where the setting is absent (a local test) is a temporary folder chosen, and it is
-    then recorded in the session so that every later call agrees on it.
+    Only a local session, whose one machine is the driver's, may go without the setting; a
+    temporary folder is then chosen and recorded, so that every later call agrees on it.
     """
     base = spark.conf.get(SHARED_DIR_CONF, None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
+            raise ValueError(f"set {SHARED_DIR_CONF} to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="tracelake-")
         spark.conf.set(SHARED_DIR_CONF, base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
