@@ -40,3 +40,10 @@ def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
     return clean(docs, cleaned=None).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "n_lines", "n_bad_lines", "n_lost_words")
+
+
+@case("op2_minhash")
+def op2_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    from tracelake.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf, "documents"), shingle=4, threshold=0.8)
