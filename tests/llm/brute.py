@@ -47,3 +47,25 @@ def near_groups(docs, k, percent=80):
                         links.append((a, b))
     root = groups(sets, links)
     return {i: (len(sets[i]), root[i]) for i in sets}
+
+
+def cut_passages(docs, length=50):
+    """docs: (id, text) -> id -> (bytes, removed, spans, sha256 of the rest)."""
+    import hashlib
+
+    raw = [(i, (t or "").encode()) for i, t in docs]
+    first = {}
+    for i, b in raw:
+        for p in range(len(b) - length + 1):
+            w = b[p:p + length]
+            first[w] = min(first.get(w, i), i)
+    out = {}
+    for i, b in raw:
+        gone = bytearray(len(b))
+        for p in range(len(b) - length + 1):
+            if first[b[p:p + length]] < i:
+                gone[p:p + length] = b"\1" * length
+        rest = bytes(x for x, g in zip(b, gone) if not g)
+        spans = sum(1 for p in range(len(b)) if gone[p] and (p == 0 or not gone[p - 1]))
+        out[i] = (len(b), sum(gone), spans, hashlib.sha256(rest).hexdigest())
+    return out

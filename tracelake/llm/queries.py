@@ -47,3 +47,10 @@ def op2_minhash(spark: SparkSession, sf: str) -> DataFrame:
     from tracelake.llm.minhash import near_duplicates
 
     return near_duplicates(table(spark, sf, "documents"), shingle=4, threshold=0.8)
+
+
+@case("op9_suffix")
+def op9_suffix(spark: SparkSession, sf: str) -> DataFrame:
+    from tracelake.llm.passages import remove_passages
+
+    return remove_passages(table(spark, sf, "documents"), length=50)
