@@ -54,3 +54,34 @@ def op9_suffix(spark: SparkSession, sf: str) -> DataFrame:
     from tracelake.llm.passages import remove_passages
 
     return remove_passages(table(spark, sf, "documents"), length=50)
+
+
+MIX_SQL = """
+WITH counted AS (SELECT coalesce(source, '') AS source, count(*) AS n FROM documents GROUP BY 1),
+rates AS (SELECT source, sqrt(n) / (SELECT sum(sqrt(n)) FROM counted) * (SELECT sum(n) FROM counted) / n AS rate FROM counted),
+logs AS (SELECT k, sum(CASE WHEN k = 0 THEN 0 ELSE ln(k) END) OVER (ORDER BY k) AS logfact
+         FROM (SELECT unnest(range(0, 2 + CAST((SELECT max(ceil(rate + 12 * sqrt(rate) + 40)) FROM rates) AS BIGINT))) AS k)),
+steps AS (SELECT source, rate, k, sum(exp(k * ln(rate) - rate - logfact)) OVER (PARTITION BY source ORDER BY k) AS c FROM rates, logs),
+draws AS (SELECT d.doc_id, coalesce(d.source, '') AS source,
+                 CAST(CAST('0x' || substr(md5('0:' || CAST(doc_id AS VARCHAR)), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0 AS u
+          FROM documents d),
+counts AS (SELECT d.doc_id, d.source, s.rate, count(*) AS n FROM draws d JOIN steps s ON s.source = d.source AND s.c <= d.u GROUP BY ALL)
+SELECT doc_id, source, CAST(copy AS INTEGER) AS copy, rate,
+       md5('0:' || CAST(doc_id AS VARCHAR) || ':' || CAST(copy AS VARCHAR)) AS shuffle_key
+FROM (SELECT *, unnest(range(0, n)) AS copy FROM counts)
+"""
+
+
+@case("op7_mix", MIX_SQL)
+def op7_mix(spark: SparkSession, sf: str) -> DataFrame:
+    from tracelake.llm.mixing import mix
+
+    return mix(table(spark, sf, "documents").select("doc_id", "source", "text")).select("doc_id", "source", "copy", "rate", "shuffle_key")
+
+
+@case("op5_licenses")
+def op5_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    from tracelake.llm.licences import scan
+
+    return scan(table(spark, sf, "documents")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", F.size("matches").alias("n_matches"))
