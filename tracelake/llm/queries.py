@@ -85,3 +85,10 @@ def op5_licenses(spark: SparkSession, sf: str) -> DataFrame:
 
     return scan(table(spark, sf, "documents")).select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", F.size("matches").alias("n_matches"))
+
+
+@case("op8_pii")
+def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
+    from tracelake.llm.personal import find
+
+    return find(table(spark, sf, "documents")).drop("found")
