@@ -92,3 +92,11 @@ def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
     from tracelake.llm.personal import find
 
     return find(table(spark, sf, "documents")).drop("found")
+
+
+@case("op10_render")
+def op10_render(spark: SparkSession, sf: str) -> DataFrame:
+    from tracelake.llm.rendering import render
+
+    pages = render(table(spark, sf, "pages"))
+    return pages.select("page_id", "url", "text", F.length("text").alias("n_chars"))
