@@ -100,3 +100,10 @@ def op10_render(spark: SparkSession, sf: str) -> DataFrame:
 
     pages = render(table(spark, sf, "pages"))
     return pages.select("page_id", "url", "text", F.length("text").alias("n_chars"))
+
+
+@case("op3_vectors")
+def op3_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    from tracelake.llm.vectors import near_vectors
+
+    return near_vectors(table(spark, sf, "embeddings"), threshold=0.98)
