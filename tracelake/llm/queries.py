@@ -107,3 +107,10 @@ def op3_vectors(spark: SparkSession, sf: str) -> DataFrame:
     from tracelake.llm.vectors import near_vectors
 
     return near_vectors(table(spark, sf, "embeddings"), threshold=0.98)
+
+
+@case("op4_gru")
+def op4_gru(spark: SparkSession, sf: str) -> DataFrame:
+    from tracelake.llm.scoring import score_documents
+
+    return score_documents(table(spark, sf, "documents"))
