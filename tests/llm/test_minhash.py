@@ -60,6 +60,15 @@ def test_no_rows_and_no_ids(spark):
     assert [(r.doc_id, r.component_id, r.kept) for r in got] == [(3, 3, True), (7, 7, True), (7, 7, True), (None, None, True), (None, None, True)]
 
 
+def test_small_blocks_give_the_same(spark, monkeypatch):
+    from tracelake.llm import minhash
+
+    monkeypatch.setattr(minhash, "SIGNATURE_BLOCK", 7)
+    monkeypatch.setattr(minhash, "SET_BLOCK", 400)
+    rng = random.Random(4)
+    compare(spark, [t for edits in (2, 3, 4) for t in family(rng, 90, 30, edits)])
+
+
 def test_bounds_grow():
     bounds = least_matches(0.8)
     assert bounds[0][1] < bounds[-1][1] < 0.8 * 128

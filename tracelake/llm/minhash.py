@@ -8,8 +8,9 @@
    dropped. Survivors are verified on their full sets, best guess of each class first, the
    rest only where both ends are still in different components.
 4. Buckets whose members are then still in different components are compared in full, block
-   against block, again only across components. So no link between components is lost to
-   the star, while a group of thousands of copies costs a number of pairs linear in its size.
+   against block, again only across components, and keep a forest of what belongs together.
+   So no link between components is lost to the star, while a group of thousands of copies
+   gives a number of links linear in its size.
 
 Chances: a pair at the threshold is missed by all bands with probability
 ``(1 - 0.8 ** ROWS) ** BANDS`` (5e-8) and by pruning with ``miss`` (1e-6).
@@ -31,13 +32,14 @@ from pyspark.sql import types as T
 
 from tracelake.llm.blocks import BASE, LOWER, SPACE, Hashes, Texts, blocks, grams_of, mix
 from tracelake.llm.components import components
-from tracelake.session import materialize
+from tracelake.llm.stored import store
 
 BANDS, ROWS = 32, 4
 SIZE = BANDS * ROWS
 BATCH = 16
 MISS = 1e-6
-BLOCK = 256
+#: A block where signatures are compared in one task has so many rows, one of full sets so many shingles.
+SIGNATURE_BLOCK, SET_BLOCK = 1024, 1 << 17
 _MULTIPLY = (mix(np.arange(1, SIZE + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _ADD = (mix(np.arange(1001, SIZE + 1001, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 
@@ -228,68 +230,118 @@ def _labelled(rows: DataFrame, labels: DataFrame, node: str, out: str) -> DataFr
     return rows.join(found, node, "left").withColumn(out, F.coalesce("_c", node)).drop("_c")
 
 
-def _across(member: DataFrame, labels: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Surviving pairs across components inside buckets that still hold several components."""
+def _blocked(rows: DataFrame, group: str, weight: str, block: int) -> DataFrame:
+    """Deal the members of each group by hash into blocks of about ``block`` in total weight; each member meets every block once, as side ``i`` or ``j``."""
+    sizes = rows.groupBy(group).agg(F.ceil(F.sum(F.expr(weight)) / F.lit(block)).cast("int").alias("_n"))
+    rows = rows.join(sizes, group)
+    own = F.pmod(F.xxhash64("node"), F.col("_n")).cast("int")
+    rows = rows.select(group, "node", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("other"))
+    return rows.select(group, "node", "label", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+
+def _forest(group: pa.Table, near) -> pa.Table:
+    """Links between different labels in one pair of blocks, as a spanning forest.
+
+    ``near(x, ys)`` tells which of the rows ``ys`` are near row ``x``. Pairs whose ends are
+    connected already are not tested, so no more links than rows come out.
+    """
+    node, label, own = (group[c].to_numpy() for c in ("node", "label", "own"))
+    i, j = group["i"][0].as_py(), group["j"][0].as_py()
+    right = np.flatnonzero(own == j)
+    tree = np.arange(len(node))
+    links = []
+    for x in np.flatnonzero(own == i).tolist():
+        y = right if i != j else right[right > x]
+        y = y[(tree[y] != tree[x]) & (label[y] != label[x])]
+        if len(y):
+            y = y[near(x, y)]
+            trees, first = np.unique(tree[y], return_index=True)
+            links += [(node[x], node[k]) for k in y[first].tolist()]
+            tree[np.isin(tree, trees)] = tree[x]
+    return pa.table({"a": pa.array([min(p) for p in links], pa.int64()), "b": pa.array([max(p) for p in links], pa.int64())})
+
+
+def _across(member: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links between components inside buckets that still hold several of them, enough to join what belongs together.
+
+    First the signatures of each bucket are compared across components; what no batch rules
+    out is only kept as a forest, whose trees are the groups of rows that may still be linked.
+    Then each group is compared on its full sets, once, whatever the number of its buckets.
+    """
+    bounds, percent = least_matches(threshold), round(100 * threshold)
     rows = _labelled(member.select("bucket", "node"), labels, "node", "label")
-    mixed = rows.groupBy("bucket").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"), F.count("*").alias("_n")).filter("_lo <> _hi")
-    rows = rows.join(mixed.select("bucket", "_n"), "bucket")
-    # a bucket of n members is cut into ceil(n / BLOCK) blocks by hash; each member meets every block once
-    count = F.ceil(F.col("_n") / F.lit(BLOCK)).cast("int")
-    own = F.pmod(F.xxhash64("node"), count).cast("int")
-    rows = rows.select("bucket", "node", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), count - 1)).alias("other"))
-    rows = rows.select("bucket", "node", "label", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    rows = rows.join(classes.select("node", "n_shingles", "signature"), "node")
-    bounds = least_matches(threshold)
+    mixed = rows.groupBy("bucket").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).filter("_lo <> _hi")
+    rows = store(rows.join(mixed.select("bucket"), "bucket"), "mixed")
+    by_bucket = _blocked(rows, "bucket", "1", SIGNATURE_BLOCK).join(classes.select("node", "n_shingles", "signature"), "node")
+
+    def by_signature(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        n, sig = group["n_shingles"].to_numpy(), _signature_rows(group["signature"].chunk(0))
+
+        def near(x, ys):
+            fits = np.minimum(n[ys], n[x]) >= threshold * np.maximum(n[ys], n[x]) - 1e-9
+            at = np.flatnonzero(fits)
+            return at[posterior_filter(np.broadcast_to(sig[x], (len(at), SIZE)), sig[ys[at]], bounds)[0]]
+
+        return _forest(group, near)
+
+    maybe = by_bucket.groupBy("bucket", "i", "j").applyInArrow(by_signature, "a long, b long")
+    trees = components(maybe)
+    roots = trees.select(F.col("component").alias("node"), "component").distinct()
+    trees = trees.unionByName(roots).join(rows.select("node", "label").distinct(), "node").join(classes.select("node", "n_shingles"), "node")
+    by_group = _blocked(store(trees, "groups"), "component", "n_shingles", SET_BLOCK).join(sets, "node")
 
-    def compare(group: pa.Table) -> pa.Table:
+    def by_set(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
-        node, label = group["node"].to_numpy(), group["label"].to_numpy()
-        n, own = group["n_shingles"].to_numpy(), group["own"].to_numpy()
-        sig = _signature_rows(group["signature"].chunk(0))
-        i, j = group["i"][0].as_py(), group["j"][0].as_py()
-        left = np.flatnonzero(own == i)
-        right = np.flatnonzero(own == j)
-        out_a, out_b = [], []
-        for x in left.tolist():
-            y = right if i != j else right[right > x]
-            y = y[(label[y] != label[x]) & (np.minimum(n[y], n[x]) >= threshold * np.maximum(n[y], n[x]) - 1e-9)]
-            if len(y):
-                at, _ = posterior_filter(np.broadcast_to(sig[x], (len(y), SIZE)), sig[y], bounds)
-                out_a += [node[x]] * len(at)
-                out_b += node[y[at]].tolist()
-        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
-
-    found = rows.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        t = Texts.of(group["shingles"].chunk(0))
+        values, first = t.data.view(np.uint64), t.offsets // 8
+        code = np.unique(values, return_inverse=True)[1].astype(np.int32)
+        size = np.diff(first)
+        marked = np.zeros(code.max() + 1, bool)
+
+        def near(x, ys):
+            own = code[first[x]:first[x + 1]]
+            marked[own] = True
+            length = size[ys]
+            begin = np.cumsum(length) - length
+            at = np.repeat(first[ys] - begin, length)
+            at += np.arange(len(at))
+            same = np.add.reduceat(marked[code[at]], begin, dtype=np.int64)
+            marked[own] = False
+            return 100 * same >= percent * (size[x] + length - same)
+
+        return _forest(group, near)
+
+    return by_group.groupBy("component", "i", "j").applyInArrow(by_set, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row."""
-    sketched = materialize(sketch(docs, shingle), "sketch")
+    sketched = store(sketch(docs, shingle), "sketch")
     usable = sketched.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = usable.groupBy("d0", "d1", "n_shingles").agg(
         F.min(F.struct("doc_id", "signature")).alias("_m"), F.count("*").alias("copies"))
-    classes = materialize(classes.select(F.col("_m.doc_id").alias("node"), "d0", "d1", "n_shingles", "copies",
+    classes = store(classes.select(F.col("_m.doc_id").alias("node"), "d0", "d1", "n_shingles", "copies",
                                          F.col("_m.signature").alias("signature")), "classes")
-    member = materialize(members(classes), "members")
+    member = store(members(classes), "members")
     stars = member.filter("pivot <> node").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    stars = materialize(_pruned(stars, classes, threshold), "stars")
+    stars = store(_pruned(stars, classes, threshold), "stars")
     nodes = member.select("node").distinct().join(classes.select("node", "d0"), "node")
-    sets = materialize(_sets(docs, nodes, shingle), "sets")
+    sets = store(_sets(docs, nodes, shingle), "sets")
 
     best = stars.groupBy("b").agg(F.max(F.struct("agree", "a")).alias("_m")).select(F.col("_m.a").alias("a"), "b")
-    links = materialize(_verified(best, sets, threshold), "verified")
+    links = store(_verified(best, sets, threshold), "verified")
     labels = components(links)
     rest = _labelled(_labelled(stars.select("a", "b"), labels, "a", "la"), labels, "b", "lb").filter("la <> lb")
     rest = rest.join(best, ["a", "b"], "left_anti")
-    links = links.unionByName(materialize(_verified(rest, sets, threshold), "verified"))
+    links = links.unionByName(store(_verified(rest, sets, threshold), "verified"))
     labels = components(links)
-    last = materialize(_verified(_across(member, labels, classes, threshold), sets, threshold), "verified")
+    last = store(_across(member, labels, classes, sets, threshold), "verified")
     if last.head(1):
         labels = components(links.unionByName(last))
 
     of_class = _labelled(classes.select("node", "d0", "d1", "copies"), labels, "node", "component_id")
-    of_class = materialize(of_class.filter("copies > 1 OR component_id <> node").select("d0", "d1", "component_id"), "classes")
+    of_class = store(of_class.filter("copies > 1 OR component_id <> node").select("d0", "d1", "component_id"), "classes")
     out = sketched.select("doc_id", "n_shingles", "d0", "d1").join(of_class, ["d0", "d1"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tracelake.llm import recurrent
 from tracelake.llm.blocks import LOWER, SPACE, Hashes, Texts, blocks
-from tracelake.session import materialize
+from tracelake.llm.stored import store
 
 BATCH_BYTES = 8 << 20
 ROUNDS = 3
@@ -80,7 +80,7 @@ def gather(docs: DataFrame, batch_bytes: int) -> DataFrame:
             yield pack(part << 32 | n, group)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return materialize(rows.mapInArrow(run, "batch long, ids binary, no_id binary, offsets binary, text binary"), "text-batches")
+    return store(rows.mapInArrow(run, "batch long, ids binary, no_id binary, offsets binary, text binary"), "text-batches")
 
 
 class _Batch:
@@ -223,10 +223,10 @@ def _train(stored: DataFrame, held, flat: np.ndarray, number: int, train_words:
                          "weights": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
     schema = "task long, used long, weights binary"
-    rows = materialize(stored.mapInArrow(run, schema), "weights")
+    rows = store(stored.mapInArrow(run, schema), "weights")
     tasks = rows.count()
     while tasks > 16:   # averages of averages, sixteen at a time
-        rows = materialize(rows.groupBy(F.floor(F.col("task") / F.lit(16)).alias("task")).applyInArrow(average, schema), "weights")
+        rows = store(rows.groupBy(F.floor(F.col("task") / F.lit(16)).alias("task")).applyInArrow(average, schema), "weights")
         rows = rows.withColumn("task", F.floor(F.col("task") / F.lit(16)))
         before, tasks = tasks, rows.count()
         if tasks == before:
@@ -274,7 +274,7 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS, train_words: int = TR
     stored = gather(docs, batch_bytes)
     buckets = max(64, 2 * stored.count())
     top = recurrent.WORDS - 2
-    counted = materialize(_count(_announce(stored, buckets), top), "counts")
+    counted = store(_count(_announce(stored, buckets), top), "counts")
     total = counted.filter("batch IS NULL").agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n"), F.coalesce(F.sum("types"), F.lit(0)).alias("v")).first()
     hashes, counts = _frequent(counted, top)
     end = docs_in_training(stored)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tracelake.llm.components import components
 from tracelake.llm.proximity import medoid, range_search, robust_prune
-from tracelake.session import materialize
+from tracelake.llm.stored import store
 
 SAMPLE = 4096
 TARGET = 1000          # nodes that a shard is meant to have
@@ -209,18 +209,18 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, beam: int = 24, sl
                  attempts: int = 3) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row."""
     rows, nodes = nodes_of(vectors)
-    nodes = materialize(nodes, "nodes")
+    nodes = store(nodes, "nodes")
     sizes = nodes.groupBy(*GROUP).agg(F.count("*").alias("n"))
-    sizes = materialize(sizes, "sizes")
-    centres = materialize(_centroids(nodes, sizes), "centres")
+    sizes = store(sizes, "sizes")
+    centres = store(_centroids(nodes, sizes), "centres")
     for attempt in range(attempts):
-        member = materialize(_assign(nodes, sizes, centres, slack), "shards")
+        member = store(_assign(nodes, sizes, centres, slack), "shards")
         blocks = member.groupBy(*GROUP, "shard").agg(F.count("*").alias("size")).withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int"))
-        blocks = materialize(blocks, "blocks")
+        blocks = store(blocks, "blocks")
         member = member.join(blocks.drop("size"), [*GROUP, "shard"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).drop("blocks")
-        graph = materialize(_graphs(member), "graph")
-        found = materialize(_search(member, graph, blocks, threshold, beam), "found")
-        counts = materialize(found.filter("kind = 0").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("links")), "counts")
+        graph = store(_graphs(member), "graph")
+        found = store(_search(member, graph, blocks, threshold, beam), "found")
+        counts = store(found.filter("kind = 0").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("links")), "counts")
         have, want = audit_recall(nodes, counts, threshold)
         if have >= min_recall * want:
             break
@@ -228,7 +228,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, beam: int = 24, sl
     labels = components(found.filter("kind = 1").select("a", "b")).withColumnRenamed("component", "_c")
     known = nodes.drop("vector").join(counts, "node", "left").join(labels, "node", "left").select(
         *GROUP, "d0", "d1", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("_c", "node").alias("_c"))
-    known = materialize(known.filter("links > 0"), "linked")
+    known = store(known.filter("links > 0"), "linked")
     keys = [*GROUP, "d0", "d1"]
     out = rows.select("vec_id", *[F.when(F.col("usable"), F.col(k)).alias(k) for k in keys]).join(known, keys, "left")
     component = F.coalesce("_c", "vec_id")
