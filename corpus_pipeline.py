@@ -2,6 +2,7 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all that the one before it kept; its
 result is written as Parquet to the shared folder and read again as the next one's documents.
+All but the last return the columns of ``documents``.
 """
 
 from __future__ import annotations
@@ -15,21 +16,48 @@ DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Line-first cleaning: failing lines go, and so do documents that it rejects."""
+    """Failing lines go, and so do the documents that the line-first rules reject."""
     from tracelake.llm.quality import clean
 
-    return clean(docs, cleaned="clean_text").filter("kept").select(
-        "doc_id", F.col("clean_text").alias("text"), "lang", "source", F.length("clean_text").cast("long").alias("n_chars"))
+    judged = clean(docs, cleaned="clean_text").filter("kept").drop("text").withColumnRenamed("clean_text", "text")
+    return judged.withColumn("n_chars", F.length("text").cast("long")).select(*DOCUMENT)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five-word shingles, similarity 0.8) stays; rows without id stay."""
+    from tracelake.llm.minhash import near_duplicates as judge
+
+    gone = materialize(judge(docs, shingle=5, threshold=0.8).filter("NOT kept").select("doc_id").distinct(), "copies")
+    rest = docs.join(gone, "doc_id", "left_anti")
+    again = materialize(rest.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 AND doc_id IS NOT NULL").select("doc_id"), "repeated")
+    if again.head(1):  # one document in several rows
+        rest = rest.join(again, "doc_id", "left_anti").unionByName(rest.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]))
+    return rest.select(*DOCUMENT)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind."""
+    from tracelake.llm.personal import mask
+
+    return mask(docs.select(*DOCUMENT)).withColumn("n_chars", F.length("text").cast("long")).select(*DOCUMENT)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources brought to their target weights by Poisson replication, all rows shuffled."""
+    from tracelake.llm.mixing import mix
+
+    return mix(docs).select(*DOCUMENT)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 4096 tokens."""
+    """Pieces in sequences of at most 4096 tokens."""
     from tracelake.llm.packing import pack
 
-    return pack(docs)
+    return pack(docs).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-STAGES = [("quality", quality), ("packing", packing)]
+STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("personal_data", personal_data),
+          ("mixing", mixing), ("packing", packing)]
 
 #: The stages train a model and count tokens, which SQL cannot express.
 ORACLE_SQL = None

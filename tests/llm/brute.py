@@ -69,3 +69,65 @@ def cut_passages(docs, length=50):
         spans = sum(1 for p in range(len(b)) if gone[p] and (p == 0 or not gone[p - 1]))
         out[i] = (len(b), sum(gone), spans, hashlib.sha256(rest).hexdigest())
     return out
+
+
+def quality_counts(text):
+    """(words, word_chars, symbols, dup_lines, repeat_words, base_failed)"""
+    text = text or ""
+    w = WORD.findall(text)
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    grams = {}
+    for i in range(len(w) - 7):
+        grams.setdefault(tuple(w[i:i + 8]), []).append(i)
+    cover = {j for at in grams.values() if len(at) > 1 for i in at for j in range(i, i + 8)}
+    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), dup, len(cover),
+            len(w) < 20 or 100 * len(cover) > 30 * len(w))
+
+
+def line_verdict(text):
+    """The line rules in plain Python: (kept, text without failing lines)."""
+    from tracelake.llm.quality import BOILERPLATE, MENU_MARKS
+
+    text = text or ""
+    seen, lost, parts = set(), 0, []
+    for line in text.split("\n"):
+        w = WORD.findall(line)
+        low = lower(line).encode()
+        bad = bool(w) and (
+            (len(w) <= 5 and not line.rstrip(" \t\x0b\x0c\r").endswith(tuple(".!?:;,\"')]}…。！？”’")))
+            or (len(w) <= 12 and sum(low.count(m) for m in MENU_MARKS) > 1)
+            or (len(w) <= 30 and any(b in low for b in BOILERPLATE))
+            or sum(c in "#*$%&|<>" for c in line) > 0.5 * len(w)
+            or line in seen)
+        seen.add(line)
+        lost += len(w) if bad else 0
+        parts.append((line, bad))
+    words, *_, failed = quality_counts(text)
+    out = "".join((line + ("\n" if i + 1 < len(parts) else "")) for i, (line, bad) in enumerate(parts) if not bad)
+    return not failed and 2 * lost <= words, out
+
+
+def poisson_copies(rows, seed=0):
+    """rows: (id, source) -> id -> copies, for weights by the square root of source sizes."""
+    import hashlib
+    import math
+
+    size = {}
+    for _, s in rows:
+        size[s or ""] = size.get(s or "", 0) + 1
+    total = sum(math.sqrt(n) for n in size.values())
+    out = {}
+    for i, s in rows:
+        rate = math.sqrt(size[s or ""]) / total * len(rows) / size[s or ""]
+        u = int(hashlib.md5(f"{seed}:{i}".encode()).hexdigest()[:13], 16) / 2 ** 52
+        k, p, c = 0, math.exp(-rate), math.exp(-rate)
+        while c <= u and k < 1000:
+            k += 1
+            p *= rate / k
+            c += p
+        out[i] = k
+    return out
