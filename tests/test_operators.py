@@ -134,8 +134,8 @@ def test_card_rules(spark):
     assert len(c["outcome"]) == 500 and c["redactions"] == {"email": 1, "home_path": 1}
     assert cards["e"]["query"] == "(no user turn)" and cards["e"]["outcome"] == "(no assistant turn)"
     steps = cd.attach_steps(cd.card_build(spark.createDataFrame(rows, TURNS)),
-                            cd.card_steps(cd.redact_turns(spark.createDataFrame(rows, TURNS))), 0)
-    assert {r["session_id"]: r["steps"] for r in steps.collect()} == {"s": None, "e": []}
+                            cd.card_steps(cd.redact_turns(spark.createDataFrame(rows, TURNS))))
+    assert {(r["session_id"], r["part_no"]): [x[:4] for x in r["steps"]] for r in steps.collect()} == {("s", 0): ["done"], ("e", 0): []}
 
 
 def test_titles(spark):
@@ -199,28 +199,37 @@ def test_search_in_query_blocks(spark, monkeypatch):
 def test_tick(spark):
     now = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
     turns = spark.createDataFrame([(s, 0, "user", c, "", [], "") for s, c in
-                                   (("a", "hi"), ("b", " <transcript>x"), ("c", "hi"), ("d", "hi"), ("old", "hi"))], TURNS)
+                                   (("a", "hi"), ("b", " <transcript>x"), ("c", "hi"), ("d", "hi"), ("old", "hi"))], TURNS).withColumn("source", F.lit("x"))
+    turns = turns.unionByName(turns.filter("session_id = 'a'").withColumn("source", F.lit("y")))
     ses = spark.createDataFrame([("x", s, "ag", "/w" if s != "d" else "/n", f"2024-01-0{i + 1}", 10 if s != "c" else 9_999_999)
                                  for i, s in enumerate(("a", "b", "c", "d", "old"))],
                                 "source string, session_id string, agent string, cwd string, mtime string, size_bytes long")
     seen = spark.createDataFrame([("x", "old")], "source string, session_id string")
     policy = cs.policy_tables(spark, {"cwd_rules": [{"glob": "/w/**", "mode": "always"}]})
+    ses = ses.unionByName(spark.createDataFrame([("y", "a", "ag", "/n", "2024-01-09", 1), ("x", "none", "ag", "/w", "2024-01-09", 1)], ses.schema))
+    out, todo = jobs.tick(turns, ses, seen, policy, now, max_per_source=10, max_kb=4096)
+    assert {(r["source"], r["session_id"]): r["status"] for r in out.collect()} == {
+        ("x", "a"): "uploaded", ("x", "b"): "skipped_artifact", ("x", "c"): "skipped_size", ("x", "d"): "skipped_consent",
+        ("x", "old"): "skipped_seen", ("x", "none"): "skipped_empty", ("y", "a"): "skipped_consent"}
+    assert [(r["source"], r["session_id"]) for r in todo.collect()] == [("x", "a")]
     out, todo = jobs.tick(turns, ses, seen, policy, now)
-    assert {r["session_id"]: r["status"] for r in out.collect()} == {
-        "a": "uploaded", "b": "skipped", "c": "skipped", "d": "skipped_consent", "old": "skipped"}
-    assert [r["session_id"] for r in todo.collect()] == ["a"]
+    assert {r["session_id"] for r in todo.collect()} == {"a", "c"}
+    out, todo = jobs.tick(turns, ses, seen, policy, now, max_per_source=1)
+    assert {r["session_id"]: r["status"] for r in out.filter("source = 'x'").collect()}["c"] == "skipped_cap"
     assert jobs.tick(turns, ses, seen, None, now)[1].count() == 0
 
 
-def test_chat_numbering_in_a_hot_hour(spark, monkeypatch):
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_chat_numbering_in_a_hot_hour(spark, monkeypatch, kind):
     from tracelake.sources import chat
     rnd = random.Random(4)
-    rows = [(i, "ann" if i % 3 else "human", "bob", f"m{i}", "", "", rnd.choice(["", "2024-01-01T10:00:00", "2024-01-01T10:00:01", "2024-01-01T11:00:00"]), f"t{i % 2}")
+    name = int if kind == "long" else (lambda i: str(i * 6553 % 70001))
+    rows = [(name(i), "ann" if i % 3 else "human", "bob", f"m{i}", "", "", rnd.choice(["", "2024-01-01T10:00:00", "2024-01-01T10:00:01", "2024-01-01T11:00:00"]), f"t{i % 2}")
             for i in range(200)]
-    df = spark.createDataFrame(rows, "id long, sender string, recipient string, content string, workflow string, stage string, ts string, thread_id string")
+    df = spark.createDataFrame(rows, f"id {kind}, sender string, recipient string, content string, workflow string, stage string, ts string, thread_id string")
     plain = sorted(chat.chat_to_turns(df).select("session_id", "turn_index", "content").collect())
     monkeypatch.setattr(scan, "CHUNK", 7)
-    fine = sorted(chat.chat_to_turns(df, hot=5).select("session_id", "turn_index", "content").collect())
+    fine = sorted(chat.chat_to_turns(df, id_chars=2).select("session_id", "turn_index", "content").collect())
     want = []
     for t in ("t0", "t1"):
         mine = sorted((r for r in rows if r[7] == t), key=lambda r: (r[6], r[0]))

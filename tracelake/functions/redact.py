@@ -171,7 +171,7 @@ def redact_tree(rules: tuple[Rule, ...] = DEFAULT_RULES):
                     try:
                         tree = _walk(json.loads(raw), compiled, hits)
                         texts.append(json.dumps(tree, ensure_ascii=False, separators=(",", ":")))
-                    except ValueError:
+                    except (ValueError, RecursionError):  # no JSON, or nested too deep to walk
                         texts.append(_scrub(raw, compiled, hits))
                 counts.append(hits)
             yield pd.DataFrame({"json": texts, "hits": counts})

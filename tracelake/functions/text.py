@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BLANKS = " \t\n\x0b\x0c\r"
+# White space of Unicode, as trimming and splitting of texts know it.
+BLANKS = (" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+          "\u2028\u2029\u202f\u205f\u3000")
 LINE_BREAKS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 
 # Sentence separators of a title, in the order they are looked for.
@@ -69,7 +71,7 @@ def is_blank(c: Column) -> Column:
 
 def flatten_ws(c: Column) -> Column:
     """Runs of white space become one blank; ends are trimmed."""
-    return F.trim(F.regexp_replace(c, r"\s+", " "))
+    return F.trim(F.regexp_replace(c, f"[{BLANKS}]+", " "))
 
 
 def _any_of(parts) -> str:

@@ -9,6 +9,7 @@ from tracelake import schema as sc
 from tracelake.functions import text as tx
 from tracelake.functions.redact import HITS_TYPE, hit_sums, merge_hits, redact, redact_tree
 from tracelake.functions.rules import DEFAULT_RULES, Rule
+from tracelake.operators.scan import running
 
 
 def redact_turns(turns: DataFrame, rules: tuple[Rule, ...] = DEFAULT_RULES,
@@ -76,16 +77,15 @@ def card_steps(clean: DataFrame) -> DataFrame:
         "session_id", "turn_index", F.substring("content", 1, 280).alias("step"))
 
 
-def attach_steps(cards: DataFrame, steps: DataFrame, max_inline: int = 10_000) -> DataFrame:
-    """Cards with ``steps`` as an array. Sessions above ``max_inline`` steps keep NULL here
-    and are read from the step table, which always holds them whole."""
-    small = cards.filter(F.col("n_steps") <= max_inline).select("session_id")
-    lists = (steps.join(small, "session_id", "left_semi").groupBy("session_id")
+def attach_steps(cards: DataFrame, steps: DataFrame, part: int = 1000) -> DataFrame:
+    """Cards with their steps as arrays of ``part`` steps: one row per ``part_no`` (from 0),
+    for short and long sessions alike; a card without steps has one empty part."""
+    placed = running(steps, ["session_id"], ["turn_index"], sums={"_at": F.lit(1)})
+    lists = (placed.groupBy("session_id", F.floor(F.col("_at") / F.lit(part)).cast("long").alias("part_no"))
              .agg(F.array_sort(F.collect_list(F.struct("turn_index", "step"))).alias("_s"))
-             .select("session_id", F.transform("_s", lambda s: s["step"]).alias("steps")))
-    empty = F.array().cast("array<string>")
-    return (cards.join(lists, "session_id", "left")
-            .withColumn("steps", F.when(F.col("n_steps") == 0, empty).otherwise(F.col("steps"))))
+             .select("session_id", "part_no", F.transform("_s", lambda s: s["step"]).alias("steps")))
+    return (cards.join(lists, "session_id", "left").withColumn("part_no", F.coalesce("part_no", F.lit(0).cast("long")))
+            .withColumn("steps", F.coalesce("steps", F.array().cast("array<string>"))))
 
 
 def card_backfill(turns: DataFrame, source: str, rules: tuple[Rule, ...] = DEFAULT_RULES) -> DataFrame:
@@ -136,23 +136,23 @@ def intents(cards: DataFrame, labels: DataFrame | None = None) -> DataFrame:
 PIECES = 8
 
 
-def turn_digest(position: Column, role: Column, content: Column, tool_names: Column | None) -> Column:
+def turn_digest(role: Column, content: Column, tool_names: Column | None) -> Column:
     names = F.coalesce(F.array_join(tool_names, ","), F.lit("")) if tool_names is not None else F.lit("")
-    return F.sha2(F.concat_ws("\u001f", position.cast("string"), role,
-                              tx.flatten_ws(F.coalesce(content, F.lit(""))), names), 256)
+    return F.sha2(F.concat_ws("\u001f", role, tx.flatten_ws(F.coalesce(content, F.lit(""))), names), 256)
 
 
 def fingerprint(turns: DataFrame) -> DataFrame:
     """(session_id, n_turns, fingerprint) over the ordered (role, normalised content, tool
-    names); times and metadata do not count.
+    names); turn numbers, times and metadata do not count, only the order.
 
-    Every turn is hashed with its position where it is read, and the hashes are added up in
-    eight limbs: an order-aware set hash that combines on the map side. No content is
-    shuffled, nothing is sorted and no session is collected.
+    Every turn is hashed where it is read. Only the hashes are placed in their order (dense
+    positions over chunks), hashed with the position and added up in eight limbs: no content
+    is shuffled and no session is collected.
     """
     names = F.transform("tool_calls", lambda c: c["name"]) if "tool_calls" in turns.columns else None
-    h = turns.select("session_id", turn_digest(F.col("turn_index"), F.col("role"),
-                                               F.col("content"), names).alias("h"))
+    h = turns.select("session_id", "turn_index", turn_digest(F.col("role"), F.col("content"), names).alias("_d"))
+    h = running(h, ["session_id"], ["turn_index"], sums={"_at": F.lit(1)}).select(
+        "session_id", F.sha2(F.concat_ws("\u001f", F.col("_at").cast("string"), "_d"), 256).alias("h"))
     limbs = [F.conv(F.substring("h", 1 + 7 * i, 7), 16, 10).cast("long") for i in range(PIECES)]
     agg = h.groupBy("session_id").agg(
         F.count(F.lit(1)).alias("n_turns"),

@@ -14,11 +14,26 @@ PENDING_TTL_DAYS, PENDING_MAX = 7, 100
 
 
 def glob_regex(glob: Column) -> Column:
-    """Anchored regular expression of a shell glob (``*`` and ``?`` cross slashes)."""
-    quoted = F.regexp_replace(glob, r"([\\.^$|+(){}])", r"\\$1")
-    quoted = F.regexp_replace(quoted, r"\[!", "[^")
-    return F.concat(F.lit(r"(?s)\A"), F.replace(F.replace(quoted, F.lit("*"), F.lit(".*")),
-                                                F.lit("?"), F.lit(".")), F.lit(r"\z"))
+    """Anchored regular expression of a shell glob (``*`` and ``?`` cross slashes). Inside a
+    class every character is itself, a range that runs backwards holds nothing, and a bracket
+    that is not closed is a plain character."""
+    def literal(c: Column) -> Column:
+        return F.regexp_replace(c, r"([^A-Za-z0-9\s\x{80}-\x{10FFFF}])", r"\\$1")
+
+    def inside(c: Column) -> Column:
+        lo, hi = F.substring(c, 1, 1), F.substring(c, 3, 1)
+        return F.when(F.length(c) < 3, literal(c)).when(lo > hi, "").otherwise(F.concat(literal(lo), F.lit("-"), literal(hi)))
+
+    tokens = F.regexp_extract_all(glob, F.lit(r"(?s)\[!?\]?[^\]]*\]|."), F.lit(0))
+
+    def regex(token: Column) -> Column:
+        negated = F.startswith(token, F.lit("[!"))
+        body = F.substr(token, F.when(negated, 3).otherwise(2), F.length(token) - F.when(negated, 3).otherwise(2))
+        members = F.array_join(F.transform(F.regexp_extract_all(body, F.lit("(?s).-.|."), F.lit(0)), inside), "")
+        cls = F.when(members != "", F.concat(F.when(negated, "[^").otherwise("["), members, F.lit("]"))).when(negated, ".").otherwise("(?!)")
+        return F.when(F.length(token) > 1, cls).when(token == "*", ".*").when(token == "?", ".").otherwise(literal(token))
+
+    return F.concat(F.lit(r"(?s)\A"), F.array_join(F.transform(tokens, regex), ""), F.lit(r"\z"))
 
 
 def _anchor(glob: Column) -> Column:

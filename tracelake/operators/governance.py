@@ -82,12 +82,14 @@ def unpublish(experiences: DataFrame, requests: DataFrame) -> DataFrame:
 
 
 def revoke(experiences: DataFrame, requests: DataFrame, now: dt.datetime) -> DataFrame:
-    """Rows revoked by their owner lose their trajectory path and get the revoked status.
-    The fingerprint ledger is left alone, so the same content stays known."""
+    """Rows revoked by their owner lose their trajectory path and get the revoked status and
+    time; a row revoked before keeps its time. The fingerprint ledger is left alone, so the
+    same content stays known."""
+    old = F.col("revoked_at") if "revoked_at" in experiences.columns else F.lit(None).cast("string")
     asked = requests.select("experience_id", "owner").distinct().withColumn("_r", F.lit(True))
     hit = F.coalesce(F.col("_r"), F.lit(False))
     return (experiences.join(asked, ["experience_id", "owner"], "left")
-            .withColumn("revoked_at", F.when(hit, F.date_format(F.lit(now), "yyyy-MM-dd'T'HH:mm:ss")))
+            .withColumn("revoked_at", F.coalesce(old, F.when(hit, F.date_format(F.lit(now), "yyyy-MM-dd'T'HH:mm:ss"))))
             .withColumn("trajectory_path", F.when(~hit, F.col("trajectory_path")))
             .withColumn("review_status", F.when(hit, "revoked").otherwise(F.col("review_status")))
             .drop("_r"))

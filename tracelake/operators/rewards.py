@@ -25,7 +25,8 @@ def parse_judge_reply(raw: Column) -> Column:
         return F.when(F.startswith(text, F.lit("```")), inner).otherwise(text)
 
     return pipe(raw, strip, unfence, lambda t: F.regexp_extract(t, r"(?s)\{.*\}", 0),
-                lambda o: F.when((o != "") & F.get_json_object(o, "$").isNotNull(), o))
+                # inside brackets, so that anything after the object makes the text invalid
+                lambda o: F.when((o != "") & F.try_parse_json(F.concat(F.lit("["), o, F.lit("]"))).isNotNull(), o))
 
 
 def reward_struct(obj: Column) -> Column:
@@ -37,7 +38,7 @@ def reward_struct(obj: Column) -> Column:
         kinds = F.try_parse_json(o)
         return F.struct(F.from_json(o, schema).alias("f"), *[
             F.schema_of_variant(F.try_variant_get(kinds, f"$.{d}", "variant")).alias(d)
-            for d in REWARD_DIMS])
+            for d in (*REWARD_DIMS, "confidence")])
 
     def check(x: Column) -> Column:
         out = []
@@ -48,7 +49,8 @@ def reward_struct(obj: Column) -> Column:
                       .otherwise(raw.try_cast("double").try_cast("long")))
             out.append(F.greatest(F.lit(-1), F.least(F.lit(1), F.coalesce(value, F.lit(0))))
                        .cast("int").alias(d))
-        conf = F.coalesce(x["f"]["confidence"].try_cast("double"), F.lit(0.5))
+        raw = x["f"]["confidence"]
+        conf = F.coalesce(F.when(x["confidence"] == "BOOLEAN", F.when(raw == "true", 1.0).otherwise(0.0)).otherwise(raw.try_cast("double")), F.lit(0.5))
         return F.struct(
             *out, F.greatest(F.lit(0.0), F.least(F.lit(1.0), conf)).alias("confidence"),
             F.substring(F.coalesce(x["f"]["reason"], F.lit("")), 1, 500).alias("reason"))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracelake.functions.rules import DEFAULT_RULES, Rule
@@ -20,15 +21,23 @@ from tracelake.operators import search as se
 from tracelake.sources.sinks import write_gold
 
 
+def whole_id(source: str = "source", session: str = "session_id") -> Column:
+    """A session is named by its source and its id there; two sources may use one id."""
+    return F.concat_ws("/", source, session)
+
+
 def push(spark: SparkSession, turns: DataFrame, path: str, agent_id: str, batch: str,
          ledger: DataFrame | None = None, rules: tuple[Rule, ...] = DEFAULT_RULES,
          constants: dict | None = None) -> dict[str, str]:
-    """Turns -> stored tables of one batch.
+    """Turns -> stored tables of one batch. With a ``source`` column, sessions are stored under
+    ``source/session_id``.
 
     Fingerprint and ledger come first, so the expensive rules only see new content. Redacted
     turns are written once and everything else is derived from that table: the rules run once
     per turn, and a lost executor only repeats its own part.
     """
+    if "source" in turns.columns:
+        turns = turns.withColumn("session_id", whole_id()).drop("source")
     prints = cd.fingerprint(turns).select(
         F.lit(agent_id).alias("agent_id"), "session_id", "fingerprint", F.col("session_id").alias("arrival"))
     new = dd.dedup_sessions(prints) if ledger is None else dd.dedup_ledger_antijoin(prints, ledger)[0]
@@ -52,28 +61,39 @@ def push(spark: SparkSession, turns: DataFrame, path: str, agent_id: str, batch:
 
 
 def tick(turns: DataFrame, sessions: DataFrame, seen: DataFrame, policy: tuple | None, now: dt.datetime,
-         max_per_source: int = 10, max_kb: int = 4096) -> tuple[DataFrame, DataFrame]:
+         max_per_source: int | None = None, max_kb: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(outcomes, turns to push) of one sync run.
 
-    ``sessions`` holds (source, session_id, agent, cwd, mtime, size_bytes). A session that
-    consent holds back is not remembered, so a later 'always' picks it up.
+    ``sessions`` holds (source, session_id, agent, cwd, mtime, size_bytes), ``turns`` also has
+    its ``source``; everything meets on both. The caps are off unless given (10 and 4096 are
+    usual). The status of a session tells why it was left out: ``skipped_seen``,
+    ``skipped_size``, ``skipped_empty``, ``skipped_artifact``, ``skipped_consent`` or
+    ``skipped_cap``. A session that consent holds back is not remembered, so a later 'always'
+    picks it up.
     """
+    key = ["source", "session_id"]
     unseen = dd.seen_id_antijoin(sessions, seen)
-    fits = fl.size_cap_filter(unseen, max_kb)
-    has_turns = turns.groupBy("session_id").agg(F.count(F.lit(1)).alias("n_turns"))
-    artifacts = fl.artifact_sessions(turns).withColumn("artifact", F.lit(True))
-    ready = (fits.join(has_turns, "session_id").join(artifacts, "session_id", "left")
-             .filter(F.col("artifact").isNull()).drop("artifact", "n_turns"))
+    fits = unseen if max_kb is None else fl.size_cap_filter(unseen, max_kb)
+    has_turns = turns.select(*key).distinct()
+    whole = turns.withColumn("session_id", whole_id())
+    artifacts = fl.artifact_sessions(whole).select(F.col("session_id").alias("_whole"))
+    full = fits.join(has_turns, key).withColumn("_whole", whole_id())
+    ready = full.join(artifacts, "_whole", "left_anti").drop("_whole")
     if policy is None:
         gated = cs.no_policy_gate(ready)
     else:
         gated = cs.consent_gate(cs.consent_decide(ready, *policy, now))
-    allowed = gv.cap_per_source(gated.filter("allow"), max_per_source)
-    marks = (gated.filter("NOT allow").select("source", "session_id", F.lit("skipped_consent").alias("status"))
-             .unionByName(allowed.select("source", "session_id", F.lit("uploaded").alias("status"))))
-    outcomes = sessions.join(marks, ["source", "session_id"], "left").withColumn(
-        "status", F.coalesce("status", F.lit("skipped")))
-    return outcomes, turns.join(allowed.select("session_id"), "session_id", "left_semi")
+    passed = gated.filter("allow")
+    allowed = passed if max_per_source is None else gv.cap_per_source(passed, max_per_source)
+    steps = [(unseen, "skipped_seen"), (fits, "skipped_size"), (full, "skipped_empty"), (ready, "skipped_artifact"),
+             (passed, "skipped_consent"), (allowed, "skipped_cap")]
+    # a session got as far as the last step that still holds it
+    reached = reduce(DataFrame.unionByName, [s.select(*key, F.lit(i + 1).alias("_n")) for i, (s, _) in enumerate(steps)])
+    reached = reached.groupBy(*key).agg(F.max("_n").alias("_n"))
+    names = F.array(*[F.lit(name) for _, name in steps], F.lit("uploaded"))
+    outcomes = sessions.join(reached, key, "left").withColumn(
+        "status", F.element_at(names, F.coalesce("_n", F.lit(0)) + 1)).drop("_n")
+    return outcomes, turns.join(allowed.select(*key), key, "left_semi")
 
 
 def search(queries: DataFrame, experiences: DataFrame, log: DataFrame, now: dt.datetime,

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tracelake.sources.base import JSON
 
-RAW_CAP = 8 * 1024 * 1024
 HEAD_LINES = 5
 
 
@@ -45,17 +44,20 @@ def latest(sessions: DataFrame) -> DataFrame:
     return sessions.orderBy(F.desc("mtime"), F.desc("session_id")).limit(1)
 
 
-def raw_manifest(spark: SparkSession, path: str, cap: int = RAW_CAP, glob: str | None = None,
+def raw_manifest(spark: SparkSession, path: str, cap: int | None = None, glob: str | None = None,
                  with_bytes: bool = False) -> DataFrame:
-    """Size and SHA-256 of raw files up to the cap; above it only the size. The length filter
-    is pushed into the scan, so large files are never opened."""
+    """Size and SHA-256 of raw files. With a cap (8 MiB is usual for uploads) larger files show
+    only their size; the length filter is pushed into the scan, so they are never opened."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     files = reader.load(path)
-    small = files.filter(F.col("length") <= cap).select(
+    small = files if cap is None else files.filter(F.col("length") <= cap)
+    small = small.select(
         "path", F.col("length").alias("raw_size_bytes"), F.sha2("content", 256).alias("raw_sha256"),
         *([F.base64("content").alias("raw_b64")] if with_bytes else []), F.lit(False).alias("raw_truncated"))
+    if cap is None:
+        return small
     big = files.filter(F.col("length") > cap).select(
         "path", F.col("length").alias("raw_size_bytes"), F.lit(None).cast("string").alias("raw_sha256"),
         *([F.lit(None).cast("string").alias("raw_b64")] if with_bytes else []), F.lit(True).alias("raw_truncated"))

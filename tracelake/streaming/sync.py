@@ -28,19 +28,24 @@ def stream_lines(spark: SparkSession, path: str, max_files: int | None = None,
         F.col("_metadata.file_size").alias("size_bytes"), F.col("value").alias("raw"))
 
 
-def stored_ledger(spark: SparkSession, out: str, batch: int) -> DataFrame | None:
-    """Fingerprints of earlier batches. The batch itself is left out, so that repeating it
-    after a failure gives the same rows again."""
-    schema = "agent_id string, fingerprint string, session_id string, experience_id string, batch long"
-    if batch == 0:
-        return None
+def batch_name(spark: SparkSession, batch_id: int) -> str:
+    """Name of a micro-batch: the stream's id, which its checkpoint keeps, and the number. So
+    several streams, or one with a new checkpoint, may fill one table."""
+    stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
+    return f"{stream}-{batch_id:09d}"
+
+
+def stored_ledger(spark: SparkSession, out: str, batch: str) -> DataFrame | None:
+    """Fingerprints of all other batches, whatever wrote them. The batch itself is left out,
+    so that repeating it after a failure gives the same rows again."""
+    schema = "agent_id string, fingerprint string, session_id string, experience_id string, batch string"
     try:
         ledger = spark.read.schema(schema).option("basePath", f"{out}/fingerprints").parquet(f"{out}/fingerprints")
     except Exception as e:  # nothing stored yet
         if "PATH_NOT_FOUND" in str(e):
             return None
         raise
-    return ledger.filter(F.col("batch") < batch).drop("batch")
+    return ledger.filter(F.col("batch") != batch).drop("batch")
 
 
 def stream_sync(spark: SparkSession, path: str, out: str, checkpoint: str, agent_id: str,
@@ -56,8 +61,8 @@ def stream_sync(spark: SparkSession, path: str, out: str, checkpoint: str, agent
     def sink(batch: DataFrame, batch_id: int) -> None:
         lines = batch.withColumn("seq", F.monotonically_increasing_id()).withColumn(
             "session_id", file_stem(F.col("path")))
-        push(batch.sparkSession, to_turns(lines), out, agent_id, str(batch_id),
-             stored_ledger(batch.sparkSession, out, batch_id), rules)
+        name = batch_name(batch.sparkSession, batch_id)
+        push(batch.sparkSession, to_turns(lines), out, agent_id, name, stored_ledger(batch.sparkSession, out, name), rules)
 
     writer = stream_lines(spark, path, max_files, glob).writeStream.foreachBatch(sink).option(
         "checkpointLocation", checkpoint)
@@ -90,10 +95,11 @@ def ledger_dedup(out: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch sink: exact de-duplication across all batches by the stored ledger."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        ledger = stored_ledger(spark, out, batch_id)
+        name = batch_name(spark, batch_id)
+        ledger = stored_ledger(spark, out, name)
         new = dd.dedup_sessions(batch) if ledger is None else dd.dedup_ledger_antijoin(batch, ledger)[0]
         new.select("agent_id", "fingerprint", "session_id", F.concat(F.lit("x-"), "session_id").alias("experience_id")
-                   ).write.mode("overwrite").parquet(f"{out}/fingerprints/batch={batch_id}")
+                   ).write.mode("overwrite").parquet(f"{out}/fingerprints/batch={name}")
     return sink
 
 
@@ -110,14 +116,15 @@ def tick_windows(outcomes: DataFrame, time_col: str, interval: str = "120 second
 def tick_metrics_sink(out: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch sink: one summary per micro-batch."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        gv.sync_summary(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        gv.sync_summary(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_name(batch.sparkSession, batch_id)}")
     return sink
 
 
 def deep_drain(waiting: DataFrame, results: DataFrame) -> DataFrame:
-    """Stream-static join: waiting rows that have a deep result leave the queue as done."""
+    """Stream-static join: waiting rows that have a deep result leave the queue as done. Of
+    repeated results one counts, as in ``deep_pass``."""
     return (waiting.filter("sanitization_status = 'layer1_only'")
-            .join(results.select("experience_id", F.col("strict_redactions").alias("_res")), "experience_id")
+            .join(results.groupBy("experience_id").agg(F.max("strict_redactions").alias("_res")), "experience_id")
             .withColumn("strict_redactions", F.col("_res")).withColumn("sanitization_status", F.lit("done")).drop("_res"))
 
 

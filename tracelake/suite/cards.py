@@ -12,7 +12,7 @@ from tracelake.suite.registry import (
     case, hits_text, hits_text_sql, q, rule_steps, table, turns, turns_cte,
 )
 
-BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+BLANK = " || ".join(f"chr({ord(c)})" for c in tx.BLANKS)
 
 
 def strip_sql(e: str) -> str:
@@ -20,7 +20,7 @@ def strip_sql(e: str) -> str:
 
 
 def flat_sql(e: str) -> str:
-    return f"trim(regexp_replace({e}, '\\s+', ' ', 'g'))"
+    return f"trim(regexp_replace({e}, '[\\s\\x{{1C}}-\\x{{1F}}\\x{{0B}}\\x{{85}}\\p{{Z}}]+', ' ', 'g'))"
 
 
 def list_any(fn: str, e: str, items) -> str:
@@ -95,15 +95,17 @@ def card_steps(spark, sf):
     return op.card_steps(op.redact_turns(turns(spark, sf), tool_inputs=False))
 
 
-@case("card_with_steps", f"""WITH {CLEAN_SQL}
-SELECT session_id, count(*) FILTER ({REAL_ASSISTANT}) AS n_steps,
-  coalesce(string_agg(substring(txt, 1, 280), '|' ORDER BY turn_index) FILTER ({REAL_ASSISTANT}), '') AS steps
-FROM clean GROUP BY session_id""")
+@case("card_with_steps", f"""WITH {CLEAN_SQL},
+s AS (SELECT session_id, turn_index, substring(txt, 1, 280) AS step, (row_number() OVER (PARTITION BY session_id ORDER BY turn_index) - 1) // 3 AS part_no
+  FROM clean WHERE {REAL_ASSISTANT}),
+p AS (SELECT session_id, part_no, string_agg(step, '|' ORDER BY turn_index) AS steps FROM s GROUP BY ALL),
+c AS (SELECT session_id, count(*) FILTER ({REAL_ASSISTANT}) AS n_steps FROM clean GROUP BY session_id)
+SELECT session_id, n_steps, coalesce(part_no, 0) AS part_no, coalesce(steps, '') AS steps FROM c LEFT JOIN p USING (session_id)""")
 def card_with_steps(spark, sf):
     # three readers of the redacted turns: the rules run once, the result is stored
     clean = materialize(op.redact_turns(turns(spark, sf), tool_inputs=False), "clean")
-    out = op.attach_steps(op.card_core(clean), op.card_steps(clean))
-    return out.select("session_id", "n_steps", F.array_join("steps", "|").alias("steps"))
+    out = op.attach_steps(op.card_core(clean), op.card_steps(clean), part=3)
+    return out.select("session_id", "n_steps", "part_no", F.array_join("steps", "|").alias("steps"))
 
 
 BF_USER = (f"role = 'user' AND {strip_sql('txt')} <> '' AND NOT "
@@ -199,8 +201,8 @@ def flatten_ws(spark, sf):
     return table(spark, sf, "documents").select("doc_id", tx.flatten_ws(F.col("text")).alias("flat"))
 
 
-DIGEST = ("sha256(concat_ws(chr(31), CAST(turn_index AS VARCHAR), role, " + flat_sql("content")
-          + ", CASE WHEN call_id <> '' THEN tool_name ELSE '' END))")
+DIGEST = ("sha256(concat_ws(chr(31), CAST(row_number() OVER (PARTITION BY session_id ORDER BY turn_index) - 1 AS VARCHAR), sha256(concat_ws(chr(31), role, "
+          + flat_sql("content") + ", CASE WHEN call_id <> '' THEN tool_name ELSE '' END))))")
 LIMBS = ", ".join(f"CAST(sum(CAST('0x' || substring(h, {1 + 7 * i}, 7) AS BIGINT)) AS VARCHAR)" for i in range(op.PIECES))
 FINGERPRINT_CTE = f"""fp AS (SELECT session_id, count(*) AS n_turns,
   sha256(concat_ws('-', CAST(count(*) AS VARCHAR), {LIMBS})) AS fingerprint

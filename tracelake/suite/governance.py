@@ -74,10 +74,11 @@ def audit_log(spark, sf):
 
 
 @case("revoke", f"""WITH {EXP}, {REQ} SELECT e.experience_id, e.owner, CASE WHEN r.owner IS NULL THEN trajectory_path END AS trajectory_path,
- CASE WHEN r.owner IS NULL THEN review_status ELSE 'revoked' END AS review_status, CASE WHEN r.owner IS NOT NULL THEN '1998-06-01T00:00:00' END AS revoked_at
+ CASE WHEN r.owner IS NULL THEN review_status ELSE 'revoked' END AS review_status, CASE WHEN e.review_status = 'revoked' THEN '1997-01-01T00:00:00' WHEN r.owner IS NOT NULL THEN '1998-06-01T00:00:00' END AS revoked_at
  FROM e LEFT JOIN req r ON r.experience_id = e.experience_id AND r.owner = e.owner""")
 def revoke(spark, sf):
-    return op.revoke(experiences(spark, sf), requests(spark, sf), NOW).select(
+    before = experiences(spark, sf).withColumn("revoked_at", F.when(F.col("review_status") == "revoked", "1997-01-01T00:00:00"))
+    return op.revoke(before, requests(spark, sf), NOW).select(
         "experience_id", "owner", "trajectory_path", "review_status", "revoked_at")
 
 

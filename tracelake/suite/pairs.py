@@ -171,9 +171,10 @@ def replies_sql(source: str, lb: str = "{", rb: str = "}") -> str:
     body = (f"concat('{lb}', {dims}, '\"confidence\": ', CAST((conv_id * 37 + assistant_idx) % 151 AS STRING), "
             f"'e-2, \"reason\": \"because ', CAST(conv_id AS STRING), '\"{rb}')")
     return f"""SELECT session_id AS experience_id, assistant_idx AS turn_index, user_idx AS user_turn_index, judge_model,
-  conv_id, CASE (conv_id + assistant_idx) % 6 WHEN 0 THEN concat(chr(96), chr(96), chr(96), 'json', chr(10), {body}, chr(10), chr(96), chr(96), chr(96))
+  conv_id, CASE WHEN conv_id % 17 = 3 THEN concat({body}, ' or maybe ', {body}) WHEN conv_id % 17 = 5 THEN replace({body}, '"', chr(39))
+    WHEN conv_id % 17 = 7 THEN '{lb}"outcome": 1, "confidence": true{rb}' ELSE CASE (conv_id + assistant_idx) % 6 WHEN 0 THEN concat(chr(96), chr(96), chr(96), 'json', chr(10), {body}, chr(10), chr(96), chr(96), chr(96))
     WHEN 1 THEN concat('My view: ', {body}, ' Done.') WHEN 2 THEN CASE WHEN conv_id % 4 = 0 THEN 'no json here' ELSE {body} END
-    ELSE {body} END AS raw
+    ELSE {body} END END AS raw
   FROM {source}"""
 
 
@@ -196,9 +197,9 @@ def _dim_sql(d: str) -> str:
 
 
 REWARDS_CTE = REPLIES_CTE + f""",
-objs AS (SELECT *, CASE WHEN regexp_extract(raw, '(?s)\\{{.*\\}}') = '' THEN NULL ELSE regexp_extract(raw, '(?s)\\{{.*\\}}') END AS obj FROM replies),
+objs AS (SELECT *, CASE WHEN json_valid(regexp_extract(raw, '(?s)\\{{.*\\}}')) THEN regexp_extract(raw, '(?s)\\{{.*\\}}') END AS obj FROM replies),
 rewards AS (SELECT experience_id, turn_index, user_turn_index, judge_model, conv_id, {', '.join(_dim_sql(d) for d in REWARD_DIMS)},
-  greatest(0.0, least(1.0, coalesce(TRY_CAST(json_extract_string(obj, '$.confidence') AS DOUBLE), 0.5))) AS confidence,
+  greatest(0.0, least(1.0, coalesce(CASE json_extract_string(obj, '$.confidence') WHEN 'true' THEN 1.0 ELSE TRY_CAST(json_extract_string(obj, '$.confidence') AS DOUBLE) END, 0.5))) AS confidence,
   substring(coalesce(json_extract_string(obj, '$.reason'), ''), 1, 500) AS reason FROM objs WHERE obj IS NOT NULL)"""
 
 

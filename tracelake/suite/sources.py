@@ -329,16 +329,18 @@ def read_chat_table(spark, sf):
     return chat.chat_to_turns(chat_table(spark, sf)).select("session_id", "turn_index", "role", "content", "ts")
 
 
-@case("find_thread", f"WITH {CHAT_DUCK} SELECT id, thread_id FROM m WHERE thread_id LIKE 't1_' ORDER BY ts, id LIMIT 500")
+@case("find_thread", f"""WITH {CHAT_DUCK} SELECT id, thread_id, 'exact' AS how FROM m WHERE thread_id = 't1'
+ UNION ALL SELECT id, thread_id || '-', 'prefix' FROM m WHERE starts_with(thread_id, 't1')""")
 def find_thread(spark, sf):
-    # every id has two digits here, so only the prefix branch answers
-    m = chat_table(spark, sf).filter("thread_id <> 't1'")
-    return chat.find_thread(m, "t1").select("id", "thread_id")
+    m = chat_table(spark, sf)
+    tailed = m.withColumn("thread_id", F.concat("thread_id", F.lit("-")))  # no id is 't1' now, many begin with it
+    return chat.find_thread(m, "t1").select("id", "thread_id", F.lit("exact").alias("how")).unionByName(
+        chat.find_thread(tailed, "t1").select("id", "thread_id", F.lit("prefix").alias("how")))
 
 
-@case("list_threads", f"WITH {CHAT_DUCK} SELECT thread_id, count(*) AS msg_count, min(ts) AS first_ts, max(ts) AS last_ts, count(DISTINCT sender) AS n_senders, array_to_string(list_sort(list(DISTINCT sender)), ',') AS participants FROM m GROUP BY 1 ORDER BY last_ts DESC, thread_id LIMIT 10")
+@case("list_threads", f"WITH {CHAT_DUCK} SELECT thread_id, count(*) AS msg_count, min(ts) AS first_ts, max(ts) AS last_ts, count(DISTINCT sender) AS n_senders FROM m GROUP BY 1 ORDER BY last_ts DESC, thread_id LIMIT 10")
 def list_threads(spark, sf):
-    return chat.list_threads(chat_table(spark, sf), 10).withColumn("participants", F.array_join("participants", ","))
+    return chat.list_threads(chat_table(spark, sf), 10)
 
 
 @case("thread_participants", f"WITH {CHAT_DUCK} SELECT DISTINCT thread_id, sender AS participant FROM m")
@@ -352,10 +354,10 @@ def list_sessions(spark, sf):
     return listing.list_sessions(event_lines(spark, sf), 30).select("session_id", "size_bytes", "cwd", "version")
 
 
-@case("resolve_session", "SELECT DISTINCT 's' || conv_id AS session_id FROM conversations WHERE starts_with('s' || conv_id, 's1') AND conv_id <> 1")
+@case("resolve_session", "SELECT DISTINCT 's' || conv_id AS session_id FROM conversations WHERE starts_with('s' || conv_id, 's1')")
 def resolve_session(spark, sf):
-    s = conv(spark, sf).select("session_id").distinct().filter("session_id <> 's1'")
-    return listing.find_sessions(s, "s1")
+    s = conv(spark, sf).select("session_id").distinct().withColumn("session_id", F.concat("session_id", F.lit("-")))
+    return listing.find_sessions(s, "s1").select(F.rtrim("session_id", F.lit("-")).alias("session_id"))
 
 
 @case("latest_session", "SELECT 's' || max(conv_id) AS session_id FROM conversations")
