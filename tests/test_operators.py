@@ -192,8 +192,18 @@ def test_search_in_query_blocks(spark, monkeypatch):
     df = spark.createDataFrame([(i, [float(i % 7), 1.0]) for i in range(50)], "vec_id long, embedding array<double>")
     qs = spark.createDataFrame([(f"q{i}", [float(i), 2.0]) for i in range(9)], "query_id string, query_vec array<double>")
     whole = search.cosine_topk(qs, df, 4).orderBy("query_id", "rank_no").collect()
-    monkeypatch.setattr(search, "QUERY_BLOCK", 4)
-    assert search.cosine_topk(qs, df, 4).orderBy("query_id", "rank_no").collect() == whole
+    for name, value in (("QUERY_BLOCK", 4), ("MAX_QUERY_CELLS", 6), ("TILE_CELLS", 60)):
+        monkeypatch.setattr(search, name, value)
+        assert search.cosine_topk(qs, df, 4).orderBy("query_id", "rank_no").collect() == whole
+
+
+def test_many_wide_queries(spark):
+    """Blocks follow the dimension: no number of queries is refused."""
+    df = spark.range(300).select(F.col("id").alias("vec_id"), F.transform(F.sequence(F.lit(0), F.lit(767)), lambda i: F.cos(i * F.col("id"))).alias("embedding"))
+    qs = df.select((F.col("vec_id") * 100).alias("query_id"), F.col("embedding").alias("query_vec")).join(spark.range(20).select("id"))
+    qs = qs.select(F.concat_ws("-", "query_id", "id").alias("query_id"), "query_vec")
+    got = search.cosine_topk(qs, df, 2)
+    assert got.count() == 12_000 and got.filter("rank_no = 1 AND similarity < 0.999999").count() == 0
 
 
 def test_tick(spark):

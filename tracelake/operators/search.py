@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 
 QUERY_BLOCK = 8_192           # queries held by one task at a time
 MAX_QUERY_CELLS = 4_000_000   # numbers in one broadcast query block
+TILE_CELLS = 2_000_000        # similarities computed at a time
 TOP_K = 5
 
 
@@ -32,17 +34,13 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 
 def query_blocks(queries: DataFrame, qid: str, vec: str, extra: list[str]) -> Iterator[list]:
-    """Queries in blocks of a checked size. A search has few queries; a larger set is read
-    block by block, each bounded, so nothing unbounded reaches the driver."""
-    total = queries.count()
-    n_blocks = max(1, -(-total // QUERY_BLOCK))
+    """Queries in blocks of at most about ``MAX_QUERY_CELLS`` numbers each. A search has few
+    queries; a larger set is read block by block, dealt by hash, whatever their dimension."""
+    size = queries.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size(vec)), F.lit(1))).first()
+    n_blocks = max(1, -(-size[0] * max(1, size[1]) // MAX_QUERY_CELLS), -(-size[0] // QUERY_BLOCK))
     for b in range(n_blocks):
-        part = queries if n_blocks == 1 else queries.filter(
-            F.pmod(F.xxhash64(qid), F.lit(n_blocks)) == b)
-        rows = part.select(qid, vec, *extra).limit(4 * QUERY_BLOCK).collect()
-        if len(rows) >= 4 * QUERY_BLOCK or (rows and len(rows) * len(rows[0][vec]) > MAX_QUERY_CELLS):
-            raise ValueError("query block over the broadcast bound: lower QUERY_BLOCK")
-        yield rows
+        part = queries if n_blocks == 1 else queries.filter(F.pmod(F.xxhash64(qid), F.lit(n_blocks)) == b)
+        yield part.select(qid, vec, *extra).collect()
 
 
 def cosine_topk(queries: DataFrame, vectors: DataFrame, k: int = TOP_K, *, qid: str = "query_id",
@@ -50,9 +48,9 @@ def cosine_topk(queries: DataFrame, vectors: DataFrame, k: int = TOP_K, *, qid:
                 scope: str | None = None, qscope: str | None = None) -> DataFrame:
     """(query, vector, similarity, rank_no): exact cosine top-k.
 
-    The checked, small query block goes to every task as one matrix; a batch of vectors is
-    one matrix product and keeps its own k best per query, so only ``k`` rows per query and
-    batch are shuffled. With ``scope``/``qscope`` (array<string> of a vector, array<string>
+    A query block of bounded size goes to every task as one matrix. A task multiplies batches
+    of vectors with tiles of queries and keeps the k best per query over all its batches, so
+    ``k`` rows per query and task are shuffled. With ``scope``/``qscope`` (array<string> of a vector, array<string>
     of a query) a vector counts only for queries that share a tag with it, before ranking.
     """
     schema = _top_schema(vectors, queries, vec_id, qid)
@@ -63,7 +61,7 @@ def cosine_topk(queries: DataFrame, vectors: DataFrame, k: int = TOP_K, *, qid:
             continue
         bc = queries.sparkSession.sparkContext.broadcast((
             [r[qid] for r in rows], _unit(np.asarray([r[qvec] for r in rows], dtype=np.float64)),
-            [set(r[qscope]) for r in rows] if qscope else None))
+            [tuple(sorted(set(r[qscope]))) for r in rows] if qscope else None))
         parts.append(vectors.select(vec_id, vec, *([scope] if scope else [])).mapInArrow(
             _scorer(bc, k, qid, vec_id, vec, scope, schema), schema))
     if not parts:
@@ -74,6 +72,52 @@ def cosine_topk(queries: DataFrame, vectors: DataFrame, k: int = TOP_K, *, qid:
     return topk_per_query(best, k, qid, vec_id)
 
 
+class _Best:
+    """The ``k`` best rows of every query over all batches of a task; of equal ones the smaller id."""
+
+    def __init__(self, k: int, queries: int):
+        self.k, self.least = k, np.full(queries, -np.inf)
+        self.query, self.value, self.name = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, object)
+        self.limit = 4 * k * queries + 100_000
+
+    def add(self, sims: np.ndarray, names: np.ndarray, first: int) -> None:
+        """``sims``: rows x queries from number ``first`` on."""
+        k, n = self.k, len(sims)
+        least = self.least[first:first + sims.shape[1]]
+        if n > k:
+            least = np.maximum(least, np.partition(sims, n - k, axis=0)[n - k])
+        rows, cols = np.nonzero((sims >= least) & np.isfinite(sims))
+        self.query = np.concatenate([self.query, cols + first])
+        self.value = np.concatenate([self.value, sims[rows, cols]])
+        self.name = np.concatenate([self.name, names[rows]])
+        if len(self.query) > self.limit:
+            self.cut()
+
+    def cut(self) -> None:
+        _, rank = np.unique(self.name, return_inverse=True) if len(self.name) else (None, np.zeros(0, np.int64))
+        order = np.lexsort((rank, -self.value, self.query))
+        q = self.query[order]
+        begin = np.searchsorted(q, q)
+        order = order[np.arange(len(q)) - begin < self.k]
+        self.query, self.value, self.name = self.query[order], self.value[order], self.name[order]
+        full = np.bincount(self.query, minlength=len(self.least)) >= self.k
+        worst = np.full(len(self.least), np.inf)
+        np.minimum.at(worst, self.query, self.value)
+        self.least = np.where(full, worst, -np.inf)
+
+
+def _rows_by_tag(column: pa.Array) -> dict[str, np.ndarray]:
+    """Rows that hold each tag."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    size = np.nan_to_num(column.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+    row = np.repeat(np.arange(len(column)), size)
+    coded = column.flatten().dictionary_encode()
+    code = coded.indices.to_numpy(zero_copy_only=False)
+    order = np.argsort(code, kind="stable")
+    edge = np.searchsorted(code[order], np.arange(len(coded.dictionary) + 1))
+    return {t: row[order[edge[i]:edge[i + 1]]] for i, t in enumerate(coded.dictionary.to_pylist())}
+
+
 def _scorer(bc, k: int, qid: str, vec_id: str, vec: str, scope: str | None, schema: T.StructType):
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -81,30 +125,33 @@ def _scorer(bc, k: int, qid: str, vec_id: str, vec: str, scope: str | None, sche
 
     def score(batches):
         ids, mat, tags = bc.value
+        best = _Best(k, len(ids))
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            sims = _unit(_matrix(batch.column(vec), mat.shape[1])) @ mat.T
-            names = np.asarray(batch.column(vec_id).to_pylist(), dtype=object)
-            order = np.argsort(names, kind="stable")
-            sims, names = sims[order], names[order]
-            if scope:
-                held = [set(t or ()) for t in batch.column(scope).to_pylist()]
-                held = [held[i] for i in order]
-                groups: dict[frozenset, list[int]] = {}
-                for i, h in enumerate(held):
-                    groups.setdefault(frozenset(h), []).append(i)
-                for h, members in groups.items():
-                    hidden = [j for j, t in enumerate(tags) if not (t & h)]
-                    if hidden:
-                        sims[np.ix_(members, hidden)] = -np.inf
-            top = np.argsort(-sims, axis=0, kind="stable")[:k]
-            value = np.take_along_axis(sims, top, axis=0)
-            rows, cols = np.nonzero(np.isfinite(value))
+            rows = _unit(_matrix(batch.column(vec), mat.shape[1]))
+            names = np.empty(batch.num_rows, object)
+            names[:] = batch.column(vec_id).to_pylist()
+            held = _rows_by_tag(batch.column(scope)) if scope else None
+            step = max(1, TILE_CELLS // len(rows))
+            for first in range(0, len(ids), step):
+                sims = rows @ mat[first:first + step].T
+                if scope:
+                    groups: dict[tuple, list[int]] = {}
+                    for j, t in enumerate(tags[first:first + step]):
+                        groups.setdefault(t, []).append(j)
+                    open_ = np.zeros(sims.shape, bool)
+                    for t, cols in groups.items():
+                        seen = [held[x] for x in t if x in held]
+                        if seen:
+                            open_[np.ix_(np.unique(np.concatenate(seen)), cols)] = True
+                    sims[~open_] = -np.inf
+                best.add(sims, names, first)
+        best.cut()
+        if len(best.query):
             yield pa.RecordBatch.from_arrays([
-                pa.array([ids[j] for j in cols], type=arrow.field(0).type),
-                pa.array(list(names[top[rows, cols]]), type=arrow.field(1).type),
-                pa.array(value[rows, cols], type=pa.float64())], schema=arrow)
+                pa.array([ids[j] for j in best.query.tolist()], type=arrow.field(0).type),
+                pa.array(list(best.name), type=arrow.field(1).type), pa.array(best.value, type=pa.float64())], schema=arrow)
 
     return score
 
@@ -246,17 +293,23 @@ def cell_topk(queries: DataFrame, cells: DataFrame, pivots, k: int = TOP_K, *, p
     triangle inequality on angles) are read. ``cells`` should be a table partitioned by cell,
     so that the cell filter prunes files. The result equals ``cosine_topk``."""
     radius = {r["cell"]: r["radius"] for r in
-              cells.groupBy("cell").agg(F.max("angle").alias("radius")).collect()}
+              cells.groupBy("cell").agg(F.max("angle").alias("radius")).collect()}  # one row per cell
+    parts = [_block_topk(queries, rows, cells, pivots, radius, k, probe, qid, qvec, vec_id, vec)
+             for rows in query_blocks(queries, qid, qvec, []) if rows]
+    if not parts:
+        return cosine_topk(queries, cells, k, qid=qid, qvec=qvec, vec_id=vec_id, vec=vec)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _block_topk(queries, rows, cells, pivots, radius, k, probe, qid, qvec, vec_id, vec) -> DataFrame:
+    """Both passes for one block of queries; what the driver holds is bounded by the block."""
+    sims = _unit(np.asarray([r[qvec] for r in rows], dtype=np.float64)) @ pivots.T
+    angles = np.arccos(np.clip(sims, -1.0, 1.0))
     near, bound = {}, {}
-    for rows in query_blocks(queries, qid, qvec, []):
-        if not rows:
-            continue
-        sims = _unit(np.asarray([r[qvec] for r in rows], dtype=np.float64)) @ pivots.T
-        angles = np.arccos(np.clip(sims, -1.0, 1.0))
-        for r, a in zip(rows, angles):
-            low = {c: max(0.0, a[c] - radius[c]) for c in radius}
-            order = sorted(radius, key=lambda c: (low[c], a[c]))
-            near[r[qid]], bound[r[qid]] = order[:probe], low
+    for r, a in zip(rows, angles):
+        low = {c: max(0.0, a[c] - radius[c]) for c in radius}
+        order = sorted(radius, key=lambda c: (low[c], a[c]))
+        near[r[qid]], bound[r[qid]] = order[:probe], low
     first = _cell_pass(queries, cells, near, k, qid, qvec, vec_id, vec)
     floor = {r[0]: r[1] for r in first.groupBy(qid).agg(
         F.when(F.count(F.lit(1)) >= k, F.min("similarity")).alias("s")).collect()}
@@ -277,7 +330,7 @@ def _cell_pass(queries, cells, chosen: dict, k, qid, qvec, vec_id, vec) -> DataF
     tags = spark.createDataFrame([(q_, [str(c) for c in cs]) for q_, cs in chosen.items()],
                                  T.StructType([T.StructField(qid, queries.schema[qid].dataType),
                                                T.StructField("_cells", T.ArrayType(T.StringType()))]))
-    asking = queries.join(F.broadcast(tags), qid)
+    asking = queries.join(F.broadcast(tags), qid)  # a block of queries at most
     part = cells.filter(F.col("cell").isin(wanted)).withColumn("_cell", F.array(F.col("cell").cast("string")))
     return cosine_topk(asking, part, k, qid=qid, qvec=qvec, vec_id=vec_id, vec=vec,
                        scope="_cell", qscope="_cells")
