@@ -10,15 +10,19 @@ DIM = 64
 
 def text_vectors(df: DataFrame, key: str, text: str, dim: int = DIM) -> DataFrame:
     """(key, vector ARRAY<DOUBLE>): unit vectors of hashed word counts, weighted by 1 + log of
-    the count. A supplied embedding column is used instead wherever there is one."""
+    the count. ``key`` names a row. A supplied embedding column is used instead wherever there
+    is one."""
     words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+"),
                      lambda w: w != "")
-    # count words inside the row: no explode, no shuffle
-    slots = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.size(F.filter(
-        F.col("_h"), lambda h: F.pmod(h, F.lit(dim)) == i)))
-    hashed = df.select(key, F.transform(words, lambda w: F.xxhash64(w)).alias("_h"))
-    raw = hashed.select(key, F.transform(slots, lambda n: F.when(
-        n > 0, 1.0 + F.log(n.cast("double"))).otherwise(F.lit(0.0))).alias("_v"))
+    slot = lambda w: F.pmod(F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long"), F.lit(dim))
+    hashed = df.select(key, F.transform(words, slot).alias("_h"))
+    # one pass: counts of slots that occur, then placed into the whole vector
+    counts = hashed.select(key, F.explode_outer("_h").alias("_s")).groupBy(key, "_s").agg(F.count("_s").alias("_c"))
+    weight = F.when(F.col("_c") > 0, 1.0 + F.log(F.col("_c").cast("double"))).otherwise(F.lit(0.0))
+    held = counts.groupBy(key).agg(F.map_from_entries(F.collect_list(
+        F.struct(F.coalesce("_s", F.lit(-1).cast("long")).alias("k"), weight.alias("v")))).alias("_m"))
+    raw = held.select(key, F.transform(F.sequence(F.lit(0).cast("long"), F.lit(dim - 1).cast("long")), lambda i: F.coalesce(
+        F.element_at("_m", i), F.lit(0.0))).alias("_v"))
     norm = F.sqrt(F.aggregate("_v", F.lit(0.0), lambda a, x: a + x * x))
     return raw.withColumn("_n", norm).select(key, F.transform(
         "_v", lambda x: F.when(F.col("_n") > 0, x / F.col("_n")).otherwise(x)).alias("vector"))

@@ -130,9 +130,13 @@ def get_experience(spark, sf):
     return one.join(counts, "experience_id").select("experience_id", "owner", "acl", "turn_index", "role", "content", "turn_count")
 
 
-@case("text_vectors")
+@case("text_vectors", f"""WITH {turns_cte()},
+ w AS (SELECT session_id, turn_index, unnest(string_split_regex(lower(content), '[^\\p{{L}}\\p{{N}}]+')) AS word FROM turns WHERE role = 'user'),
+ n AS (SELECT session_id, turn_index, CAST('0x' || substring(md5(word), 1, 8) AS BIGINT) % 64 AS slot, 1 + ln(count(*)) AS c FROM w WHERE word <> '' GROUP BY ALL),
+ u AS (SELECT *, sqrt(sum(c * c) OVER (PARTITION BY session_id, turn_index)) AS norm FROM n)
+ SELECT session_id, turn_index, CAST(slot AS INTEGER) AS slot, round(c / norm, 6) AS value FROM u""")
 def text_vectors(spark, sf):
     from tracelake.functions.vectors import text_vectors as build
-    t = turns(spark, sf).filter("role = 'user'").groupBy("session_id").agg(F.min_by("content", "turn_index").alias("text"))
-    return build(t, "session_id", "text").select("session_id", F.round(F.aggregate(
-        "vector", F.lit(0.0), lambda a, x: a + x * x), 6).alias("norm2"))
+    t = turns(spark, sf).filter("role = 'user'").select(F.struct("session_id", "turn_index").alias("key"), "content")
+    return build(t, "key", "content").select("key.session_id", "key.turn_index", F.posexplode("vector").alias("slot", "v")).filter(
+        "v <> 0").select("session_id", "turn_index", "slot", F.round("v", 6).alias("value"))

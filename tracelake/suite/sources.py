@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracelake.functions import text as tx
@@ -9,7 +12,7 @@ from tracelake.schema import THINKING_PREFIX
 from tracelake.session import shared_dir
 from tracelake.sources import base, chat, event_log, listing, messages, rollout
 from tracelake.sources.registry import read_traces, register_reader
-from tracelake.suite.cards import flat_sql
+from tracelake.suite.cards import CARD_SQL, CLEAN_SQL, FINGERPRINT_CTE, REAL_ASSISTANT, flat_sql
 from tracelake.suite.registry import case, spread, table, turns
 
 TEXT = "struct<type:string,text:string>"
@@ -366,9 +369,14 @@ def latest_session(spark, sf):
     return listing.latest(s).select("session_id")
 
 
-@case("raw_manifest")
+@case("raw_manifest", "SELECT page_id, CAST(strlen(html) + 1 AS BIGINT) AS raw_size_bytes, sha256(html || chr(10)) AS raw_sha256, FALSE AS raw_truncated FROM pages")
 def raw_manifest(spark, sf):
-    return listing.raw_manifest(spark, sf, glob="*.parquet")
+    """Every page is a file of its own here."""
+    path = shared_dir(spark, "raw")
+    pages = table(spark, sf, "pages").select("page_id", F.col("html").alias("value"))
+    pages.write.partitionBy("page_id").text(path)
+    found = listing.raw_manifest(spark, path, glob="*.txt")
+    return found.select(F.regexp_extract("path", "page_id=([0-9]+)/", 1).cast("long").alias("page_id"), "raw_size_bytes", "raw_sha256", "raw_truncated")
 
 
 def _by_folder(parse):
@@ -395,9 +403,25 @@ def union_sources(spark, sf):
         F.col("source") == "event_folders", "event_log").otherwise("role_jsonl")).select("source", "session_id", "turn_index", "role", "content")
 
 
-@case("write_tables")
+@case("write_tables", f"""WITH {CLEAN_SQL}, {FINGERPRINT_CTE}, kept AS (SELECT fingerprint, min(session_id) AS session_id FROM fp GROUP BY 1), cardq AS ({CARD_SQL})
+ SELECT 'turns' AS table_name, session_id, turn_index, txt AS value FROM clean JOIN kept USING (session_id)
+ UNION ALL SELECT 'steps', session_id, turn_index, substring(txt, 1, 280) FROM clean JOIN kept USING (session_id) WHERE {REAL_ASSISTANT}
+ UNION ALL SELECT 'fingerprints', session_id, -1, fingerprint FROM kept
+ UNION ALL SELECT 'cards', session_id, -1, query FROM cardq JOIN kept USING (session_id)
+ UNION ALL SELECT t, session_id, -1, 'x-' || session_id || '-' || substring(fingerprint, 1, 12) FROM kept, (VALUES ('audit'), ('vectors')) v(t)""")
 def write_tables(spark, sf):
+    """The rows that a push has stored, table by table."""
     from tracelake.plans.jobs import push
-    out = push(spark, turns(spark, sf).drop("conv_id"), shared_dir(spark, "gold"), agent_id="a1", batch="0")
-    return spark.createDataFrame(sorted(out.items()), "table_name string, path string").select("table_name")
-
+    from tracelake.sources.sinks import read_gold
+
+    path = shared_dir(spark, "gold")
+    push(spark, turns(spark, sf).drop("conv_id"), path, agent_id="a1", batch="0")
+    at = {name: read_gold(spark, path, name) for name in ("turns", "steps", "fingerprints", "cards", "audit", "vectors")}
+    ids = at["fingerprints"].select("session_id", "experience_id")
+    none = F.lit(-1).cast("long").alias("turn_index")
+    rows = [at["turns"].select(F.lit("turns").alias("table_name"), "session_id", F.col("turn_index").cast("long"), F.col("content").alias("value")),
+            at["steps"].select(F.lit("steps"), "session_id", F.col("turn_index").cast("long"), "step"),
+            at["fingerprints"].select(F.lit("fingerprints"), "session_id", none, "fingerprint"),
+            at["cards"].select(F.lit("cards"), "session_id", none, "query")]
+    rows += [at[name].join(ids, "experience_id").select(F.lit(name), "session_id", none, "experience_id") for name in ("audit", "vectors")]
+    return reduce(DataFrame.union, rows)
