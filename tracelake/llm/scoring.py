@@ -224,10 +224,10 @@ def _train(stored: DataFrame, held, flat: np.ndarray, number: int, train_words:
 
     schema = "task long, used long, weights binary"
     rows = store(stored.mapInArrow(run, schema), "weights")
-    tasks = rows.count()
-    while tasks > 16:   # averages of averages, sixteen at a time
-        rows = store(rows.groupBy(F.floor(F.col("task") / F.lit(16)).alias("task")).applyInArrow(average, schema), "weights")
-        rows = rows.withColumn("task", F.floor(F.col("task") / F.lit(16)))
+    tasks, step = rows.count(), 16
+    while tasks > 16:   # averages of averages, sixteen tasks at a time
+        rows = store(rows.withColumn("few", F.floor(F.col("task") / F.lit(step))).groupBy("few").applyInArrow(average, schema), "weights")
+        step *= 16
         before, tasks = tasks, rows.count()
         if tasks == before:
             break
