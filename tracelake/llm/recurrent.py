@@ -37,10 +37,6 @@ def parts(flat: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 + 0.5 * np.tanh(0.5 * x)
-
-
 def _log_softmax(x: np.ndarray) -> np.ndarray:
     x = x - x.max(-1, keepdims=True)
     return x - np.log(np.exp(x).sum(-1, keepdims=True))
@@ -48,21 +44,47 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
 
 def _step(h: np.ndarray, g: np.ndarray, wh: np.ndarray) -> tuple[np.ndarray, ...]:
     m = h @ wh
-    zr = _sigmoid(g[:, :2 * HIDDEN] + m[:, :2 * HIDDEN])
+    zr = g[:, :2 * HIDDEN] + m[:, :2 * HIDDEN]
+    zr *= 0.5   # a logistic function is half a tanh of the half
+    np.tanh(zr, out=zr)
+    zr *= 0.5
+    zr += 0.5
     z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-    n = np.tanh(g[:, 2 * HIDDEN:] + r * m[:, 2 * HIDDEN:])
-    return n + z * (h - n), z, r, n, m[:, 2 * HIDDEN:]
+    n = r * m[:, 2 * HIDDEN:]
+    n += g[:, 2 * HIDDEN:]
+    np.tanh(n, out=n)
+    new = h - n
+    new *= z
+    new += n
+    return new, z, r, n, m[:, 2 * HIDDEN:]
+
+
+def _picked(h: np.ndarray, weight: np.ndarray, bias: np.ndarray, pick: np.ndarray) -> np.ndarray:
+    """Log softmax of ``h @ weight + bias`` at one column per row, without the whole matrix of logarithms."""
+    x = h @ weight
+    x += bias
+    own = x[np.arange(len(pick)), pick]
+    np.exp(x, out=x)
+    total = x @ np.ones(x.shape[1], x.dtype)
+    if not (np.isfinite(total).all() and (total > 1e-30).all()):  # beyond the numbers' range
+        return _log_softmax(h @ weight + bias)[np.arange(len(pick)), pick]
+    return own - np.log(total)
 
 
 def word_log_probs(w: dict[str, np.ndarray], h: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Natural log probability of each word given the state in its row."""
     cls, within = word // PER_CLASS, word % PER_CLASS
-    out = _log_softmax(h @ w["wc"] + w["bc"])[np.arange(len(word)), cls].astype(np.float64)
     order = np.argsort(cls, kind="stable")
     edge = np.searchsorted(cls[order], np.arange(CLASSES + 1))
+    h, within, cls = h[order], within[order], cls[order]
+    got = np.empty(len(word))
+    for lo in range(0, len(word), 4096):
+        got[lo:lo + 4096] = _picked(h[lo:lo + 4096], w["wc"], w["bc"], cls[lo:lo + 4096])
     for c in np.flatnonzero(np.diff(edge)).tolist():
-        at = order[edge[c]:edge[c + 1]]
-        out[at] += _log_softmax(h[at] @ w["ww"][c].T + w["bw"][c])[np.arange(len(at)), within[at]]
+        at = slice(edge[c], edge[c + 1])
+        got[at] += _picked(h[at], w["ww"][c].T, w["bw"][c], within[at])
+    out = np.empty(len(word))
+    out[order] = got
     return out
 
 
@@ -127,7 +149,7 @@ class Trainer:
 
     def __init__(self, flat: np.ndarray, rate: float = 4e-3):
         self.flat, self.rate, self.n = flat.copy(), rate, 0
-        self.one, self.two = np.zeros_like(flat), np.zeros_like(flat)
+        self.one, self.two, self.work, self.grad = (np.zeros_like(flat) for _ in range(4))
 
     def fit(self, words: np.ndarray, fresh: np.ndarray, begin: int, lanes: int = 32, window: int = 32) -> int:
         """One pass over a stream of texts (``fresh`` where one begins), cut into equal lanes; returns the words used."""
@@ -146,7 +168,8 @@ class Trainer:
 
     def _window(self, word, prior, new, h):
         w = parts(self.flat)
-        grad = np.zeros_like(self.flat)
+        grad = self.grad
+        grad[:] = 0
         g = parts(grad)
         steps, lanes = word.shape
         x = w["embed"][prior]
@@ -197,11 +220,26 @@ class Trainer:
         g["wx"] += x.reshape(-1, EMBED).T @ flat_d
         g["b"] += flat_d.sum(0)
         np.add.at(g["embed"], prior.ravel(), flat_d @ w["wx"].T)
-        norm = float(np.sqrt((grad * grad).sum()))
+        norm = float(np.sqrt(grad @ grad))
         if norm > 1:
             grad /= norm
-        self.n += 1
-        self.one += 0.1 * (grad - self.one)
-        self.two += 0.01 * (grad * grad - self.two)
-        self.flat -= self.rate * (self.one / (1 - 0.9 ** self.n)) / (np.sqrt(self.two / (1 - 0.99 ** self.n)) + 1e-8)
+        self._step(grad)
         return h
+
+    def _step(self, grad):
+        """One update, in place."""
+        self.n += 1
+        work = self.work
+        self.one *= np.float32(0.9)
+        np.multiply(grad, np.float32(0.1), out=work)
+        self.one += work
+        self.two *= np.float32(0.99)
+        np.multiply(grad, grad, out=work)
+        work *= np.float32(0.01)
+        self.two += work
+        np.multiply(self.two, np.float32(1 / (1 - 0.99 ** self.n)), out=work)
+        np.sqrt(work, out=work)
+        work += np.float32(1e-8)
+        np.divide(self.one, work, out=work)
+        work *= np.float32(self.rate / (1 - 0.9 ** self.n))
+        self.flat -= work
