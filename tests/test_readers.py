@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from tracelake.operators.consent import policy_tables
 from tracelake.sources import event_log, listing, messages, registry, rollout
 from tracelake.streaming import sync
 
@@ -124,7 +125,7 @@ def test_generic_shapes(spark, tmp_path):
     write(tmp_path / "g_runs.json", {"runs": [{"inputs": {"messages": m[:1]}, "outputs": {"o": 1}}]})
     got = {}
     for r in registry.read_traces(spark, {"generic": str(tmp_path)}).orderBy("turn_index").collect():
-        got.setdefault(r["session_id"], []).append((r["role"], r["content"]))
+        got.setdefault(r["session_id"].split("@")[0], []).append((r["role"], r["content"]))
     two = [("user", "q"), ("assistant", "a")]
     assert got == {"a_lines": two, "b_list": two, "c_key": two, "d_req": two, "e_one": [("user", "single")],
                    "f_text": [("user", "just text")], "g_runs": [("user", "q"), ("assistant", '{"o": 1}')]}
@@ -144,8 +145,10 @@ def test_stream_equals_batch_and_is_idempotent(spark, tmp_path):
               {"type": "assistant", "message": {"role": "assistant", "content": [{"type": "text", "text": "ok"}]}})
     out, cp = str(tmp_path / "gold"), str(tmp_path / "cp")
 
-    def run():
-        sync.stream_sync(spark, str(tmp_path / "in"), out, cp, "a1", max_files=2).awaitTermination()
+    always = policy_tables(spark, {"mode": "always"})
+
+    def run(policy=always):
+        sync.stream_sync(spark, str(tmp_path / "in"), out, cp, "a1", policy, max_files=2).awaitTermination()
         cards = spark.read.parquet(f"{out}/cards")
         return sorted((r["session_id"], r["query"]) for r in cards.collect())
 
@@ -156,3 +159,17 @@ def test_stream_equals_batch_and_is_idempotent(spark, tmp_path):
           {"type": "assistant", "message": {"role": "assistant", "content": [{"type": "text", "text": "ok"}]}},
           {"type": "user", "message": {"role": "user", "content": "more"}})
     assert len(run()) == 4                                               # grown content is a new row
+    write(tmp_path / "in" / "held.jsonl", {"type": "user", "message": {"role": "user", "content": "never seen before"}})
+    assert len(run(None)) == 4                                           # without a policy nothing passes
+    assert {r["status"] for r in spark.read.parquet(f"{out}/outcomes").collect()} == {"uploaded", "skipped_consent"}
+
+
+def test_equal_names_in_two_folders_are_two_sessions(spark, tmp_path):
+    for folder in ("p1", "p2"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "chat.jsonl").write_text("".join(
+            '{"type":"user","message":{"role":"user","content":"%s %d"}}\n' % (folder, i) for i in range(3)))
+    from tracelake.sources.event_log import read_event_jsonl
+    got = read_event_jsonl(spark, str(tmp_path)).groupBy("session_id").agg(
+        F.sort_array(F.collect_list("turn_index")).alias("n"), F.countDistinct(F.substring("content", 1, 2)).alias("folders")).collect()
+    assert len(got) == 2 and all(r["session_id"].startswith("chat@") and r["n"] == [0, 1, 2] and r["folders"] == 1 for r in got)

@@ -24,6 +24,12 @@ def file_stem(path: Column) -> Column:
     return F.regexp_replace(F.substring_index(path, "/", -1), r"\.[^.]*$", "")
 
 
+def session_key(path: Column) -> Column:
+    """A session is a file: its stem, for people and look-ups by prefix, and a digest of its
+    whole path, so that equal names in two folders stay two sessions."""
+    return F.concat(file_stem(path), F.lit("@"), F.substring(F.sha2(path, 256), 1, 12))
+
+
 def _reader(spark: SparkSession, glob: str | None, since: str | None):
     reader = spark.read.option("recursiveFileLookup", "true")
     if glob:
@@ -45,7 +51,7 @@ def read_lines(spark: SparkSession, path: str, glob: str | None = None,
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"), F.col("value").alias("raw"),
         F.col("_metadata.file_modification_time").alias("mtime"),
-        F.col("_metadata.file_size").alias("size_bytes")).withColumn("session_id", file_stem(F.col("path")))
+        F.col("_metadata.file_size").alias("size_bytes")).withColumn("session_id", session_key(F.col("path")))
     if max_kb and max(64, max_kb) * 1024 <= least_split(spark):
         # no file of this size is ever split: numbering needs no second look at the files
         lines = lines.withColumn("_multi", F.lit(False))
@@ -59,7 +65,7 @@ def read_docs(spark: SparkSession, path: str, glob: str | None = None,
     return docs.select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw"),
         F.col("_metadata.file_modification_time").alias("mtime"),
-        F.col("_metadata.file_size").alias("size_bytes")).withColumn("session_id", file_stem(F.col("path")))
+        F.col("_metadata.file_size").alias("size_bytes")).withColumn("session_id", session_key(F.col("path")))
 
 
 def _bytes(value: str) -> int:

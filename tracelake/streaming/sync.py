@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,8 +13,8 @@ from tracelake.functions.redact import redact
 from tracelake.functions.rules import DEFAULT_RULES, Rule
 from tracelake.operators import dedup as dd
 from tracelake.operators import governance as gv
-from tracelake.plans.jobs import push
-from tracelake.sources.base import file_stem
+from tracelake.plans.jobs import push, tick
+from tracelake.sources.base import session_key
 from tracelake.sources.event_log import event_turns
 
 
@@ -49,20 +50,34 @@ def stored_ledger(spark: SparkSession, out: str, batch: str) -> DataFrame | None
 
 
 def stream_sync(spark: SparkSession, path: str, out: str, checkpoint: str, agent_id: str,
-                max_files: int | None = None, to_turns: Callable[[DataFrame], DataFrame] = event_turns,
+                policy: tuple | None, max_files: int | None = None,
+                to_turns: Callable[[DataFrame], DataFrame] = event_turns,
                 rules: tuple[Rule, ...] = DEFAULT_RULES, interval: str | None = None,
-                glob: str = "*.jsonl") -> StreamingQuery:
-    """Ingest new files into the gold tables, exactly once.
+                glob: str = "*.jsonl", source: str = "event_log", agent: str = "", max_kb: int | None = None,
+                session: Callable[[Column], Column] = session_key, now: dt.datetime | None = None) -> StreamingQuery:
+    """Ingest new files that consent lets through into the gold tables, exactly once.
 
+    Every session meets the gate (``policy`` as of ``policy_tables``; without one nothing
+    passes), the size cap and the artifact filter, as in ``tick``; what became of it is
+    stored with its batch in ``outcomes``.
     Every table is written per batch into that batch's folder, so a repeated batch replaces
     its own rows. Content known from earlier batches is dropped by its fingerprint; a session
     that has grown is a new row.
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
-        lines = batch.withColumn("seq", F.monotonically_increasing_id()).withColumn(
-            "session_id", file_stem(F.col("path")))
-        name = batch_name(batch.sparkSession, batch_id)
-        push(batch.sparkSession, to_turns(lines), out, agent_id, name, stored_ledger(batch.sparkSession, out, name), rules)
+        spark = batch.sparkSession
+        lines = batch.withColumn("seq", F.monotonically_increasing_id()).withColumn("session_id", session(F.col("path")))
+        cwd = F.get_json_object("raw", "$.cwd")
+        sessions = lines.groupBy("session_id").agg(
+            F.coalesce(F.min_by(cwd, F.when(F.coalesce(cwd, F.lit("")) != "", F.struct("block", "seq"))), F.lit("")).alias("cwd"),
+            F.max("size_bytes").alias("size_bytes")).select(
+            F.lit(source).alias("source"), "session_id", F.lit(agent).alias("agent"), "cwd", F.lit("").alias("mtime"), "size_bytes")
+        turns = to_turns(lines).withColumn("source", F.lit(source))
+        nothing = spark.createDataFrame([], "source string, session_id string")
+        outcomes, allowed = tick(turns, sessions, nothing, policy, now or dt.datetime.now(dt.timezone.utc), max_kb=max_kb)
+        name = batch_name(spark, batch_id)
+        outcomes.select("source", "session_id", "status").write.mode("overwrite").parquet(f"{out}/outcomes/batch={name}")
+        push(spark, allowed, out, agent_id, name, stored_ledger(spark, out, name), rules)
 
     writer = stream_lines(spark, path, max_files, glob).writeStream.foreachBatch(sink).option(
         "checkpointLocation", checkpoint)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tracelake.operators.consent import policy_tables
 from tracelake.session import shared_dir
 from tracelake.streaming import sync
 from tracelake.suite.registry import BASE_SECOND, case, rule_steps, table
@@ -101,20 +102,20 @@ def deep_backfill_stream(spark, sf):
 
 @case("stream_sync", """WITH n AS (SELECT conv_id, count(*) FILTER (role IN ('user', 'assistant')) AS base,
   count(*) FILTER (role = 'assistant' AND turn % 4 = 1) AS thinking, count(*) FILTER (role = 'user' AND conv_id % 3 = 1 AND turn > 0) AS results FROM conversations GROUP BY conv_id)
- SELECT 's' || conv_id AS session_id, base + thinking + results AS n_turns FROM n""")
+ SELECT 's' || conv_id AS session_id, CASE WHEN conv_id % 5 = 3 THEN 'skipped_consent' ELSE 'uploaded' END AS status,
+  CASE WHEN conv_id % 5 <> 3 THEN base + thinking + results END AS n_turns FROM n""")
 def stream_sync(spark, sf):
-    """Session files are written, ingested by the stream in several batches, and counted."""
+    """Session files are written and ingested by the stream in several batches; one folder is closed to it."""
     src, out = shared_dir(spark, "inbox"), shared_dir(spark, "gold")
     rows = event_lines(spark, sf).repartition("session_id").sortWithinPartitions("session_id", "block", "seq")
     rows.withColumn("p", F.pmod(F.xxhash64("session_id"), F.lit(4))).select(
         "p", "session_id", F.col("raw").alias("value")).write.partitionBy("p", "session_id").text(src)
 
-    def by_folder(lines):
-        from tracelake.sources.event_log import event_turns
-        named = F.regexp_extract("path", "session_id=([^/]+)/", 1)
-        return event_turns(lines.withColumn("session_id", named))
-
+    # the writer names files itself, so here the folder is the session
+    policy = policy_tables(spark, {"cwd_rules": [{"glob": "/w/3", "mode": "never"}], "mode": "always"})
     files = max(1, table(spark, sf, "conversations").select("conv_id").distinct().count() // 3)
-    sync.stream_sync(spark, src, out, shared_dir(spark, "sync-cp"), "a1", max_files=files, to_turns=by_folder, glob="*.txt").awaitTermination()
-    return spark.read.parquet(f"{out}/turns").groupBy("session_id").agg(F.count(F.lit(1)).alias("n_turns"))
+    sync.stream_sync(spark, src, out, shared_dir(spark, "sync-cp"), "a1", max_files=files, glob="*.txt", policy=policy,
+                     session=lambda path: F.regexp_extract(path, "session_id=([^/]+)/", 1)).awaitTermination()
+    kept = spark.read.parquet(f"{out}/turns").groupBy(F.substring_index("session_id", "/", -1).alias("session_id")).agg(F.count(F.lit(1)).alias("n_turns"))
+    return spark.read.parquet(f"{out}/outcomes").select("session_id", "status").join(kept, "session_id", "left")
 
