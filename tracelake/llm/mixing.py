@@ -44,9 +44,9 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, size: int |
         named = F.create_map(*[F.lit(x) for kv in weights.items() for x in kv]) if weights else F.lit(None).cast("map<string,double>")
         weighted = counted.withColumn("_w", F.coalesce(F.element_at(named, F.col("source")).cast("double"), F.lit(0.0)))
     counted = materialize(weighted, "sources")
-    total = counted.agg(F.sum("_w").alias("_sw"), F.sum("n_rows").alias("_sn"))
-    share = counted.join(F.broadcast(total)).withColumn(  # one row
-        "rate", F.when(F.col("_sw") > 0, F.col("_w") / F.col("_sw") * (F.lit(size) if size is not None else F.col("_sn")) / F.col("n_rows")).otherwise(0.0))
+    weight, rows = counted.agg(F.sum("_w"), F.sum("n_rows")).first()
+    wanted = float((rows if size is None else size) or 0)
+    share = counted.withColumn("rate", F.col("_w") / F.lit(weight) * wanted / F.col("n_rows") if weight else F.lit(0.0))
     # beyond rate + 12 * sqrt(rate) + 40 the tail is below a uniform number's last bit
     last = F.ceil(F.col("rate") + 12 * F.sqrt("rate") + 40).cast("int")
     steps = F.expr("""aggregate(sequence(1, last), named_struct('l', -rate, 'c', array(exp(-rate))),
