@@ -13,6 +13,7 @@ from tracelake.operators import cards as cd
 from tracelake.operators import consent as cs
 from tracelake.operators import governance as gv
 from tracelake.operators import rewards as rw
+from tracelake.operators.scan import first_rows
 from tracelake.session import SHARED_DIR_CONF, shared_dir
 from tracelake.sources import chat, listing
 from tracelake.streaming import sync
@@ -115,3 +116,12 @@ def test_no_shared_folder_on_a_cluster(spark, monkeypatch):
         conf = Conf()
     with pytest.raises(ValueError, match=SHARED_DIR_CONF):
         shared_dir(Session(), "x")
+
+
+@pytest.mark.parametrize("n", [3, 1500])
+def test_first_rows_of_a_hot_key(spark, n):
+    rows = [("hot" if i % 10 else f"k{i % 3}", (i * 7919) % 10_007, i) for i in range(9000)]
+    df = spark.createDataFrame(rows, "k string, a long, b long").repartition(4)
+    got = first_rows(df, ["k"], [F.col("a"), F.col("b")], n).collect()
+    want = [r for k in {r[0] for r in rows} for r in sorted((x for x in rows if x[0] == k), key=lambda x: x[1:])[:n]]
+    assert sorted(map(tuple, got)) == sorted(want)

@@ -23,7 +23,7 @@ def tree(text):
     return text.split("\n\n")[0]
 
 
-@pytest.mark.parametrize("key", ["card_build", "fingerprint", "session_stats", "block_census", "redaction_totals"])
+@pytest.mark.parametrize("key", ["card_build", "session_stats", "block_census", "redaction_totals"])
 def test_one_shuffle_per_session_graph(spark, key):
     p = tree(plan(suite.QUERIES[key](spark, SF)))
     # the derived turns are a union of two scans; each small input is dealt out once, which

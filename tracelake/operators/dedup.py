@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracelake.operators.scan import first_rows
+
 KEY = ["agent_id", "fingerprint"]
 
 
@@ -49,22 +51,10 @@ def seen_id_antijoin(sessions: DataFrame, seen: DataFrame) -> DataFrame:
     return sessions.join(seen.select("source", "session_id"), ["source", "session_id"], "left_anti")
 
 
-def merge_seen_ids(old: DataFrame, new: DataFrame, keep: int = 5000, salts: int = 64) -> DataFrame:
-    """Union of both id lists, newest ``keep`` per source.
-
-    A source may hold most rows, so the newest are first taken per (source, salt) and only
-    those candidates meet in one place.
-    """
-    from pyspark.sql import Window
-
+def merge_seen_ids(old: DataFrame, new: DataFrame, keep: int = 5000) -> DataFrame:
+    """Union of both id lists, newest ``keep`` per source; a source may hold most rows."""
     both = old.unionByName(new).groupBy("source", "session_id").agg(F.max("seen_at").alias("seen_at"))
-    order = [F.desc("seen_at"), F.desc("session_id")]
-    salted = both.withColumn("_salt", F.pmod(F.xxhash64("session_id"), F.lit(salts)))
-    near = salted.withColumn("_n", F.row_number().over(
-        Window.partitionBy("source", "_salt").orderBy(*order))).filter(F.col("_n") <= keep)
-    top = near.withColumn("_n", F.row_number().over(
-        Window.partitionBy("source").orderBy(*order))).filter(F.col("_n") <= keep)
-    return top.select("source", "session_id", "seen_at")
+    return first_rows(both, ["source"], [F.desc("seen_at"), F.desc("session_id")], keep)
 
 
 def replace_rule(rules: DataFrame, new: DataFrame, key: str = "glob") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracelake.functions.redact import has_high_severity
+from tracelake.operators.scan import first_rows
 
 QUOTA_THRESHOLD = 3
 # What must not appear in a published row (name, pattern, severity).
@@ -188,9 +189,8 @@ def deep_pass(experiences: DataFrame, results: DataFrame, at: str) -> DataFrame:
 
 
 def cap_per_source(files: DataFrame, n: int) -> DataFrame:
-    """Oldest ``n`` sessions per source; the rank filter runs before the shuffle."""
-    w = Window.partitionBy("source").orderBy("mtime", "session_id")
-    return files.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= n).drop("_n")
+    """Oldest ``n`` sessions per source; rows are cut down before they meet."""
+    return first_rows(files, ["source"], [F.col("mtime"), F.col("session_id")], n)
 
 
 def latest_sessions(files: DataFrame, n: int) -> DataFrame:

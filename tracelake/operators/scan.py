@@ -70,3 +70,24 @@ def running(df: DataFrame, keys: list[str], order: list[str], *, chunk: Column |
         out = out.withColumn(n, F.coalesce(F.max(f"_v_{n}").over(here),
                                            F.col(f"_c_{n}")))
     return out.select(*df.columns, *sums, *lasts, *totals)
+
+
+#: Up to this rank Spark itself cuts each task's rows to the wanted ones before the shuffle.
+NATIVE_RANKS = 1000
+
+
+def first_rows(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
+    """The first ``n`` rows of every key in the given (total) order.
+
+    A key may hold most rows. For larger ``n`` its rows are first ranked in parts, about
+    ``sqrt(rows / n)`` of them by the measured count, and only the first ``n`` of each part
+    meet: parts and candidates both stay near ``sqrt(rows * n)`` rows.
+    """
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    if n > NATIVE_RANKS:
+        sizes = df.groupBy(*keys).agg(F.ceil(F.sqrt(F.count(F.lit(1)) / F.lit(n))).cast("int").alias("_parts"))
+        names = [c for c in df.columns if c not in keys]
+        parted = df.join(sizes, keys).withColumn("_part", F.pmod(F.xxhash64(*names), F.col("_parts")))
+        within = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order))
+        df = parted.withColumn("_n", within).filter(F.col("_n") <= n).select(*df.columns)
+    return df.withColumn("_n", rank).filter(F.col("_n") <= n).drop("_n")
