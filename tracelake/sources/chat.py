@@ -42,8 +42,9 @@ def find_thread(messages: DataFrame, ident: str, limit: int | None = None) -> Da
     exact = messages.filter(F.col("thread_id") == ident)
     near = messages.filter(F.startswith("thread_id", F.lit(ident)) & (F.col("thread_id") != ident))
     near = near if limit is None else near.orderBy("ts", "id").limit(limit)
-    found = exact.limit(1).select(F.lit(1).alias("_one"))
-    return exact.unionByName(near.withColumn("_one", F.lit(1)).join(found, "_one", "left_anti").drop("_one"))
+    found = exact.limit(1).select(F.col("thread_id").alias("_start"))
+    start = F.substring("thread_id", 1, len(ident))
+    return exact.unionByName(near.withColumn("_start", start).join(found, "_start", "left_anti").drop("_start"))
 
 
 def thread_participants(messages: DataFrame) -> DataFrame:

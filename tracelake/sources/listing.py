@@ -36,8 +36,9 @@ def find_sessions(sessions: DataFrame, ident: str) -> DataFrame:
     """Exact id; without one, every id that starts with it."""
     exact = sessions.filter(F.col("session_id") == ident)
     near = sessions.filter(F.startswith("session_id", F.lit(ident)) & (F.col("session_id") != ident))
-    found = exact.limit(1).select(F.lit(1).alias("_one"))
-    return exact.unionByName(near.withColumn("_one", F.lit(1)).join(found, "_one", "left_anti").drop("_one"))
+    found = exact.limit(1).select(F.col("session_id").alias("_start"))
+    start = F.substring("session_id", 1, len(ident))
+    return exact.unionByName(near.withColumn("_start", start).join(found, "_start", "left_anti").drop("_start"))
 
 
 def latest(sessions: DataFrame) -> DataFrame:
