@@ -150,9 +150,7 @@ def clean(docs: DataFrame, text: str = "text", rules: Rules = Rules(), cleaned:
     added += [T.StructField(c, T.BooleanType()) for c in ("base_failed", "kept")]
     added += [T.StructField(cleaned, T.StringType())] if cleaned else []
     names = {f.name for f in added}
-    before = [f for f in docs.schema.fields if f.name not in names or f.name == text]
-    names.discard(text) if cleaned != text else None
-    before = [f for f in before if not (cleaned == text and f.name == text)] if cleaned == text else before
+    before = [f for f in docs.schema.fields if f.name not in names]
 
     def run(batches):
         for whole in batches:
@@ -163,5 +161,5 @@ def clean(docs: DataFrame, text: str = "text", rules: Rules = Rules(), cleaned:
                 cols += [rest.column().cast(pa.string())] if cleaned else []
                 yield pa.RecordBatch.from_arrays(cols, [*(f.name for f in before), *(f.name for f in added)])
 
-    need = docs.select(*{f.name: F.col(f"`{f.name}`") for f in [*before, docs.schema[text]]}.values())
+    need = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*(f.name for f in before), text])])
     return need.mapInArrow(run, T.StructType([*before, *added]))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracelake.llm.components import components
-from tracelake.llm.proximity import medoid, range_search, robust_prune
+from tracelake.llm.proximity import range_search, robust_prune
 from tracelake.llm.stored import store
 
 SAMPLE = 4096
