@@ -19,7 +19,7 @@ import pandas as pd
 from tracelake.llm.blocks import LOWER, SPACE, Hashes, Texts, byte_set
 
 #: Pieces a worker remembers; it starts anew when there are more. Only speed depends on it.
-REMEMBER = 1_500_000
+REMEMBER = 500_000
 GLUE, WHOLE = 4, 5
 _KIND = np.full(256, 3, np.uint8)
 _KIND[SPACE] = 0
