@@ -2,9 +2,11 @@ import math
 import zlib
 
 import numpy as np
+import zstandard
 
 from tests.llm.brute import WORD, lower
 from tracelake.llm import recurrent as R
+from tracelake.llm import scoring as S
 from tracelake.llm.scoring import score_documents
 
 SCHEMA = "doc_id long, text string"
@@ -99,3 +101,32 @@ def test_gradients():
         ratios.append((up - loss(f)) / 2e-4 / grad[i])
     # one ratio for all: 1, or what the gradient was clipped by
     assert np.ptp(ratios) < 0.02 * abs(ratios[0]) and ratios[0] > 0.98, ratios
+
+
+def test_rounds_read_every_training_word_once():
+    docs = [(3, "long " * 70_000 + "tail " * 70_000), (4, "a b c"), (5, ""), (6, "d e")]
+    text = "".join(t for _, t in docs).encode()
+    row = {"ids": np.array([i for i, _ in docs], np.int64).tobytes(), "no_id": bytes(len(docs)), "text": zstandard.compress(text),
+           "offsets": np.append(0, np.cumsum([len(t) for _, t in docs])).astype(np.int64).tobytes()}
+    batch = S._Batch(row)
+    parts = [S.stretch(batch, k, 3) for k in range(3)]
+    h, first = batch.words()
+    wanted = np.concatenate([h[first[r]:first[r + 1]] for r in np.flatnonzero(~batch.held)])
+    assert np.array_equal(np.sort(np.concatenate([p for p, _ in parts])), np.sort(wanted))
+    assert sum(int(f.sum()) for _, f in parts) == (~batch.held).sum()
+    assert all(len(p) > 40_000 for p, _ in parts)
+
+
+def test_trainer_uses_every_word():
+    rng = np.random.default_rng(2)
+    for n in (1, 31, 33, 1000, 1055):
+        assert R.Trainer(R.start(np.full(R.WORDS, 1 / R.WORDS))).fit(rng.integers(0, 99, n), np.zeros(n, bool), 0) == n
+
+
+def test_the_end_of_a_long_document_is_learnt(spark):
+    rng = np.random.default_rng(3)
+    noise = " ".join(f"w{k}" for k in rng.integers(0, 50, 70_000))
+    held, kept = (next(i for i in range(99) if (zlib.crc32(str(i).encode()) % 7 == 2) == want) for want in (True, False))
+    docs = [(kept, noise + " ping pong" * 35_000), (held, "ping pong " * 200)]
+    got = {r.doc_id: r for r in score_documents(spark.createDataFrame(docs, SCHEMA).coalesce(1)).collect()}[held]
+    assert got.held_out and got.score > 0.7 * got.base_score

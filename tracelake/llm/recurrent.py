@@ -42,6 +42,13 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(-1, keepdims=True))
 
 
+def _softmax(x: np.ndarray) -> np.ndarray:
+    x = x - x.max(-1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(-1, keepdims=True)
+    return x
+
+
 def _step(h: np.ndarray, g: np.ndarray, wh: np.ndarray) -> tuple[np.ndarray, ...]:
     m = h @ wh
     zr = g[:, :2 * HIDDEN] + m[:, :2 * HIDDEN]
@@ -152,7 +159,7 @@ class Trainer:
         self.one, self.two, self.work, self.grad = (np.zeros_like(flat) for _ in range(4))
 
     def fit(self, words: np.ndarray, fresh: np.ndarray, begin: int, lanes: int = 32, window: int = 32) -> int:
-        """One pass over a stream of texts (``fresh`` where one begins), cut into equal lanes; returns the words used."""
+        """One pass over a stream of texts (``fresh`` where one begins), cut into equal lanes, the last one with the rest; returns the words used."""
         lanes = max(1, min(lanes, len(words) // window))
         steps = len(words) // lanes
         if not steps:
@@ -164,7 +171,10 @@ class Trainer:
         h = np.zeros((lanes, HIDDEN), np.float32)
         for lo in range(0, steps, window):
             h = self._window(word[lo:lo + window], prior[lo:lo + window], new[lo:lo + window], h)
-        return lanes * steps
+        rest = slice(lanes * steps, len(words))
+        if rest.start < rest.stop:   # fewer words than lanes
+            self._window(words[rest, None], before[rest, None], fresh[rest, None], h[-1:])
+        return len(words)
 
     def _window(self, word, prior, new, h):
         w = parts(self.flat)
@@ -174,49 +184,55 @@ class Trainer:
         steps, lanes = word.shape
         x = w["embed"][prior]
         proj = x @ w["wx"] + w["b"]
-        keep = []
-        states = np.empty((steps, lanes, HIDDEN), np.float32)
+        begun = new.any(1)
+        h0, z, r, n, m, states = (np.empty((steps, lanes, HIDDEN), np.float32) for _ in range(6))
         for t in range(steps):
-            h = np.where(new[t][:, None], np.float32(0), h)
-            start_h = h
-            h, z, r, n, m = _step(h, proj[t], w["wh"])
-            keep.append((start_h, z, r, n, m))
+            h0[t] = np.where(new[t][:, None], np.float32(0), h) if begun[t] else h
+            h, z[t], r[t], n[t], m[t] = _step(h0[t], proj[t], w["wh"])
             states[t] = h
         flat_h, flat_w = states.reshape(-1, HIDDEN), word.ravel()
         cls, within = flat_w // PER_CLASS, flat_w % PER_CLASS
-        rows = np.arange(len(flat_w))
         scale = np.float32(1 / len(flat_w))
-        d = np.exp(_log_softmax(flat_h @ w["wc"] + w["bc"]))
-        d[rows, cls] -= 1
+        d = _softmax(flat_h @ w["wc"] + w["bc"])
+        d[np.arange(len(flat_w)), cls] -= 1
         d *= scale
         g["wc"] += flat_h.T @ d
         g["bc"] += d.sum(0)
         dh_out = d @ w["wc"].T
         order = np.argsort(cls, kind="stable")
-        edge = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        for c in np.flatnonzero(np.diff(edge)).tolist():
-            at = order[edge[c]:edge[c + 1]]
-            e = np.exp(_log_softmax(flat_h[at] @ w["ww"][c].T + w["bw"][c]))
-            e[np.arange(len(at)), within[at]] -= 1
-            e *= scale
-            g["ww"][c] += e.T @ flat_h[at]
-            g["bw"][c] += e.sum(0)
-            dh_out[at] += e @ w["ww"][c]
+        count = np.bincount(cls, minlength=CLASSES)
+        edge = np.cumsum(count) - count
+        width = np.frexp(count)[1]   # classes of about as many words are worked on together
+        for k in np.unique(width[count > 0]).tolist():
+            c = np.flatnonzero(width == k)
+            j = np.arange(count[c].max())
+            real = j < count[c][:, None]
+            at = order[edge[c][:, None] + np.minimum(j, count[c][:, None] - 1)]
+            own, weight = flat_h[at], w["ww"][c]
+            e = _softmax(own @ weight.transpose(0, 2, 1) + w["bw"][c][:, None])
+            e[np.arange(len(c))[:, None], j, within[at]] -= 1
+            e *= (scale * real)[:, :, None]
+            g["ww"][c] = e.transpose(0, 2, 1) @ own
+            g["bw"][c] = e.sum(1)
+            dh_out[at[real]] += (e @ weight)[real]
         dh_out = dh_out.reshape(steps, lanes, HIDDEN)
-        dproj = np.empty((steps, lanes, 3 * HIDDEN), np.float32)
+        # what a state's gradient is multiplied by for z, r and the candidate's recurrent part
+        dn = (1 - z) * (1 - n * n)
+        factor = np.stack([(h0 - n) * z * (1 - z), dn * m * r * (1 - r), dn * r], 2)
+        dm = np.empty_like(factor)
+        back = np.ascontiguousarray(w["wh"].T)
         dh = np.zeros((lanes, HIDDEN), np.float32)
         for t in range(steps - 1, -1, -1):
-            h0, z, r, n, m = keep[t]
-            dh = dh + dh_out[t]
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (h0 - n) * z * (1 - z)
-            dr = dn * m * r * (1 - r)
-            dm = np.concatenate([dz, dr, dn * r], 1)
-            dproj[t] = np.concatenate([dz, dr, dn], 1)
-            g["wh"] += h0.T @ dm
-            dh = dh * z + dm @ w["wh"].T
-            dh = np.where(new[t][:, None], np.float32(0), dh)
-        flat_d = dproj.reshape(-1, 3 * HIDDEN)
+            dh += dh_out[t]
+            dn[t] *= dh
+            np.multiply(factor[t], dh[:, None], out=dm[t])
+            dh *= z[t]
+            dh += dm[t].reshape(lanes, -1) @ back
+            if begun[t]:
+                dh[new[t]] = 0
+        g["wh"] += h0.reshape(-1, HIDDEN).T @ dm.reshape(-1, 3 * HIDDEN)
+        dm[:, :, 2] = dn
+        flat_d = dm.reshape(-1, 3 * HIDDEN)
         g["wx"] += x.reshape(-1, EMBED).T @ flat_d
         g["b"] += flat_d.sum(0)
         np.add.at(g["embed"], prior.ravel(), flat_d @ w["wx"].T)

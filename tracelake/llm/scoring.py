@@ -5,9 +5,10 @@
    send the corpus counts back. So corpus statistics cover all training documents, and a
    frequent word costs one entry per batch, not one row per occurrence.
 2. The ``WORDS - 2`` most frequent words, an end and an unknown word are the model's words.
-3. Rounds of training: every batch trains the current weights on ``train_words`` words of its
-   training documents (others in each round), so what is read grows with the input; a
-   task's weights are averaged, then those of all tasks, weighted by words.
+3. Rounds of training: every batch cuts the words of its training documents into as many
+   stretches as there are rounds and trains the current weights on one in each round, so the
+   rounds together train on every training word once, a long document in several stretches;
+   a task's weights are averaged, then those of all tasks, weighted by words.
 4. Every document is scored whole, its state carried from window to window. A word outside
    the model's has the unknown word's probability times its share among all such words.
 
@@ -33,7 +34,6 @@ from tracelake.llm.stored import store
 
 BATCH_BYTES = 8 << 20
 ROUNDS = 3
-TRAIN_WORDS = 60_000
 END_HASH = np.uint64(1)          # no word has it: word hashes are set to be larger
 FOLDS, HELD_OUT = 7, 2
 END, UNKNOWN = 0, 1
@@ -90,16 +90,13 @@ class _Batch:
         self.held = held_out(self.ids)
         self.texts = Texts(np.frombuffer(zstandard.ZstdDecompressor().decompress(row["text"]), np.uint8), np.frombuffer(row["offsets"], np.int64))
 
-    def words(self, rows: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Word hashes of all rows, or of some."""
+    def words(self) -> tuple[np.ndarray, np.ndarray]:
+        """Word hashes of all rows, and the rows' firsts."""
         o = self.texts.offsets
-        if rows is not None:
-            some = [Texts(self.texts.data[o[r]:o[r + 1]], np.array([0, o[r + 1] - o[r]])) for r in rows.tolist()]
-        else:
-            cuts = np.unique(np.append(np.searchsorted(o, np.arange(0, o[-1] + 1, 2 << 20)), len(o) - 1))
-            some = [Texts(self.texts.data[o[a]:o[b]], o[a:b + 1] - o[a]) for a, b in zip(cuts[:-1], cuts[1:])]
-            if len(o) > 1 and not some:
-                some = [self.texts]
+        cuts = np.unique(np.append(np.searchsorted(o, np.arange(0, o[-1] + 1, 2 << 20)), len(o) - 1))
+        some = [Texts(self.texts.data[o[a]:o[b]], o[a:b + 1] - o[a]) for a, b in zip(cuts[:-1], cuts[1:])]
+        if len(o) > 1 and not some:
+            some = [self.texts]
         got = [word_hashes(t) for t in some]
         first = [np.zeros(1, np.int64)]
         for h, f in got:
@@ -107,6 +104,21 @@ class _Batch:
         return np.concatenate([h for h, _ in got]) if got else np.zeros(0, np.uint64), np.concatenate(first)
 
 
+def stretch(x: _Batch, number: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words of a batch's training documents that a round reads, and where a document begins; the rounds share all words."""
+    h, first = x.words()
+    rows = np.flatnonzero(~x.held)
+    rows = rows[np.argsort([zlib.crc32(str(r).encode()) for r in rows.tolist()], kind="stable")]
+    size = np.diff(first)[rows]
+    begin = np.cumsum(size) - size
+    total = int(size.sum())
+    fresh = np.zeros(total, bool)
+    fresh[begin] = True
+    part = slice(total * number // rounds, total * (number + 1) // rounds)
+    at = np.arange(total) + np.repeat(first[:-1][rows] - begin, size)
+    return h[at[part]], fresh[part]
+
+
 def _distinct(x: _Batch, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of a batch as codes, their rows, the distinct hashes ordered by bucket, training counts, and the buckets' edges."""
     h, first = x.words()
@@ -192,25 +204,16 @@ class Vocabulary:
         return out
 
 
-def _train(stored: DataFrame, held, flat: np.ndarray, number: int, train_words: int) -> np.ndarray:
+def _train(stored: DataFrame, held, flat: np.ndarray, number: int, rounds: int) -> np.ndarray:
     weights = stored.sparkSession.sparkContext.broadcast(flat)  # of fixed size
 
     def run(batches):
         trainer, used = recurrent.Trainer(weights.value), 0
         for b in batches:
             for row in b.to_pylist():
-                x = _Batch(row)
-                size = np.diff(x.texts.offsets)
-                rows = np.flatnonzero(~x.held)
-                rows = rows[np.argsort([zlib.crc32(f"{number}:{r}".encode()) for r in rows.tolist()], kind="stable")]
-                # about so many bytes as hold the wanted words
-                rows = rows[:int(np.searchsorted(np.cumsum(size[rows]), 8 * train_words)) + 1]
-                if len(rows):
-                    h, first = x.words(rows)
-                    fresh = np.zeros(len(h), bool)
-                    fresh[first[:-1]] = True
-                    n = min(len(h), train_words)
-                    used += trainer.fit(held.value.ids(h[:n]), fresh[:n], END)
+                h, fresh = stretch(_Batch(row), number, rounds)
+                if len(h):
+                    used += trainer.fit(held.value.ids(h), fresh, END)
         if used:
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([used], pa.int64()),
                                               pa.array([trainer.flat.tobytes()], pa.binary())], ["task", "used", "weights"])
@@ -269,7 +272,7 @@ def _score(stored: DataFrame, counted: DataFrame, held, flat: np.ndarray, bucket
     return stored.groupBy("batch").cogroup(replies.groupBy("batch")).applyInArrow(run, schema)
 
 
-def score_documents(docs: DataFrame, rounds: int = ROUNDS, train_words: int = TRAIN_WORDS, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def score_documents(docs: DataFrame, rounds: int = ROUNDS, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row."""
     stored = gather(docs, batch_bytes)
     buckets = max(64, 2 * stored.count())
@@ -282,7 +285,7 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS, train_words: int = TR
     held = docs.sparkSession.sparkContext.broadcast(vocabulary)  # a few thousand words at most
     flat = recurrent.start(vocabulary.share)
     for number in range(rounds):
-        flat = _train(stored, held, flat, number, train_words)
+        flat = _train(stored, held, flat, number, rounds)
     return _score(stored, counted, held, flat, buckets)
 
 
