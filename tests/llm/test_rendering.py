@@ -74,6 +74,25 @@ def test_visibility_and_broken_markup():
     assert lay_out([]) == []
 
 
+def test_formulas_and_drawings():
+    t = visible_text
+    assert t("<p>let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be") == "let x=2 be"
+    assert t("<math><semantics><mfrac><mn>1</mn><mn>2</mn></mfrac><annotation>\\frac12</annotation>"
+             "<annotation-xml><ci>no</ci></annotation-xml></semantics></math>, a") == "1 2 , a"
+    assert t("a<svg><title>T</title><desc>D</desc><defs><text>no</text></defs><metadata>M</metadata><style>s{}</style>"
+             "<rect/><text>Jan</text><text>Fe<tspan>b</tspan></text></svg>z") == "a Jan Feb z"
+    assert t("<svg><title/><desc/><defs/><text>seen</text></svg><p>after") == "seen\n\nafter"
+    assert t("<svg><text><![CDATA[1 < 2 > 0]]></text></svg>") == "1 < 2 > 0"
+    assert t("<svg><foreignObject><div/>in</div></foreignObject></svg><desc>out</desc>") == "in\nout"
+    assert t("<svg style='display:none'><text>no</text></svg><svg/>x<math/>y") == "xy"
+
+
+def test_fallback_of_objects():
+    t = visible_text
+    assert t("<object><p>fallback</object>") == "fallback" and t("<object data='m.swf'>old</object>x") == "x"
+    assert t("<video>no</video><audio>no</audio><canvas>no</canvas>x") == "x"
+
+
 def test_rows_and_columns(spark):
     rows = [(1, None, "u", "old"), (2, "<p>x", None, "old"), (2, "<p>x", None, "old")]
     df = spark.createDataFrame(rows, "page_id long, html string, url string, text string")

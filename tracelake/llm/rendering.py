@@ -6,8 +6,12 @@ content), and rendered: all visible text in order, white space collapsed outside
 lines around blocks, markers and indentation for lists, cells of a table padded to columns.
 
 Not visible are ``head``, scripts, styles, templates, comments, elements with ``hidden`` or a
-style of ``display:none`` or ``visibility:hidden``, hidden inputs, and ``noscript`` (a renderer
-runs scripts). Nothing recurses, so nesting may be as deep as the page is long.
+style of ``display:none`` or ``visibility:hidden``, hidden inputs, ``noscript`` (a renderer
+runs scripts), ``datalist``, frames, what stands in ``video``, ``audio``, ``canvas`` and an
+``object`` with ``data`` (a renderer shows these instead), titles, descriptions, definitions
+and metadata of ``svg``, and annotations and phantoms of ``math``. Other text of ``svg`` and
+``math`` is inline; labels, cells and the parts of a fraction or script are set apart by a
+blank. Nothing recurses, so nesting may be as deep as the page is long.
 
 Defined results: a null, empty or text-free page gives an empty text; broken markup never
 fails; repeated rows give repeated results; other columns are kept by :func:`render`, and a
@@ -27,7 +31,11 @@ from pyspark.sql import types as T
 # Element names of HTML by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template noscript title meta link base iframe noembed noframes object video audio canvas svg math datalist".split())
+UNSEEN = frozenset("head script style template noscript title meta link base iframe noembed noframes video audio canvas datalist".split())
+UNSEEN_FOREIGN = frozenset("title desc defs metadata annotation annotation-xml mphantom".split())   # in svg and math
+#: Elements of svg and math around whose text, or around each of whose children, a blank stands.
+APART = frozenset("text mtd".split())
+PARTS_APART = frozenset("mfrac mroot msub msup msubsup munder mover munderover mmultiscripts mtable mtr".split())
 WIDE = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset form article section header footer nav main aside address details hr menu".split())
 LINE = frozenset("div li dt dd tr caption legend option summary figcaption center dir body html optgroup".split())
 CLOSES_P = WIDE | frozenset("div dir center li dt dd summary".split())
@@ -53,10 +61,10 @@ _HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)",
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "foreign")
 
-    def __init__(self, tag: str, attrs: str = ""):
-        self.tag, self.attrs, self.children = tag, attrs, []
+    def __init__(self, tag: str, attrs: str = "", foreign: bool = False):
+        self.tag, self.attrs, self.children, self.foreign = tag, attrs, [], foreign
 
     def get(self, name: str) -> str | None:
         for m in ATTR.finditer(self.attrs):
@@ -66,13 +74,15 @@ class Node:
 
     @property
     def hidden(self) -> bool:
-        if self.tag in UNSEEN:
+        if self.tag in UNSEEN or self.foreign and self.tag in UNSEEN_FOREIGN:
             return True
         if not self.attrs:
             return False
         low = self.attrs.lower()
         if "hidden" in low and (self.get("hidden") is not None or self.tag == "input" and (self.get("type") or "").lower() == "hidden"):
             return True
+        if self.tag == "object" and self.get("data"):
+            return True
         return "style" in low and bool(_HIDES.search(self.get("style") or ""))
 
 
@@ -111,6 +121,10 @@ def build(page: str) -> Node:
         at = m.end()
         name = m[2] or m[5]
         if not name:
+            if open_[-1].foreign and m[0].startswith("<![CDATA["):
+                stop = page.find("]]>", m.start())
+                open_[-1].children.append(page[m.start() + 9:stop if stop >= 0 else end])
+                at = stop + 3 if stop >= 0 else end
             continue
         tag, closing, attrs = name.lower(), (m[1] or m[4]) == "/", (m[3] if m[2] else m[6]) or ""
         if closing:
@@ -134,9 +148,10 @@ def build(page: str) -> Node:
             i = find(*IMPLIED[tag])
             if i:
                 pop_to(i)
-        node = Node(tag, attrs)
+        # HTML stands in a foreignObject
+        node = Node(tag, attrs, tag in ("svg", "math") or open_[-1].foreign and open_[-1].tag != "foreignobject")
         open_[-1].children.append(node)
-        if tag in VOID or attrs.endswith("/") and tag in ("svg", "path"):
+        if tag in VOID or attrs.endswith("/") and (node.foreign or tag == "path"):
             continue
         if tag in RAW:
             stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
@@ -356,6 +371,10 @@ def visible_text(page: str | None) -> str:
         children = node.children
         if tag == "pre" and children and isinstance(children[0], str) and children[0].startswith("\n"):
             children = [children[0][1:], *children[1:]]
+        if node.foreign and tag in APART:
+            children = [" ", *children, " "]
+        elif node.foreign and tag in PARTS_APART:
+            children = [" ", *(x for c in children for x in (c, " "))]
         stack += [(c, False) for c in reversed(children)]
     return flows[0].text()
 
