@@ -246,3 +246,16 @@ def test_chat_numbering_in_a_hot_hour(spark, monkeypatch, kind):
         want += [(t, n, f"[{r[1]}→bob] {r[3]}") for n, r in enumerate(mine)]
     assert [tuple(r) for r in plain] == sorted(want)
     assert fine == plain
+
+
+def test_label_queries_read_past_a_prefix(spark, tmp_path):
+    from tracelake import suite
+
+    suite.load()
+    far = "word " * 40
+    docs = [(6, "\n" * 95 + "Fix the reader"), (12, "\n" * 95 + far), (1, "Fix " + far + "got cut off")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = {r.doc_id: r.label for r in suite.QUERIES["clean_label_whole"](spark, str(tmp_path)).collect()}
+    assert labels[6] == "Fix the reader" and labels[12] == far[:59] + "…"
+    bad = {r.doc_id: r.bad for r in suite.QUERIES["looks_bad_title_whole"](spark, str(tmp_path)).collect()}
+    assert bad[1] and not bad[6]

@@ -162,6 +162,15 @@ def looks_bad_title(spark, sf):
         "doc_id", tx.looks_bad_title(F.expr(LABELS)).alias("bad"))
 
 
+#: LABELS over the whole text.
+WHOLE_LABELS = LABELS.replace("substring(text, 1, 40 + CAST(doc_id % 50 AS INT))", "coalesce(text, '')")
+
+
+@case("looks_bad_title_whole", f"SELECT doc_id, {bad_sql('label')} AS bad FROM (SELECT doc_id, {WHOLE_LABELS} AS label FROM documents)")
+def looks_bad_title_whole(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", tx.looks_bad_title(F.expr(WHOLE_LABELS)).alias("bad"))
+
+
 def clean_sql(e: str) -> str:
     lines = f"list_transform(regexp_split_to_array({strip_sql(e)}, '[\\n\\r]'), lambda x: {strip_sql('x')})"
     notice = "x = '' OR " + list_any("starts_with", "x", tx.NOTICE_PREFIXES)
@@ -180,6 +189,11 @@ def clean_label(spark, sf):
     return table(spark, sf, "documents").select("doc_id", tx.clean_label(F.expr(LABELS)).alias("label"))
 
 
+@case("clean_label_whole", CLEAN_LABEL_SQL.replace(LABELS, WHOLE_LABELS))
+def clean_label_whole(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", tx.clean_label(F.expr(WHOLE_LABELS)).alias("label"))
+
+
 @case("intent", f"""WITH {turns_cte()},
 m AS (SELECT session_id, turn_index, role, content AS txt, {marker_sql('content')} AS t FROM turns),
 a AS (SELECT session_id, arg_max(t, turn_index) FILTER (t IS NOT NULL) AS marker,
