@@ -114,3 +114,58 @@ def op4_gru(spark: SparkSession, sf: str) -> DataFrame:
     from tracelake.llm.scoring import score_documents
 
     return score_documents(table(spark, sf, "documents"))
+
+
+# a leaf's path: its run's other nodes at every level; the lowest bit of crc32 by shifting the bytes of the id through
+MERKLE_SQL = """
+WITH RECURSIVE told AS (
+  SELECT doc_id, source, lang, n_chars, text,
+   list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+     lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)) AS lc
+  FROM documents),
+leaves AS (
+  SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos,
+   sha256(HEAD || coalesce(strlen(text) || ':' || text, '-')) AS h,
+   sha256(HEAD || coalesce(strlen(seen) || ':' || seen, '-')) AS seen
+  FROM (SELECT *, CASE WHEN xor(lc, 4294967295) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS seen,
+          coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+          || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS HEAD FROM told)),
+nodes AS (
+  SELECT 0 AS lv, coalesce('s' || source, '') AS grp, pos, h, count(*) OVER (PARTITION BY source) AS n FROM leaves
+  UNION ALL
+  SELECT lv + 1, grp, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (max(n) + 2) // 3 FROM nodes WHERE n > 1 GROUP BY lv, grp, pos // 3),
+subroots AS (SELECT grp, h AS subroot, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+heads AS (
+  SELECT 0 AS lv, pos, subroot AS h, n FROM subroots
+  UNION ALL
+  SELECT lv + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (max(n) + 2) // 3 FROM heads WHERE n > 1 GROUP BY lv, pos // 3),
+folds AS (
+  SELECT doc_id, coalesce('s' || source, '') AS grp, h AS leaf, 0 AS lv, pos, seen AS node, '' AS proof FROM leaves
+  UNION ALL
+  SELECT f.doc_id, f.grp, f.leaf, f.lv + 1, f.pos // 3,
+   sha256(string_agg(CASE WHEN s.pos = f.pos THEN f.node ELSE s.h END, '' ORDER BY s.pos)),
+   f.proof || coalesce(string_agg(s.h, '' ORDER BY s.pos) FILTER (s.pos <> f.pos), '')
+  FROM folds f JOIN nodes s ON s.grp = f.grp AND s.lv = f.lv AND s.pos // 3 = f.pos // 3 AND s.n > 1
+  GROUP BY f.doc_id, f.grp, f.leaf, f.lv, f.pos, f.node, f.proof),
+ends AS (SELECT f.doc_id, f.leaf, f.node, f.proof, s.subroot, s.pos FROM (SELECT *, max(lv) OVER (PARTITION BY doc_id) AS last FROM folds) f JOIN subroots s ON s.grp = f.grp WHERE f.lv = f.last),
+tops AS (
+  SELECT doc_id, leaf, subroot, 0 AS lv, pos, node, proof FROM ends
+  UNION ALL
+  SELECT f.doc_id, f.leaf, f.subroot, f.lv + 1, f.pos // 3,
+   sha256(string_agg(CASE WHEN s.pos = f.pos THEN f.node ELSE s.h END, '' ORDER BY s.pos)),
+   f.proof || coalesce(string_agg(s.h, '' ORDER BY s.pos) FILTER (s.pos <> f.pos), '')
+  FROM tops f JOIN heads s ON s.lv = f.lv AND s.pos // 3 = f.pos // 3 AND s.n > 1
+  GROUP BY f.doc_id, f.leaf, f.subroot, f.lv, f.pos, f.node, f.proof),
+done AS (SELECT *, max(lv) OVER () AS last FROM tops)
+SELECT doc_id, leaf, subroot, r.h AS root, sha256(proof) AS proof_sha256, node AS folded_root, node = r.h AS verified
+FROM done, (SELECT h FROM heads WHERE n = 1) r WHERE done.lv = done.last
+"""
+
+
+@case("op12_merkle", MERKLE_SQL)
+def op12_merkle(spark: SparkSession, sf: str) -> DataFrame:
+    from tracelake.llm.manifest import manifest
+
+    # in every document whose crc32(doc_id) is even, line breaks are lost before the check
+    damaged = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return manifest(table(spark, sf, "documents"), observed={"text": damaged}).drop("proof")
