@@ -169,3 +169,38 @@ def op12_merkle(spark: SparkSession, sf: str) -> DataFrame:
     # in every document whose crc32(doc_id) is even, line breaks are lost before the check
     damaged = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
     return manifest(table(spark, sf, "documents"), observed={"text": damaged}).drop("proof")
+
+
+NEGATIVES_SQL = """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS x
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+   AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
+@case("op11_bond", NEGATIVES_SQL)
+def op11_bond(spark: SparkSession, sf: str) -> DataFrame:
+    from tracelake.llm.negatives import mine
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf, "embeddings").withColumn("label", label)
+    return mine(vectors, anchors=F.col("vec_id") % 50 == 0)
+
+
+@case("op13_descent")
+def op13_descent(spark: SparkSession, sf: str) -> DataFrame:
+    from tracelake.llm.neighbours import nearest
+
+    return nearest(table(spark, sf, "embeddings"), queries=F.col("vec_id") % 20 == 0, k=20)
