@@ -46,7 +46,7 @@ def test_ties_repeats_nulls_and_lengths(spark):
     rows = [(i, rng.choice("ab"), few[i % 4]) for i in range(40)] + [(5, "a", few[1])] * 3 + [(6, "b", few[1])] * 3
     rows += [(None, "a", few[0]), (50, None, few[0]), (55, "a", None), (60, "a", [0.1, None, 0.2]), (65, "b", [0.1, math.nan, 0.2]),
              (70, "b", [math.inf, 0.1, 0.2]), (75, "a", [0.0, 0.0, 0.0]), (80, "a", []), (81, "b", []), (85, "a", [0.5, 0.5]), (86, "a", [0.5, 0.25]),
-             (87, "b", [0.25, 0.25]), (90, "a", [3e8, -2e8, 1e8]), (91, "a", [2.5e8, -2e8, 1e8]), (92, "b", [2e8, -1e8, 1e8])]
+             (87, "b", [0.25, 0.25]), (90, "a", [3e6, -2e6, 1e6]), (91, "a", [2.5e6, -2e6, 1e6]), (92, "b", [2e6, -1e6, 1e6])]
     assert any(abs(r[4]) > 1 << 53 for r in check(spark, rows, block=8, anchor_block=3))
 
 
