@@ -1,7 +1,6 @@
 """Every registered query with a SQL check agrees with DuckDB on the smallest tables."""
 
 import duckdb
-import pandas as pd
 import pytest
 
 from tracelake import suite
@@ -21,20 +20,23 @@ def duck():
 
 
 def canon(v):
-    if v is None or v is pd.NaT or (isinstance(v, float) and v != v):
+    if v is None or (isinstance(v, float) and v != v):
         return None
     return repr(round(v, 9)) if isinstance(v, float) else str(v)
 
 
-def rows(df):
-    cols = sorted(df.columns)
-    return cols, sorted((tuple(map(canon, r)) for r in df[cols].itertuples(index=False)), key=repr)
+def rows(names, found):
+    """Values as the engines give them: a frame would turn a column of integers and nulls into floats."""
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return [names[i] for i in order], sorted((tuple(canon(r[i]) for i in order) for r in found), key=repr)
 
 
 @pytest.mark.parametrize("key", sorted(suite.ORACLES))
 def test_agrees(spark, duck, key):
-    got = rows(suite.QUERIES[key](spark, SF).toPandas())
-    want = rows(duck.execute(suite.ORACLES[key]).df())
+    df = suite.QUERIES[key](spark, SF)
+    got = rows(df.columns, df.collect())
+    told = duck.execute(suite.ORACLES[key])
+    want = rows([c[0] for c in told.description], told.fetchall())
     assert got[0] == want[0]
     assert got[1] == want[1]
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tracelake.operators.consent import policy_tables
 from tracelake.session import shared_dir
-from tracelake.streaming import sync
+from tracelake.streaming import memory, sync
 from tracelake.suite.registry import BASE_SECOND, case, rule_steps, table
 from tracelake.suite.sources import event_lines
 
@@ -119,3 +119,58 @@ def stream_sync(spark, sf):
     kept = spark.read.parquet(f"{out}/turns").groupBy(F.substring_index("session_id", "/", -1).alias("session_id")).agg(F.count(F.lit(1)).alias("n_turns"))
     return spark.read.parquet(f"{out}/outcomes").select("session_id", "status").join(kept, "session_id", "left")
 
+
+
+KIND = "CASE event_type WHEN 'error' THEN 'override' WHEN 'click' THEN 'pending' WHEN 'purchase' THEN 'uploaded' ELSE 'ask' END"
+MODE = "CASE event_id % 3 WHEN 0 THEN 'always' WHEN 1 THEN 'never' ELSE 'ask' END"
+
+
+def arrivals(spark, sf, parts=3):
+    """Events as files that arrive one after the other: cut by time, but for the seconds around a cut."""
+    e = table(spark, sf, "events")
+    lo, hi = e.agg(F.min("ts"), F.max("ts")).first()
+    at = F.unix_micros(F.col("ts").cast("timestamp")) + F.pmod(F.xxhash64("event_id"), F.lit(600 * memory.SECOND)) - F.lit(300 * memory.SECOND)
+    first = F.unix_micros(F.lit(lo).cast("timestamp"))
+    part = F.floor((at - first) * parts / F.greatest(F.lit(1), F.unix_micros(F.lit(hi).cast("timestamp")) - first))
+    rows = e.withColumn("part", F.least(F.greatest(part, F.lit(0)), F.lit(parts - 1)))
+    inbox = shared_dir(spark, "events")
+    for i in range(parts):
+        rows.filter(F.col("part") == i).drop("part").write.mode("append").parquet(inbox)
+    return spark.readStream.schema(e.schema).option("maxFilesPerTrigger", spark.sparkContext.defaultParallelism).parquet(inbox)
+
+
+@case("session_memory", f"""WITH e AS (SELECT 'src' || (user_id % 3) AS source, 'u' || user_id || '-' || (event_id % 4) AS session_id, event_id, ts AS t, {KIND} AS kind, {MODE} AS mode FROM events),
+ w AS (SELECT date_trunc('millisecond', max(t)) - INTERVAL 1 HOUR AS passed FROM e),
+ known AS (SELECT *, last_value(CASE WHEN kind = 'override' THEN mode END IGNORE NULLS) OVER past AS last_mode, last_value(CASE WHEN kind = 'override' THEN t END IGNORE NULLS) OVER past AS last_at
+  FROM e WINDOW past AS (PARTITION BY source, session_id ORDER BY t, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+ o AS (SELECT *, lead(t) OVER (PARTITION BY source, session_id ORDER BY t, event_id) AS next_at FROM e WHERE kind = 'override'),
+ p AS (SELECT *, lead(t) OVER s AS next_at, lag(kind) OVER s AS last_kind, lag(t) OVER s AS last_at FROM e WHERE kind IN ('pending', 'uploaded') WINDOW s AS (PARTITION BY source, session_id ORDER BY t, event_id)),
+ r AS (SELECT source, session_id, t, event_id, 'answered' AS what, CASE WHEN t < last_at + INTERVAL 1 DAY THEN last_mode END AS mode FROM known WHERE kind = 'ask'
+  UNION ALL SELECT source, session_id, t + INTERVAL 1 DAY, NULL, 'override_expired', mode FROM o WHERE next_at IS NULL OR next_at >= t + INTERVAL 1 DAY
+  UNION ALL SELECT source, session_id, t + INTERVAL 7 DAY, NULL, 'pending_expired', NULL FROM p WHERE kind = 'pending' AND (next_at IS NULL OR next_at > t + INTERVAL 7 DAY)
+  UNION ALL SELECT source, session_id, t, event_id, 'pending_taken', NULL FROM p WHERE kind = 'uploaded' AND last_kind = 'pending' AND t <= last_at + INTERVAL 7 DAY)
+ SELECT source, session_id, strftime(t, '%Y-%m-%d %H:%M:%S.%f') AS happened_at, event_id, what, mode FROM r, w WHERE t < passed""")
+def session_memory(spark, sf):
+    """Overrides of a day and pending sessions of a week, answered in the order of time."""
+    e = arrivals(spark, sf).select(
+        F.concat(F.lit("src"), (F.col("user_id") % 3).cast("string")).alias("source"), "event_id", F.col("ts").cast("timestamp").alias("ts"),
+        F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("-"), (F.col("event_id") % 4).cast("string")).alias("session_id"),
+        F.expr(KIND).alias("kind"), F.expr(MODE).alias("mode"))
+    with memory.state_store(spark):
+        out = drained(spark, memory.session_memory(e, "ts", "1 hour"), "memory")
+    return out.select("source", "session_id", F.date_format("at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("happened_at"), "event_id", "what", "mode")
+
+
+@case("newest_ids", """SELECT source, session_id, strftime(seen, '%Y-%m-%d %H:%M:%S.%f') AS seen_at FROM (
+  SELECT 'src' || (user_id % 3) AS source, 'u' || user_id || '-' || (event_id % 997) AS session_id, max(ts) AS seen FROM events GROUP BY 1, 2)
+ QUALIFY row_number() OVER (PARTITION BY source ORDER BY seen DESC, session_id DESC) <= 500""")
+def newest_ids(spark, sf):
+    """The newest ids of each source, of which there may be any number, read from the stream's state."""
+    e = arrivals(spark, sf).select(
+        F.concat(F.lit("src"), (F.col("user_id") % 3).cast("string")).alias("source"), F.col("ts").cast("timestamp").alias("ts"),
+        F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("-"), (F.col("event_id") % 997).cast("string")).alias("session_id"))
+    checkpoint = shared_dir(spark, "newest-cp")
+    with memory.state_store(spark):
+        memory.newest_ids(e, "ts", keep=500).writeStream.outputMode("update").foreachBatch(lambda batch, _: batch.count()).option(
+            "checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return memory.kept_ids(spark, checkpoint, keep=500).withColumn("seen_at", F.date_format("seen_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
