@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,8 @@ from tracelake.operators import governance as gv
 from tracelake.operators import pairs as pr
 from tracelake.operators import rewards as rw
 from tracelake.operators import search as se
+from tracelake.session import materialize
+from tracelake.sources.ledger import write_ledger
 from tracelake.sources.sinks import write_gold
 
 
@@ -27,10 +30,10 @@ def whole_id(source: str = "source", session: str = "session_id") -> Column:
 
 
 def push(spark: SparkSession, turns: DataFrame, path: str, agent_id: str, batch: str,
-         ledger: DataFrame | None = None, rules: tuple[Rule, ...] = DEFAULT_RULES,
+         ledger: DataFrame | Callable[[DataFrame], DataFrame | None] | None = None, rules: tuple[Rule, ...] = DEFAULT_RULES,
          constants: dict | None = None) -> dict[str, str]:
     """Turns -> stored tables of one batch. With a ``source`` column, sessions are stored under
-    ``source/session_id``.
+    ``source/session_id``. ``ledger`` is a table of known fingerprints, or gives one for the new ones.
 
     Fingerprint and ledger come first, so the expensive rules only see new content. Redacted
     turns are written once and everything else is derived from that table: the rules run once
@@ -40,11 +43,15 @@ def push(spark: SparkSession, turns: DataFrame, path: str, agent_id: str, batch:
         turns = turns.withColumn("session_id", whole_id()).drop("source")
     prints = cd.fingerprint(turns).select(
         F.lit(agent_id).alias("agent_id"), "session_id", "fingerprint", F.col("session_id").alias("arrival"))
+    if callable(ledger):
+        prints = materialize(prints, "prints")
+        ledger = ledger(prints)
     new = dd.dedup_sessions(prints) if ledger is None else dd.dedup_ledger_antijoin(prints, ledger)[0]
     new = new.select("agent_id", "fingerprint", "session_id",
                      F.concat_ws("-", F.lit("x"), "session_id", F.substring("fingerprint", 1, 12)).alias("experience_id"))
     paths = write_gold({"fingerprints": new}, path, batch)
     kept = spark.read.schema(new.schema).parquet(f"{path}/fingerprints/batch={batch}")
+    write_ledger(kept, path, batch)
 
     fresh = turns.join(kept.select("session_id", "experience_id"), "session_id")
     paths |= write_gold({"turns": cd.redact_turns(fresh, rules)}, path, batch)

@@ -16,6 +16,7 @@ from tracelake.operators import governance as gv
 from tracelake.plans.jobs import push, tick
 from tracelake.sources.base import session_key
 from tracelake.sources.event_log import event_turns
+from tracelake.sources.ledger import PRINTS, lookup, write_ledger
 
 
 def stream_lines(spark: SparkSession, path: str, max_files: int | None = None,
@@ -36,17 +37,11 @@ def batch_name(spark: SparkSession, batch_id: int) -> str:
     return f"{stream}-{batch_id:09d}"
 
 
-def stored_ledger(spark: SparkSession, out: str, batch: str) -> DataFrame | None:
-    """Fingerprints of all other batches, whatever wrote them. The batch itself is left out,
-    so that repeating it after a failure gives the same rows again."""
-    schema = "agent_id string, fingerprint string, session_id string, experience_id string, batch string"
-    try:
-        ledger = spark.read.schema(schema).option("basePath", f"{out}/fingerprints").parquet(f"{out}/fingerprints")
-    except Exception as e:  # nothing stored yet
-        if "PATH_NOT_FOUND" in str(e):
-            return None
-        raise
-    return ledger.filter(F.col("batch") != batch).drop("batch")
+def stored_ledger(spark: SparkSession, out: str, batch: str, prints: DataFrame) -> DataFrame | None:
+    """What the ledger of all other batches, whatever wrote them, holds of ``prints``. The batch itself is
+    left out, so that repeating it after a failure gives the same rows again."""
+    known = lookup(spark, out, batch, prints)
+    return None if known is None else known.drop("batch", "prefix")
 
 
 def stream_sync(spark: SparkSession, path: str, out: str, checkpoint: str, agent_id: str,
@@ -77,7 +72,7 @@ def stream_sync(spark: SparkSession, path: str, out: str, checkpoint: str, agent
         outcomes, allowed = tick(turns, sessions, nothing, policy, now or dt.datetime.now(dt.timezone.utc), max_kb=max_kb)
         name = batch_name(spark, batch_id)
         outcomes.select("source", "session_id", "status").write.mode("overwrite").parquet(f"{out}/outcomes/batch={name}")
-        push(spark, allowed, out, agent_id, name, stored_ledger(spark, out, name), rules)
+        push(spark, allowed, out, agent_id, name, lambda prints: stored_ledger(spark, out, name, prints), rules)
 
     writer = stream_lines(spark, path, max_files, glob).writeStream.foreachBatch(sink).option(
         "checkpointLocation", checkpoint)
@@ -111,10 +106,11 @@ def ledger_dedup(out: str) -> Callable[[DataFrame, int], None]:
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         name = batch_name(spark, batch_id)
-        ledger = stored_ledger(spark, out, name)
+        ledger = stored_ledger(spark, out, name, batch)
         new = dd.dedup_sessions(batch) if ledger is None else dd.dedup_ledger_antijoin(batch, ledger)[0]
         new.select("agent_id", "fingerprint", "session_id", F.concat(F.lit("x-"), "session_id").alias("experience_id")
                    ).write.mode("overwrite").parquet(f"{out}/fingerprints/batch={name}")
+        write_ledger(spark.read.schema(PRINTS).parquet(f"{out}/fingerprints/batch={name}"), out, name)
     return sink
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tracelake.operators import dedup as dd
 from tracelake.operators.consent import policy_tables
-from tracelake.session import shared_dir
+from tracelake.session import materialize, shared_dir
+from tracelake.sources import ledger
 from tracelake.streaming import memory, sync
 from tracelake.suite.registry import BASE_SECOND, case, rule_steps, table
 from tracelake.suite.sources import event_lines
@@ -174,3 +176,21 @@ def newest_ids(spark, sf):
         memory.newest_ids(e, "ts", keep=500).writeStream.outputMode("update").foreachBatch(lambda batch, _: batch.count()).option(
             "checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     return memory.kept_ids(spark, checkpoint, keep=500).withColumn("seen_at", F.date_format("seen_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+@case("dedup_ledger_index", """WITH d AS (SELECT doc_id, 'a' || (doc_id % 3) AS agent_id, sha256(text) AS fingerprint, doc_id % 4 AS part FROM documents),
+ new AS (SELECT agent_id, fingerprint, 's' || min(doc_id) AS session_id FROM d WHERE part = 3 GROUP BY ALL)
+ SELECT n.*, NULL AS experience_id FROM new n WHERE NOT EXISTS (SELECT 1 FROM d WHERE part < 3 AND d.agent_id = n.agent_id AND d.fingerprint = n.fingerprint)
+ UNION ALL SELECT d.agent_id, d.fingerprint, 's' || d.doc_id, min('x' || h.doc_id) FROM d JOIN d h ON h.part < 3 AND h.agent_id = d.agent_id AND h.fingerprint = d.fingerprint
+  WHERE d.part = 3 GROUP BY d.agent_id, d.fingerprint, d.doc_id""")
+def dedup_ledger_index(spark, sf):
+    """Three quarters of the documents as a history of three batches, two of them merged; the rest looks into its index."""
+    out = shared_dir(spark, "history")
+    rows = doc_prints(table(spark, sf, "documents")).withColumn("part", F.col("arrival") % 4)
+    for b in range(3):
+        ledger.write_ledger(rows.filter(F.col("part") == b).select("agent_id", "fingerprint", "session_id", F.concat(
+            F.lit("x"), F.col("arrival").cast("string")).alias("experience_id")), out, f"b{b}")
+    ledger.compact(spark, out, ["b0", "b1"])
+    batch = materialize(rows.filter(F.col("part") == 3).drop("part"), "batch")
+    new, known = dd.dedup_ledger_antijoin(batch, ledger.lookup(spark, out, "b3", batch))
+    return new.select("agent_id", "fingerprint", "session_id", F.lit(None).cast("string").alias("experience_id")).unionByName(known)
