@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tracelake.operators import hashing
 from tracelake.operators import search as op
 from tracelake.session import materialize
 from tracelake.suite.registry import case, table, turns, turns_cte
@@ -75,6 +76,13 @@ def ann_topk(spark, sf):
     return rounded(op.cell_topk(viewers(spark, sf), stored, pivots))
 
 
+@case("ann_hashed", COSINE_SQL)
+def ann_hashed(spark, sf):
+    """Approximate, with recall measured; on the given tables it finds all."""
+    index = hashing.build_hash_index(table(spark, sf, "embeddings"))
+    return rounded(hashing.hashed_topk(viewers(spark, sf), index, min_recall=1.0))
+
+
 @case("similarity_threshold", f"SELECT * FROM ({COSINE_SQL}) WHERE similarity > 0.25")
 def similarity_threshold(spark, sf):
     return op.similarity_threshold(cosine_topk(spark, sf), 0.25)
