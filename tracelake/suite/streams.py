@@ -8,7 +8,7 @@ from tracelake.operators import dedup as dd
 from tracelake.operators.consent import policy_tables
 from tracelake.session import materialize, shared_dir
 from tracelake.sources import ledger
-from tracelake.streaming import memory, sync
+from tracelake.streaming import activity, memory, sync
 from tracelake.suite.registry import BASE_SECOND, case, rule_steps, table
 from tracelake.suite.sources import event_lines
 
@@ -194,3 +194,43 @@ def dedup_ledger_index(spark, sf):
     batch = materialize(rows.filter(F.col("part") == 3).drop("part"), "batch")
     new, known = dd.dedup_ledger_antijoin(batch, ledger.lookup(spark, out, "b3", batch))
     return new.select("agent_id", "fingerprint", "session_id", F.lit(None).cast("string").alias("experience_id")).unionByName(known)
+
+
+@case("activity_windows", """WITH e AS (SELECT 'src' || (user_id % 3) AS source, user_id, ts, CAST(event_type = 'error' AS BIGINT) AS bad FROM events),
+ s AS (SELECT *, CASE WHEN ts <= lag(ts) OVER w + INTERVAL 6 HOUR THEN 0 ELSE 1 END AS starts FROM e WINDOW w AS (PARTITION BY source, user_id ORDER BY ts)),
+ g AS (SELECT *, sum(starts) OVER (PARTITION BY source, user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS burst FROM s)
+ SELECT source, user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS started, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS ended, count(*) AS n_events, CAST(sum(bad) AS BIGINT) AS n_errors
+ FROM g GROUP BY source, user_id, burst HAVING max(ts) + INTERVAL 6 HOUR <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM e)""")
+def activity_windows(spark, sf):
+    e = arrivals(spark, sf).select(F.concat(F.lit("src"), (F.col("user_id") % 3).cast("string")).alias("source"), "user_id", "event_type",
+                                   F.col("ts").cast("timestamp").alias("ts"))
+    out = drained(spark, activity.activity_windows(e, ["source", "user_id"], "ts", "6 hours", "1 hour", {"n_errors": "count_if(event_type = 'error')"}), "bursts")
+    return out.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in ("started", "ended")})
+
+
+@case("deep_queue", """WITH q AS (SELECT event_id, 'x' || event_id AS experience_id, ts AS queued_at FROM events WHERE event_type <> 'view'),
+ v AS (SELECT experience_id, CASE event_id % 5 WHEN 0 THEN ts - INTERVAL 6 HOUR WHEN 1 THEN ts + INTERVAL 2 DAY WHEN 2 THEN ts + INTERVAL 8 DAY ELSE ts + INTERVAL 1 HOUR END AS verdict_at,
+   'name:' || (event_id % 4) AS strict_redactions FROM (SELECT event_id, ts, 'x' || event_id AS experience_id FROM events) WHERE event_id % 5 <> 4),
+ w AS (SELECT least((SELECT max(queued_at) FROM q), (SELECT max(verdict_at) FROM v)) - INTERVAL 1 DAY AS passed)
+ SELECT q.experience_id, CASE WHEN v.experience_id IS NULL THEN 'expired' ELSE 'done' END AS sanitization_status, v.strict_redactions
+ FROM q CROSS JOIN w LEFT JOIN v ON v.experience_id = q.experience_id AND v.verdict_at >= q.queued_at - INTERVAL 1 DAY AND v.verdict_at <= q.queued_at + INTERVAL 7 DAY
+ WHERE v.experience_id IS NOT NULL OR q.queued_at + INTERVAL 7 DAY < passed""")
+def deep_queue(spark, sf):
+    """Rows that wait and verdicts on them, each a stream; some verdicts come before their row, some too late, some never."""
+    e = stream(spark, sf, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    name = F.concat(F.lit("x"), F.col("event_id").cast("string")).alias("experience_id")
+    queue = e.filter("event_type <> 'view'").select(name, F.col("ts").alias("queued_at"))
+    late = F.expr("CASE event_id % 5 WHEN 0 THEN ts - INTERVAL 6 HOUR WHEN 1 THEN ts + INTERVAL 2 DAY WHEN 2 THEN ts + INTERVAL 8 DAY ELSE ts + INTERVAL 1 HOUR END")
+    verdicts = e.filter("event_id % 5 <> 4").select(name, late.alias("verdict_at"), F.concat(F.lit("name:"), (F.col("event_id") % 4).cast("string")).alias("strict_redactions"))
+    return drained(spark, activity.deep_queue(queue, verdicts), "queue").select("experience_id", "sanitization_status", "strict_redactions")
+
+
+@case("stream_observed_metrics", f"""SELECT coalesce(source, '*total*') AS source, count(*) FILTER (s = 'uploaded') AS uploaded, count(*) FILTER (s = 'skipped') AS skipped,
+ CAST(0 AS BIGINT) AS skipped_consent, count(*) FILTER (s = 'failed') AS failed, count(*) AS available_now
+ FROM (SELECT 'src' || (user_id % 3) AS source, {STATUS} AS s FROM events) GROUP BY ROLLUP (source)""")
+def stream_observed_metrics(spark, sf):
+    """Outcomes are stored once; what was counted on the way equals the summary."""
+    out = shared_dir(spark, "outcomes")
+    metrics = activity.run_observed(stream_outcomes(spark, sf), ["src0", "src1", "src2"], out, shared_dir(spark, "outcomes-cp")).table(spark)
+    nums = ["uploaded", "skipped", "skipped_consent", "failed", "available_now"]
+    return metrics.groupBy("source").agg(*[F.sum(c).alias(c) for c in nums])
