@@ -32,12 +32,12 @@ from pyspark.sql import functions as F
 from tracelake.llm.descent import best_in_block, local_join, pick, top_of
 from tracelake.llm.stored import store
 
-BLOCK = 8192           # nodes of a block, about
+BLOCK = 16384          # nodes of a block, about
 DEGREE = 24            # neighbours of a node
 FRESH, OLD = 16, 8     # neighbours of a node drawn in a round, each way
 SENT = 12              # improvements of a list that one block sends home
 PLANES = 40            # hyperplanes at most: blocks for any number of nodes
-QUERIES = 512          # queries of a group
+QUERIES = 768          # queries of a group at most
 EXPANDED = 24          # nodes that a query expands in a hop
 INDEX = 20             # bits of a node's number inside its home
 PLAIN, NEW, DRAWN_NEW, DRAWN_OLD = 0, 1, 2, 3
@@ -108,7 +108,7 @@ def _signed(nodes: DataFrame, seed: int) -> DataFrame:
 
 def _dealt(nodes: DataFrame, side: str, name: str) -> DataFrame:
     """Adds the block ``name``: all nodes of one signature, or a hashed part of them."""
-    parts = nodes.groupBy("dim", side).agg(F.ceil(F.count("*") / F.lit(2 * BLOCK)).cast("int").alias("parts"))
+    parts = nodes.groupBy("dim", side).agg(F.ceil(F.count("*") / F.lit(1.25 * BLOCK)).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("d1"), F.col("parts"))
     return nodes.join(parts, ["dim", side]).withColumn(
         name, F.pmod(F.xxhash64("dim", F.lit(side), side, part), F.lit(1 << (63 - INDEX)))).drop("parts")
@@ -200,7 +200,7 @@ def _round(lists: DataFrame, codes: DataFrame, round_: int) -> DataFrame:
         drawn.select(home("id"), F.col("id").alias("at"), F.col("nid").alias("id"), "fresh"))
     asks = store(member.select("home", F.col("id").alias("nid")).distinct(), "asks")
     worst = lists.select("nid", F.when(F.size("scores") >= DEGREE, F.element_at("scores", -1)).alias("kth"))
-    told = asks.join(codes, "nid").join(worst, "nid").select("home", "nid", "code", "kth")
+    told = asks.join(codes.join(worst, "nid"), "nid").select("home", "nid", "code", "kth")
 
     def run(member: pa.Table, told: pa.Table) -> pa.Table:
         ids = told["nid"].to_numpy()
@@ -278,7 +278,7 @@ def _start(nodes: DataFrame, beam: int) -> DataFrame:
             return _table(BEAMS, *[[]] * 7)
         x, n = _codes(group["code"], np.float32), asked.num_rows
         found = _meet(_codes(asked["code"], np.float32), x, group["nid"].to_numpy(), np.zeros((n, 0), np.int64), np.zeros((n, 0), np.float32), np.zeros((n, 0), np.int8), beam)
-        return _beams(asked, *_advance(*found, beam), np.arange(n) // QUERIES)
+        return _beams(asked, *_advance(*found, beam), np.arange(n) * -(-n // QUERIES) // n)
 
     return nodes.select(F.shiftright("nid", INDEX).alias("home"), "nid", "code", "asked").groupBy("home").applyInArrow(run, BEAMS)
 
