@@ -74,3 +74,19 @@ def test_pack_round_trip(spark):
     whole = {r.sequence_id: r.ids for r in sequences(packed).collect()}
     assert {k: len(v) // 4 for k, v in whole.items()} == {k: sum(n for _, n in v) for k, v in places.items()}
     assert pack(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_a_very_long_word_goes_through_the_library():
+    import time
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    letters = "".join(map(chr, rng.integers(97, 123, 10 ** 6)))
+    own = PieceEncoder()
+    texts = [letters, "a" * 64 + " " + "ab" * 33, letters[:64], letters[:65] + "É" * 70, "acgt" * 5000]
+    begin = time.process_time()
+    ids, first = own(Texts.of(pa.array(texts)))
+    assert time.process_time() - begin < 60
+    for i, t in enumerate(texts):
+        assert ids[first[i]:first[i + 1]].tolist() == own.tokenizer.encode(t, add_special_tokens=False).ids

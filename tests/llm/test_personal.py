@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pyarrow as pa
 
@@ -76,3 +77,23 @@ def test_mask_keeps_rows_and_columns(spark):
     assert [tuple(r) for r in got] == [(1, "mail [EMAIL] or [PHONE], bye", "s"), *rows[1:]]
     assert find(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     assert find_spans(default_model(), Texts.of(pa.array(["no marks here"]))) == [[]]
+
+
+def test_very_long_runs_of_digits_take_linear_time(spark):
+    million = 10 ** 6
+    texts = ["9" * 5000 + ".1.1.1", "0" * 5000 + "1.1.1.1", "9" * million, "9" * million + ".", "1.2.3.²", "x 1.2.3.² 1.2.3.4", "1 " * (million // 10),
+             "+1" + " " * million, "1.1." * 50_000, "a" * million + "@", "7" * million + "@a.b"]
+    begin = time.process_time()
+    for t in texts:
+        base_spans(t)
+    assert time.process_time() - begin < 10
+    begin = time.time()
+    got = {r["doc_id"]: r for r in find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert time.time() - begin < 60
+    assert got[0]["n_ip"] == 0 and got[1]["n_ip"] == 1 and got[5]["n_ip"] == 1
+    assert mask(spark.createDataFrame([(1, texts[1])], "doc_id long, text string")).first()["text"] == "[IP]"
+
+
+def test_long_numbers_match_the_plain_patterns():
+    for t in ("9" * 300 + ".1.1.1", "0" * 300 + "255.1.1.1 x", "1.1.1.1" * 20, "12.34.56.78.90.12.34.56.78", "1.1.1.256.1.1.1.1", "x1.2.3.4y5.6.7.8"):
+        assert base_spans(t) == brute(t)

@@ -33,3 +33,19 @@ def test_no_rows_and_names(spark):
     out = clean(df, cleaned=None)
     assert out.collect() == [] and out.columns.count("n_words") == 1 and "other" in out.columns
     assert clean(spark.createDataFrame([(TEXT,)], "text string")).select(F.col("n_words")).first()[0] == 11
+
+
+def test_a_phrase_across_a_border_is_none(spark):
+    """Verdicts depend on the document alone: neither the next line nor the next document in a batch takes part."""
+    long = " ".join(f"word{i}" for i in range(24)) + "."
+    texts = [long + "\nfor more of it please click", " here is the rest of the sentence that was begun before it, with words enough to be kept as a document.",
+             long + "\nhome |", " | about us and all of our other friends, who are many and who have written much about it in the last year.",
+             "read\nmore of these lines and lines that say something, until there are more than twenty words in the whole of this text.",
+             long + " log", " in the evening he wrote a letter to his brother, and then another one to his sister, who lived in the north."]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    apart = {i: clean(spark.createDataFrame([r], "doc_id long, text string")).first() for i, r in enumerate(rows)}
+    for order in (rows, rows[::-1]):
+        for r in clean(spark.createDataFrame(order, "doc_id long, text string").coalesce(1)).collect():
+            assert r == apart[r["doc_id"]]
+            kept, text = line_verdict(r["text"])
+            assert (r["kept"], r["clean_text"]) == (kept, text)

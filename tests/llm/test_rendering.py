@@ -1,6 +1,9 @@
 import re
+import time
 from html.parser import HTMLParser
 
+import pytest
+
 from tracelake.llm.rendering import lay_out, render, visible_text
 
 SKIP = {"head", "script", "style", "template", "noscript"}
@@ -99,3 +102,26 @@ def test_rows_and_columns(spark):
     got = sorted(map(tuple, render(df).collect()), key=repr)
     assert got == [(1, None, "u", ""), (2, "<p>x", None, "x"), (2, "<p>x", None, "x")]
     assert render(df.limit(0)).collect() == []
+
+
+#: Pages on which a scanner that reads again, or a layout that pads, would take minutes or gigabytes.
+HOSTILE = {
+    "open tags": "<a " * 10 ** 5, "open tags and a declaration": "<a " * 10 ** 5 + "<!", "open quotes": '<a "' * 10 ** 5 + ">", "one long name": "<a" * 20_000 + ' "x>',
+    "a wide cell": "<table><tr><td>" + "x" * 50_000 + "<td>y</tr>" + "<tr><td>a<td>b</tr>" * 10_000 + "</table>",
+    "a tall cell": "<table><tr><td>" + "a<br>" * 10_000 + "<td>b" * 3000 + "</table>", "wide spans": "<table><tr>" + "<td colspan=1000>a" * 5000 + "</table>",
+    "deep lists": "<ul><li>x" * 20_000, "deep quotes": "<blockquote>x" * 20_000, "deep tables": "<table><tr><td>" * 3000 + "x",
+    "deep elements": "<p><object>" + "<i>" * 10_000 + "<div></div>" * 5000, "closing tags": "<b><td>" + "</b>" * 50_000 + "<i>" * 10_000, "script": "<script>" * 50_000}
+
+
+@pytest.mark.parametrize("page", HOSTILE.values(), ids=HOSTILE.keys())
+def test_time_and_text_grow_with_the_page(page):
+    begin = time.process_time()
+    text = visible_text(page)
+    assert time.process_time() - begin < 5
+    assert len(text) <= 80 * len(page)
+
+
+def test_nothing_of_an_unaligned_table_is_lost():
+    text = visible_text(HOSTILE["a wide cell"])
+    assert text.startswith("x" * 50_000 + " | y\na | b\n") and text.count("a | b") == 10_000
+    assert visible_text("<table><tr><td>a long cell<td>b</tr><tr><td>c<td>d</tr></table>") == "a long cell | b\nc           | d"

@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +24,10 @@ from pyspark.sql import functions as F
 from tracelake.llm.blocks import SPACE, Texts, blocks, byte_set
 from tracelake.llm.crf import KINDS, LABELS, Crf, core, luhn, shape, train
 
-# The patterns.
+# The patterns. A match of IP starts at the first digit of a run or not at all, so what stands
+# before it is tested first: long runs of digits are then read once.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _MARKS = byte_set(b"0123456789@")
@@ -51,11 +54,17 @@ def _emails(text: str) -> list[tuple[int, int]]:
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
+def _byte(digits: str) -> bool:
+    """Whether ASCII digits, of any number, are at most 255."""
+    short = digits.lstrip("0")
+    return len(short) <= 3 and int(short or "0") <= 255
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, end, kind number) of the patterns, by start and then kind."""
     out = [(a, b, 0) for a, b in _emails(text)]
     for m in IP.finditer(text) if "." in text else ():
-        if all(int(p) <= 255 for p in m[0].split(".")):
+        if all(_byte(p) for p in m[0].split(".")):
             out.append((*m.span(), 1))
     for m in CARD.finditer(text) if _LONG_DIGITS.search(text) else ():
         digits = _NOT_DIGIT.sub("", m[0])
@@ -67,7 +76,6 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted((a, b, k) for a, b, k in out) if len({a for a, _, _ in out}) == len(out) else sorted(out, key=lambda s: (s[0], s[2]))
 
 
-
 def plausible(surface: str, kind: str) -> bool:
     """What a span of the model must hold besides, so that numbers of other kinds stay alone."""
     digits = _NOT_DIGIT.sub("", surface)
@@ -76,7 +84,7 @@ def plausible(surface: str, kind: str) -> bool:
         return bool(name) and "." in host.strip(".") and "@" not in host
     if kind == "ip":
         parts = [p for p in surface.partition(":")[0].split(".") if p]
-        return len(parts) == 4 and all(p.isdigit() and int(p) <= 255 for p in parts)
+        return len(parts) == 4 and all(p.isascii() and p.isdecimal() and _byte(p) for p in parts)
     if kind == "card":
         return 14 <= len(digits) <= 19 and luhn(digits)
     return 10 <= len(digits) <= 15
@@ -134,10 +142,13 @@ def find_spans(model: Crf, texts: Texts) -> list[list[tuple[int, int, int, bool]
             runs[where[r]].append([(x, y)])
     for r, t, added in zip(rows, text, model_spans(model, text, runs)):
         base = base_spans(t)
-        taken = [*base]
-        for s in added:
-            if not any(s[0] < e and b_ < s[1] for b_, e, _ in taken):
+        taken, starts, reach = [*base], sorted(s[0] for s in base), list(accumulate((s[1] for s in sorted(base)), max))
+        end = 0
+        for s in sorted(added):
+            before = bisect_left(starts, s[1])
+            if s[0] >= end and (not before or reach[before - 1] <= s[0]):
                 taken.append(s)
+                end = s[1]
         out[r] = sorted(((x, y, k, i < len(base)) for i, (x, y, k) in enumerate(taken)), key=lambda s: (s[0], s[2]))
     return out
 

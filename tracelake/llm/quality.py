@@ -56,10 +56,13 @@ def _places(body: bytes, needle: bytes) -> list[int]:
 
 
 def _line_hits(body: bytes, needles, lines: Spans) -> np.ndarray:
-    at = np.array([p for n in needles for p in _places(body, n)], np.int64)
+    """Phrases in each line; one that only stands across the end of a line, or of a text, is none."""
     hits = np.zeros(len(lines), np.int64)
-    if len(at):
-        np.add.at(hits, np.searchsorted(lines.start, at, "right") - 1, 1)
+    for needle in needles:
+        at = np.array(_places(body, needle), np.int64)
+        if len(at):
+            line = np.searchsorted(lines.start, at, "right") - 1
+            np.add.at(hits, line[at + len(needle) <= lines.end[line]], 1)
     return hits
 
 

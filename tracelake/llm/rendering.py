@@ -11,7 +11,10 @@ runs scripts), ``datalist``, frames, what stands in ``video``, ``audio``, ``canv
 ``object`` with ``data`` (a renderer shows these instead), titles, descriptions, definitions
 and metadata of ``svg``, and annotations and phantoms of ``math``. Other text of ``svg`` and
 ``math`` is inline; labels, cells and the parts of a fraction or script are set apart by a
-blank. Nothing recurses, so nesting may be as deep as the page is long.
+blank. Nothing recurses, so nesting may be as deep as the page is long; only the first ``LEVELS`` levels
+of lists and quotes are indented, and a table whose aligned form would be more than ``SPREAD`` times as
+long as what it holds (one very long cell among many rows) is written without padding, so the text of a
+page grows in proportion to the page.
 
 Defined results: a null, empty or text-free page gives an empty text; broken markup never
 fails; repeated rows give repeated results; other columns are kept by :func:`render`, and a
@@ -21,6 +24,7 @@ column named like the output is replaced.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from html import unescape
 
 import pyarrow as pa
@@ -51,10 +55,15 @@ IMPLIED = {
 }
 for _t in ("thead", "tbody", "tfoot", "caption", "colgroup"):
     IMPLIED[_t] = (frozenset("thead tbody tfoot caption colgroup tr td th".split()), frozenset({"table"}))
+_ENDS_CELLS = frozenset("table tr tbody thead tfoot td th html body".split())
 _BORDERS = frozenset("table td th caption button object template html body".split())
 
+LEVELS = 32
+SPREAD, ROOM = 16, 4096
+# nothing is given back once read, so a tag that does not close is read once
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>", re.S)
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?+)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?+)([A-Za-z][^\s/>]*+)([^>]*+)>", re.S)
+DECLARED = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?", re.S)   # all that can follow the last ">"
 ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']*)))?""")
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 _HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
@@ -90,12 +99,12 @@ def build(page: str) -> Node:
     """The tree of a page; children are nodes and strings."""
     root = Node("#root")
     open_ = [root]
-    counts: dict[str, int] = {}
-    at, end = 0, len(page)
+    where: dict[str, list[int]] = {}   # places of the open elements of each tag
+    at, end, last = 0, len(page), page.rfind(">")
 
     def pop_to(i: int) -> None:
         while len(open_) > i:
-            counts[open_.pop().tag] -= 1
+            where[open_.pop().tag].pop()
 
     def say(text: str) -> None:
         if text:
@@ -103,23 +112,23 @@ def build(page: str) -> Node:
 
     def find(tags: frozenset, borders: frozenset) -> int:
         """Place of the outermost open element of the tags above the nearest border, 0 if none."""
+        border = max((where[t][-1] for t in borders if where.get(t)), default=0)
         hit = 0
-        for i in range(len(open_) - 1, 0, -1):
-            tag = open_[i].tag
-            if tag in borders:
-                break
-            if tag in tags:
-                hit = i
+        for t in tags:
+            open_here = where.get(t)
+            if open_here and open_here[-1] > border:
+                first = open_here[bisect_right(open_here, border)]
+                hit = min(hit, first) if hit else first
         return hit
 
     while at < end:
-        m = TOKEN.search(page, at)
+        m = (TOKEN if at <= last else DECLARED).search(page, at)
         if not m:
             say(page[at:])
             break
         say(page[at:m.start()])
         at = m.end()
-        name = m[2] or m[5]
+        name = (m[2] or m[5]) if m.re is TOKEN else None
         if not name:
             if open_[-1].foreign and m[0].startswith("<![CDATA["):
                 stop = page.find("]]>", m.start())
@@ -130,21 +139,19 @@ def build(page: str) -> Node:
         if closing:
             if tag == "br":
                 open_[-1].children.append(Node("br"))
-            elif counts.get(tag):
-                for i in range(len(open_) - 1, 0, -1):
-                    if open_[i].tag == tag:
-                        pop_to(i)
-                        break
-                    if open_[i].tag in ("table", "td", "th") and tag not in ("table", "tr", "tbody", "thead", "tfoot", "td", "th", "html", "body"):
-                        break  # what stands in a cell ends nothing outside of it
+            elif where.get(tag):
+                i = where[tag][-1]
+                # what stands in a cell ends nothing outside of it
+                if tag in _ENDS_CELLS or not any(where.get(t) and where[t][-1] > i for t in ("table", "td", "th")):
+                    pop_to(i)
             continue
-        if tag == "body" and counts.get("head"):
-            pop_to(next(i for i, n in enumerate(open_) if n.tag == "head"))
-        if tag in CLOSES_P and counts.get("p"):
+        if tag == "body" and where.get("head"):
+            pop_to(where["head"][0])
+        if tag in CLOSES_P and where.get("p"):
             i = find(frozenset({"p"}), _BORDERS)
             if i:
                 pop_to(i)
-        if tag in IMPLIED and any(counts.get(t) for t in IMPLIED[tag][0]):
+        if tag in IMPLIED and any(where.get(t) for t in IMPLIED[tag][0]):
             i = find(*IMPLIED[tag])
             if i:
                 pop_to(i)
@@ -160,8 +167,8 @@ def build(page: str) -> Node:
                 node.children.append(unescape(body) if tag in ("textarea", "title") else body)
             at = stop.end() if stop else end
             continue
+        where.setdefault(tag, []).append(len(open_))
         open_.append(node)
-        counts[tag] = counts.get(tag, 0) + 1
     return root
 
 
@@ -202,7 +209,7 @@ class Flow:
                 if self.gap and self.lines and self.lines[-1] != "":
                     self.lines += [""] * (self.gap - 1)
                 self.gap = 0
-                lead = "".join(self.indent)
+                lead = "".join(self.indent[:LEVELS])
                 if self.marker is not None:
                     lead = lead[:len(lead) - len(self.marker)] + self.marker
                     self.marker = None
@@ -245,7 +252,10 @@ def _number(value: str | None, default: int, most: int = 1000) -> int:
 
 
 def lay_out(rows: list[list[tuple[str, int]]]) -> list[str]:
-    """Lines of a table: cells padded to their columns' widths; a wide cell spans columns."""
+    """Lines of a table: cells padded to their columns' widths; a wide cell spans columns.
+
+    Where padding would make it far longer than its cells are, they are only set apart.
+    """
     width: dict[int, int] = {}
     for row in rows:
         col = 0
@@ -253,13 +263,30 @@ def lay_out(rows: list[list[tuple[str, int]]]) -> list[str]:
             if span == 1:
                 width[col] = max(width.get(col, 0), *(len(x) for x in text.split("\n")))
             col += span
+    before = [0]   # room of the columns up to each
+    for c in range(max(width, default=-1) + 1):
+        before.append(before[-1] + width.get(c, 0))
+
+    def room_of(col: int, span: int) -> int:
+        return before[min(col + span, len(before) - 1)] - before[min(col, len(before) - 1)] + 3 * (span - 1)
+
+    padded = held = 0
+    for row in rows:
+        col = wide = 0
+        for text, span in row:
+            wide += max(room_of(col, span), 0) + 3
+            col += span
+            held += len(text) + 4
+        padded += wide * max((text.count("\n") + 1 for text, _ in row), default=0)
+    if padded > SPREAD * held + ROOM:
+        return [x.rstrip() for row in rows for x in " | ".join(text for text, _ in row).split("\n")]
     out = []
     for row in rows:
         height = max((text.count("\n") + 1 for text, _ in row), default=0)
         lines = [""] * height
         col = 0
         for text, span in row:
-            room = sum(width.get(c, 0) for c in range(col, col + span)) + 3 * (span - 1)
+            room = room_of(col, span)
             cell = text.split("\n") + [""] * height
             for i in range(height):
                 lines[i] += (" | " if col else "") + cell[i].ljust(room)

@@ -5,7 +5,7 @@ letters, digits and signs. So a text's ids are those of its pieces one after ano
 of ASCII and Latin-1 letters, single digits and runs of ASCII signs are merged here, all new
 ones of a block together, by the tokenizer's own vocabulary and merge ranks. Words with an
 apostrophe, ``<`` or any other character stay whole and go through the library, since
-contractions, special tokens, normal forms and Unicode classes live there.
+contractions, special tokens, normal forms and Unicode classes live there; so do very long pieces.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from tracelake.llm.blocks import LOWER, SPACE, Hashes, Texts, byte_set
 
 #: Pieces a worker remembers; it starts anew when there are more. Only speed depends on it.
 REMEMBER = 500_000
+#: Bytes up to which a piece is merged here. Every round makes one merge per piece, so longer ones go through the library.
+LONG = 64
 GLUE, WHOLE = 4, 5
 _KIND = np.full(256, 3, np.uint8)
 _KIND[SPACE] = 0
@@ -170,7 +172,7 @@ class PieceEncoder:
             one = np.zeros(len(unique), np.int64)
             one[code] = np.arange(len(code))  # a place where each piece stands
             new = np.flatnonzero(~known)
-            plain = kind[start[one[new]]] != WHOLE
+            plain = (kind[start[one[new]]] != WHOLE) & ((end - start)[one[new]] <= LONG)
             new = np.concatenate([new[plain], new[~plain]])
             at = one[new]
             m = int(plain.sum())
