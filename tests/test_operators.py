@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tracelake.functions import text as tx
 from tracelake.operators import cards as cd
 from tracelake.operators import consent as cs
+from tracelake.operators import governance as gv
 from tracelake.operators import pairs as pr
 from tracelake.operators import rewards as rw
 from tracelake.operators import scan, search
@@ -255,7 +256,16 @@ def test_label_queries_read_past_a_prefix(spark, tmp_path):
     far = "word " * 40
     docs = [(6, "\n" * 95 + "Fix the reader"), (12, "\n" * 95 + far), (1, "Fix " + far + "got cut off")]
     spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    labels = {r.doc_id: r.label for r in suite.QUERIES["clean_label_whole"](spark, str(tmp_path)).collect()}
+    labels = {r.doc_id: r.label for r in suite.QUERIES["clean_label"](spark, str(tmp_path)).collect()}
     assert labels[6] == "Fix the reader" and labels[12] == far[:59] + "…"
-    bad = {r.doc_id: r.bad for r in suite.QUERIES["looks_bad_title_whole"](spark, str(tmp_path)).collect()}
+    bad = {r.doc_id: r.bad for r in suite.QUERIES["looks_bad_title"](spark, str(tmp_path)).collect()}
     assert bad[1] and not bad[6]
+
+
+def test_publish_answers_every_request_and_audits_a_row_once(spark):
+    rows = spark.createDataFrame([("x1", "o1", "auto_approved", "on 192.168.0.7 and file:///Users/ann/x"), ("x2", "o1", "auto_approved", "fine"), ("x4", "o1", "revoked", "fine")],
+                                 "experience_id string, owner string, review_status string, body string")
+    asks = spark.createDataFrame([("x1", "o1"), ("x1", "o2"), ("x2", "o1"), ("x2", "o1"), ("x3", "o1"), ("x4", "o1")], "experience_id string, owner string")
+    got = sorted(tuple(r) for r in gv.publish(rows, asks, ["body"]).collect())
+    assert got == [("x1", "o1", "blocked", 3), ("x1", "o2", "not_owner", 3), ("x2", "o1", "published", 0), ("x2", "o1", "published", 0),
+                   ("x3", "o1", "unknown", 0), ("x4", "o1", "revoked", 0)]

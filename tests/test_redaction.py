@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tracelake.functions import redact as rd
-from tracelake.functions.rules import DEFAULT_RULES, custom_rule
+from tracelake.functions.rules import DEFAULT_RULES, custom_rule, internal_host_rule
 
 A20, A40 = "Ab3" * 7, "Ab3" * 14
 HITS = {
@@ -102,3 +102,15 @@ def test_sql_surface(spark):
     r = spark.sql("SELECT redact('mail ann@example.com') AS a, redact_tree('{\"k\":\"ann@example.com\"}') AS b").first()
     assert (r["a"]["text"], r["a"]["hits"]) == ("mail <EMAIL>", {"email": 1})
     assert r["b"]["json"] == '{"k":"<EMAIL>"}'
+
+
+def test_internal_hosts_by_right_suffix(spark):
+    rule = internal_host_rule(["corp.example", "example.net"])
+    want = {
+        "git.corp.example": "<H>", "GIT.CORP.EXAMPLE": "<H>", "corp.example": "<H>", "see a.b.corp.example.": "see <H>.", "http://corp.example/x": "http://<H>/x",
+        "x@corp.example:80": "x@<H>:80", "my-corp.example": "my-corp.example", "mycorp.example": "mycorp.example", "corp.example.evil.org": "corp.example.evil.org",
+        "corp.example-x": "corp.example-x", "corp.examples": "corp.examples", "corp.example...": "<H>...", "corp.example corp.example,Example.Net": "<H> <H>,<H>",
+        ".corp.example": ".corp.example", "a..corp.example": "a..corp.example", "_corp.example_": "_<H>_", "corpxexample": "corpxexample"}
+    rows = spark.createDataFrame([(t,) for t in want], "t string")
+    got = {r["t"]: r["r"] for r in rows.select("t", rd.redact(F.col("t"), (rule,))["text"].alias("r")).collect()}
+    assert got == {t: w.replace("<H>", "<INTERNAL_HOST>") for t, w in want.items()}

@@ -121,10 +121,11 @@ def custom_rule(name: str, pattern: str, placeholder: str, severity: str) -> Rul
 
 
 def internal_host_rule(domains: list[str]) -> Rule:
-    """Mask a configured domain and any host below it."""
-    tail = "|".join(re.escape(d) for d in sorted(domains))
-    return Rule("internal_host", rf"\b(?:[A-Za-z0-9\-]+\.)*(?:{tail})\b", "<INTERNAL_HOST>",
-                "low", tuple(sorted(domains)))
+    """Mask a configured domain and any host below it, in any case. A name that only ends or begins like one
+    (``my-corp.example``, ``corp.example.org``) is another domain and stays; a full stop after the name does not count."""
+    tail = "|".join(re.escape(d) for d in sorted(domains, key=lambda d: (-len(d), d)))
+    return Rule("internal_host", rf"(?i)(?<![A-Za-z0-9.\-])(?:[A-Za-z0-9\-]+\.)*(?:{tail})(?![A-Za-z0-9\-]|\.[A-Za-z0-9])", "<INTERNAL_HOST>",
+                "low", probe=rf"(?i)(?:{tail})")
 
 
 def employee_id_rule(prefixes: list[str]) -> Rule:

@@ -57,16 +57,18 @@ def blocked_ids(hits: DataFrame, id_col: str) -> DataFrame:
 
 
 def publish(experiences: DataFrame, requests: DataFrame, text_cols: list[str]) -> DataFrame:
-    """Every request (experience_id, owner) with its outcome: published, not_owner, revoked
-    or blocked. Only requested rows are audited."""
-    asked = experiences.join(requests.withColumnRenamed("owner", "_caller"), "experience_id")
+    """Every request (experience_id, owner) with its outcome: published, not_owner, revoked, blocked, or
+    unknown for an id that is not stored. A requested row is audited once, whoever asks."""
+    wanted = requests.select("experience_id").distinct()
+    asked = experiences.join(wanted, "experience_id", "left_semi")
     hits = blocked_ids(strict_public_audit(asked, "experience_id", text_cols), "experience_id")
-    return asked.join(hits, "experience_id", "left").withColumn("result", (
-        F.when(F.col("owner") != F.col("_caller"), "not_owner")
+    found = asked.select("experience_id", "owner", "review_status").join(hits, "experience_id", "left")
+    return requests.select("experience_id", F.col("owner").alias("caller")).join(found, "experience_id", "left").withColumn("result", (
+        F.when(F.col("owner").isNull() & F.col("review_status").isNull(), "unknown")
+         .when(~F.col("owner").eqNullSafe(F.col("caller")), "not_owner")
          .when(F.col("review_status") == "revoked", "revoked")
          .when(F.col("n_hits") > 0, "blocked").otherwise("published"))
-    ).select("experience_id", F.col("_caller").alias("caller"), "result",
-             F.coalesce("n_hits", F.lit(0).cast("long")).alias("n_hits"))
+    ).select("experience_id", "caller", "result", F.coalesce("n_hits", F.lit(0).cast("long")).alias("n_hits"))
 
 
 def apply_publish(experiences: DataFrame, outcomes: DataFrame) -> DataFrame:

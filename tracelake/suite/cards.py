@@ -152,7 +152,7 @@ def backfill_title(spark, sf):
 
 
 LABELS = ("concat(CASE doc_id % 6 WHEN 0 THEN '' WHEN 1 THEN '- ' WHEN 2 THEN '\"' WHEN 3 THEN '2. ' "
-          "WHEN 4 THEN concat('[task-summary]: x', chr(10), 'Fix ') ELSE 'Sure, ' END, substring(text, 1, 40 + CAST(doc_id % 50 AS INT)), "
+          "WHEN 4 THEN concat('[task-summary]: x', chr(10), 'Fix ') ELSE 'Sure, ' END, coalesce(text, ''), "
           "CASE doc_id % 3 WHEN 0 THEN '.' WHEN 1 THEN '...' ELSE '' END)")
 
 
@@ -162,15 +162,6 @@ def looks_bad_title(spark, sf):
         "doc_id", tx.looks_bad_title(F.expr(LABELS)).alias("bad"))
 
 
-#: LABELS over the whole text.
-WHOLE_LABELS = LABELS.replace("substring(text, 1, 40 + CAST(doc_id % 50 AS INT))", "coalesce(text, '')")
-
-
-@case("looks_bad_title_whole", f"SELECT doc_id, {bad_sql('label')} AS bad FROM (SELECT doc_id, {WHOLE_LABELS} AS label FROM documents)")
-def looks_bad_title_whole(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", tx.looks_bad_title(F.expr(WHOLE_LABELS)).alias("bad"))
-
-
 def clean_sql(e: str) -> str:
     lines = f"list_transform(regexp_split_to_array({strip_sql(e)}, '[\\n\\r]'), lambda x: {strip_sql('x')})"
     notice = "x = '' OR " + list_any("starts_with", "x", tx.NOTICE_PREFIXES)
@@ -178,22 +169,14 @@ def clean_sql(e: str) -> str:
     return strip_sql(f"trim({strip_sql(f'ltrim({first}, {q(tx.BULLETS)})')}, {q(tx.QUOTES)})")
 
 
-CLEAN_LABEL_SQL = f"""SELECT doc_id, CASE WHEN lower(lab) IN ('', '(no task)', '(none)') OR {bad_sql('lab')} THEN NULL
+@case("clean_label", f"""SELECT doc_id, CASE WHEN lower(lab) IN ('', '(no task)', '(none)') OR {bad_sql('lab')} THEN NULL
   WHEN length(lab) > 60 THEN substring(lab, 1, 59) || '…' ELSE lab END AS label FROM
  (SELECT doc_id, {flat_sql("regexp_replace(l0, '[。.!?！？:：]$', '')")} AS lab FROM
-  (SELECT doc_id, {clean_sql(LABELS)} AS l0 FROM documents))"""
-
-
-@case("clean_label", CLEAN_LABEL_SQL)
+  (SELECT doc_id, {clean_sql(LABELS)} AS l0 FROM documents))""")
 def clean_label(spark, sf):
     return table(spark, sf, "documents").select("doc_id", tx.clean_label(F.expr(LABELS)).alias("label"))
 
 
-@case("clean_label_whole", CLEAN_LABEL_SQL.replace(LABELS, WHOLE_LABELS))
-def clean_label_whole(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", tx.clean_label(F.expr(WHOLE_LABELS)).alias("label"))
-
-
 @case("intent", f"""WITH {turns_cte()},
 m AS (SELECT session_id, turn_index, role, content AS txt, {marker_sql('content')} AS t FROM turns),
 a AS (SELECT session_id, arg_max(t, turn_index) FILTER (t IS NOT NULL) AS marker,

@@ -93,11 +93,12 @@ def revoke_cascade(spark, sf):
 PUB = """SELECT concat('x', CAST(page_id AS STRING)) AS experience_id, concat('o', CAST(page_id % 9 AS STRING)) AS owner,
  CASE WHEN page_id % 13 = 0 THEN 'revoked' ELSE 'auto_approved' END AS review_status, 'private' AS publish_status, url,
  concat(html, CASE page_id % 4 WHEN 0 THEN ' see file:///Users/ann/x.txt' WHEN 1 THEN ' on 192.168.0.7' ELSE '' END) AS body FROM {pages}"""
-PUB_REQ = "SELECT concat('x', CAST(page_id AS STRING)) AS experience_id, concat('o', CAST(CASE WHEN page_id % 6 = 0 THEN 99 ELSE page_id % 9 END AS STRING)) AS owner FROM {pages}"
+PUB_REQ = ("SELECT concat('x', CAST(page_id AS STRING)) AS experience_id, concat('o', CAST(CASE WHEN page_id % 6 = 0 THEN 99 ELSE page_id % 9 END AS STRING)) AS owner FROM {pages} "
+           "UNION ALL SELECT concat('y', CAST(page_id AS STRING)), 'o1' FROM {pages} WHERE page_id % 17 = 0 UNION ALL SELECT concat('x', CAST(page_id AS STRING)), 'o77' FROM {pages} WHERE page_id % 5 = 1")
 HITS = " + ".join(f"len(regexp_extract_all(url, {q(p)})) + len(regexp_extract_all(body, {q(p)}))" for _n, p, _s in op.STRICT_PUBLIC)
 PUB_SQL = f"""p AS ({PUB.format(pages='pages')}), pr AS ({PUB_REQ.format(pages='pages')}),
- res AS (SELECT p.experience_id, pr.owner AS caller, CASE WHEN p.owner <> pr.owner THEN 'not_owner' WHEN review_status = 'revoked' THEN 'revoked'
- WHEN {HITS} > 0 THEN 'blocked' ELSE 'published' END AS result, CAST({HITS} AS BIGINT) AS n_hits FROM p JOIN pr USING (experience_id))"""
+ res AS (SELECT pr.experience_id, pr.owner AS caller, CASE WHEN p.owner IS NULL THEN 'unknown' WHEN p.owner <> pr.owner THEN 'not_owner' WHEN review_status = 'revoked' THEN 'revoked'
+ WHEN {HITS} > 0 THEN 'blocked' ELSE 'published' END AS result, CAST(coalesce({HITS}, 0) AS BIGINT) AS n_hits FROM pr LEFT JOIN p ON p.experience_id = pr.experience_id)"""
 
 
 def published(spark, sf):
@@ -110,7 +111,7 @@ def publish(spark, sf):
     return op.publish(p, r, ["url", "body"])
 
 
-@case("publish_apply", f"WITH {PUB_SQL} SELECT p.experience_id, CASE WHEN result = 'published' THEN 'published' ELSE publish_status END AS publish_status FROM p LEFT JOIN res USING (experience_id)")
+@case("publish_apply", f"WITH {PUB_SQL} SELECT p.experience_id, CASE WHEN experience_id IN (SELECT experience_id FROM res WHERE result = 'published') THEN 'published' ELSE publish_status END AS publish_status FROM p")
 def publish_apply(spark, sf):
     p, r = published(spark, sf)
     return op.apply_publish(p, op.publish(p, r, ["url", "body"])).select("experience_id", "publish_status")

@@ -89,7 +89,13 @@ def credit_card_luhn(spark, sf):
 HOST = internal_host_rule(["example.net", "corp.example.com"])
 STAFF = employee_id_rule(["EMP", "STAFF"])
 TOKEN = custom_rule("hex_token", r'\btoken = "[0-9a-f]{40}"', "token = <SECRET>", "high")
-HOST_TEXT = "concat(text, ' host build', CAST(doc_id % 9 AS STRING), '.corp.example.com and www.example.net or example.org')"
+HOST_TEXT = ("concat(text, ' host build', CAST(doc_id % 9 AS STRING), '.corp.example.com, WWW.Example.NET. or example.org, not my-example.net, corp.example.com.evil.org, "
+             "xcorp.example.com nor example.net-x; http://a.b.example.net/corp.example.com:80')")
+# the same without look-around: every run of host characters is judged as a whole
+HOST_RUN = r"(?i)^((?:[a-z0-9-]+\.)*(?:corp\.example\.com|example\.net))(\.(?:[^a-z0-9].*)?)?$"
+HOST_RUNS = f"regexp_extract_all({HOST_TEXT}, '[A-Za-z0-9.-]+|[^A-Za-z0-9.-]+')"
+HOST_SQL = (f"SELECT doc_id, array_to_string(list_transform({HOST_RUNS}, lambda x: regexp_replace(x, {q(HOST_RUN)}, '<INTERNAL_HOST>\\2')), '') AS masked, "
+            f"CAST(len(list_filter({HOST_RUNS}, lambda x: regexp_matches(x, {q(HOST_RUN)}))) AS BIGINT) AS hits FROM documents")
 STAFF_TEXT = "concat(text, ' by EMP', CAST(1000 + doc_id AS STRING), ' STAFF12 EMP', CAST(doc_id % 10 AS STRING))"
 
 
@@ -104,7 +110,7 @@ def apply_rule(spark, sf, rule, text):
         "doc_id", F.col("r.text").alias("masked"), F.coalesce(F.col("r.hits")[rule.name], F.lit(0).cast("long")).alias("hits"))
 
 
-@case("internal_host_mask", one_rule(HOST, HOST_TEXT))
+@case("internal_host_mask", HOST_SQL)
 def internal_host_mask(spark, sf):
     return apply_rule(spark, sf, HOST, HOST_TEXT)
 

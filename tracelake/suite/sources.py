@@ -12,7 +12,7 @@ from tracelake.schema import THINKING_PREFIX
 from tracelake.session import shared_dir
 from tracelake.sources import base, chat, event_log, listing, messages, rollout
 from tracelake.sources.registry import read_traces, register_reader
-from tracelake.suite.cards import CARD_SQL, CLEAN_SQL, FINGERPRINT_CTE, REAL_ASSISTANT, flat_sql
+from tracelake.suite.cards import CARD_SQL, CLEAN_SQL, FINGERPRINT_CTE, REAL_ASSISTANT, flat_sql, strip_sql
 from tracelake.suite.registry import case, spread, table, turns
 
 TEXT = "struct<type:string,text:string>"
@@ -89,10 +89,10 @@ ev AS (
 NUMBERED = "SELECT session_id, row_number() OVER (PARTITION BY session_id ORDER BY turn, sub) - 1 AS turn_index, role, content, ts, call, result_for FROM ev"
 
 
-def flat_calls(df):
+def flat_calls(df, *more):
     return df.select("session_id", "turn_index", "role", "content", "ts",
                      F.coalesce(F.get("tool_calls", F.lit(0))["id"], F.lit("")).alias("call"),
-                     F.col("tool_result_for").alias("result_for"))
+                     F.col("tool_result_for").alias("result_for"), *more)
 
 
 @case("read_event_jsonl", f"WITH {RAW_CTE} {NUMBERED}")
@@ -251,19 +251,18 @@ def read_enriched_jsonl(spark, sf):
     return messages.enriched_turns(d.withColumn("raw", raw), "e-s").select(*BASIC)
 
 
-SHAPES = ("jsonl", "list", "conversation", "request", "runs", "text")
-
-
 def any_docs(spark, sf):
+    """Every conversation as one document of its own texts, in six shapes."""
     d = docs(spark, sf, msg())
     n = F.col("conv_id") % 6
     lines = docs(spark, sf, msg(), sep="\n").select("session_id", F.col("raw").alias("jl"))
-    d = d.join(lines, "session_id")
+    plain = docs(spark, sf, F.col("text"), "Notes: ", sep="\n\n").select("session_id", F.col("raw").alias("plain"))
+    d = d.join(lines, "session_id").join(plain, "session_id")
     raw = (F.when(n == 0, F.col("jl")).when(n == 1, F.concat(F.lit("["), "raw", F.lit("]")))
             .when(n == 2, F.concat(F.lit('{"conversation":['), "raw", F.lit("]}")))
             .when(n == 3, F.concat(F.lit('{"request":{"body":{"messages":['), "raw", F.lit("]}}}")))
             .when(n == 4, F.concat(F.lit('{"runs":[{"inputs":{"messages":['), "raw", F.lit(']},"outputs":{"answer":1}}]}')))
-            .otherwise(F.concat(F.lit(" note "), "session_id")))
+            .otherwise(F.col("plain")))
     return d.select("session_id", "conv_id", raw.alias("raw"))
 
 
@@ -275,38 +274,47 @@ def detect_shape(spark, sf):
 
 @case("read_any_chat", f"""WITH {C_ONLY}, ev AS (SELECT session_id, turn, role, text AS content FROM c WHERE conv_id % 6 < 5
   UNION ALL SELECT DISTINCT session_id, 1000, 'assistant', '{{"answer": 1}}' FROM c WHERE conv_id % 6 = 4
-  UNION ALL SELECT DISTINCT session_id, 0, 'user', 'note ' || session_id FROM c WHERE conv_id % 6 = 5)
+  UNION ALL SELECT session_id, 0, 'user', {strip_sql("'Notes: ' || string_agg(text, chr(10) || chr(10) ORDER BY turn)")} FROM c WHERE conv_id % 6 = 5 GROUP BY session_id)
  SELECT session_id, row_number() OVER (PARTITION BY session_id ORDER BY turn) - 1 AS turn_index, role, content FROM ev""")
 def read_any_chat(spark, sf):
-    return messages.generic_turns(any_docs(spark, sf)).select(*BASIC)
+    """Files of all shapes in one folder, through the reader; the folder of a file names its session."""
+    inbox = shared_dir(spark, "chats")
+    any_docs(spark, sf).select("session_id", F.col("raw").alias("value")).repartition("session_id").write.partitionBy("session_id").text(inbox)
+    owner = spark.read.option("recursiveFileLookup", "true").text(inbox, wholetext=True).select(F.col("_metadata.file_path").alias("path")).select(
+        base.session_key(F.col("path")).alias("file"), F.regexp_extract("path", "session_id=([^/]+)/", 1).alias("owner"))
+    turns = messages.read_any_chat(spark, inbox).withColumnRenamed("session_id", "file").join(owner, "file")
+    return turns.withColumnRenamed("owner", "session_id").select(*BASIC)
 
 
 def odd_messages(spark, sf):
-    """Messages in several dialects: block lists with bare strings, API calls, group chats."""
+    """Messages in several dialects, each around the row's own text: group chats, block lists with bare strings,
+    API calls, results as objects, texts under another key; blank ones between."""
     c = conv(spark, sf)
     n = F.col("conv_id") % 5
     quoted = base.quote_json(F.col("text"))
     m = (F.when(n == 0, F.concat(F.lit('{"name":"planner","role":"critic","text":'), quoted, F.lit(',"created_at":'), stamp_q(), F.lit("}")))
           .when(n == 1, F.concat(F.lit('{"role":"AI","content":["head",{"type":"text","text":'), quoted, F.lit('},{"type":"image","url":"u"}],"ts":'), stamp_q(), F.lit("}")))
-          .when(n == 2, F.concat(F.lit('{"role":"assistant","content":null,"timestamp":'), stamp_q(), F.lit(',"tool_calls":[{"id":"k","function":{"name":"f","arguments":"{}"}}]}')))
-          .when(n == 3, F.concat(F.lit('{"type":"function","content":{"b":1,"a":"x"},"tool_call_id":"k"}')))
-          .otherwise(F.lit('{"role":"user","content":"  "}')))
-    return c.select("session_id", "block", "seq", m.alias("m"))
+          .when(n == 2, F.concat(F.lit('{"role":"assistant","content":null,"timestamp":'), stamp_q(), F.lit(',"tool_calls":[{"id":"k","function":{"name":"f","arguments":'),
+                                 base.quote_json(F.concat(F.lit("run: "), "text")), F.lit("}}]}")))
+          .when(n == 3, F.concat(F.lit('{"type":"function","content":{"b":1,"a":'), quoted, F.lit('},"tool_call_id":"k"}')))
+          .otherwise(F.concat(F.lit('{"role":"human","message":'), quoted, F.lit("}"))))
+    blank = c.filter(n == 4).select("session_id", "block", (2 * F.col("seq") + 1).alias("seq"), F.lit('{"role":"user","content":"  "}').alias("m"))
+    return c.select("session_id", "block", (2 * F.col("seq")).alias("seq"), m.alias("m")).unionByName(blank)
 
 
 def stamp_q():
     return F.concat(F.lit('"'), stamp(), F.lit('"'))
 
 
-
-
 @case("normalize_message", f"""WITH {C_ONLY} SELECT session_id, row_number() OVER (PARTITION BY session_id ORDER BY turn) - 1 AS turn_index,
-  CASE conv_id % 5 WHEN 3 THEN 'tool' ELSE 'assistant' END AS role,
-  CASE conv_id % 5 WHEN 0 THEN text WHEN 1 THEN 'head' || chr(10) || text || chr(10) || '{{"type": "image", "url": "u"}}' WHEN 2 THEN '' ELSE '{{"b": 1, "a": "x"}}' END AS content,
-  CASE WHEN conv_id % 5 = 3 THEN '' ELSE ts END AS ts, CASE WHEN conv_id % 5 = 2 THEN 'k' ELSE '' END AS call, CASE WHEN conv_id % 5 = 3 THEN 'k' ELSE '' END AS result_for
-  FROM c WHERE conv_id % 5 < 4""")
+  CASE conv_id % 5 WHEN 3 THEN 'tool' WHEN 4 THEN 'user' ELSE 'assistant' END AS role,
+  CASE conv_id % 5 WHEN 1 THEN 'head' || chr(10) || text || chr(10) || '{{"type": "image", "url": "u"}}' WHEN 2 THEN ''
+   WHEN 3 THEN '{{"b": 1, "a": ' || CAST(to_json(text) AS VARCHAR) || '}}' ELSE text END AS content,
+  CASE WHEN conv_id % 5 >= 3 THEN '' ELSE ts END AS ts, CASE WHEN conv_id % 5 = 2 THEN 'k' ELSE '' END AS call, CASE WHEN conv_id % 5 = 3 THEN 'k' ELSE '' END AS result_for,
+  CASE WHEN conv_id % 5 = 2 THEN 'run: ' || text ELSE '' END AS call_input FROM c""")
 def normalize_message(spark, sf):
-    return flat_calls(base.number_turns(messages.normalize_messages(odd_messages(spark, sf))))
+    turns = base.number_turns(messages.normalize_messages(odd_messages(spark, sf)))
+    return flat_calls(turns, F.coalesce(F.get("tool_calls", F.lit(0))["input"], F.lit("")).alias("call_input"))
 
 
 @case("content_text", "SELECT conv_id, turn, text || chr(10) || 'end' AS content FROM conversations")
