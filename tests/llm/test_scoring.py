@@ -92,7 +92,7 @@ def test_gradients():
         start[k] = at
         at += int(np.prod(s))
     ratios = []
-    for k in ("wx", "wh", "b", "wc", "bc"):
+    for k in ("embed", "wx", "wh", "b", "wc", "bc", "ww", "bw"):
         i = start[k] + int(np.abs(grad[start[k]:start[k] + int(np.prod(R.SHAPES[k]))]).argmax())
         f = flat.astype(np.float64)
         f[i] += 1e-4
@@ -104,19 +104,61 @@ def test_gradients():
 
 
 def test_rounds_read_every_training_word_once():
-    docs = [(3, "long " * 70_000 + "tail " * 70_000), (4, "a b c"), (5, ""), (6, "d e")]
-    text = "".join(t for _, t in docs).encode()
-    row = {"ids": np.array([i for i, _ in docs], np.int64).tobytes(), "no_id": bytes(len(docs)), "text": zstandard.compress(text),
-           "offsets": np.append(0, np.cumsum([len(t) for _, t in docs])).astype(np.int64).tobytes()}
-    batch = S._Batch(row)
-    parts = [S.stretch(batch, k, 3) for k in range(3)]
-    h, first = batch.words()
-    wanted = np.concatenate([h[first[r]:first[r + 1]] for r in np.flatnonzero(~batch.held)])
+    sizes = [140_001, 4, 1, 3]
+    held = np.array([False, True, False, False])
+    first = np.append(0, np.cumsum(sizes))
+    words = np.arange(first[-1]) % 4000
+    row = {"held": held.tobytes(), "first": first.astype(np.int64).tobytes(), "words": zstandard.compress(words.astype(np.uint16).tobytes())}
+    parts = [S.stretch(row, k, 3) for k in range(3)]
+    wanted = np.concatenate([words[first[r]:first[r + 1]] for r in np.flatnonzero(~held)])
     assert np.array_equal(np.sort(np.concatenate([p for p, _ in parts])), np.sort(wanted))
-    assert sum(int(f.sum()) for _, f in parts) == (~batch.held).sum()
+    assert sum(int(f.sum()) for _, f in parts) == (~held).sum()
     assert all(len(p) > 40_000 for p, _ in parts)
 
 
+def plain_log_likelihood(flat, words):
+    """One document, word by word, in double precision, by the textbook's formulas."""
+    w = {k: v.astype(np.float64) for k, v in R.parts(flat).items()}
+    sigma = lambda x: 1 / (1 + np.exp(-x))
+    n, h, before, total = R.HIDDEN, np.zeros(R.HIDDEN), S.END, 0.0
+    for word in words:
+        a, b = w["embed"][before] @ w["wx"] + w["b"], h @ w["wh"]
+        z, r = sigma(a[:n] + b[:n]), sigma(a[n:2 * n] + b[n:2 * n])
+        c = np.tanh(a[2 * n:] + r * b[2 * n:])
+        h = (1 - z) * c + z * h
+        k = next(i for i in range(R.CLASSES) if R.START[i] <= word < R.START[i + 1])
+        classes = h @ w["wc"] + w["bc"]
+        inside = w["ww"][R.START[k]:R.START[k + 1]] @ h + w["bw"][R.START[k]:R.START[k + 1]]
+        total += classes[k] - np.log(np.exp(classes).sum()) + inside[word - R.START[k]] - np.log(np.exp(inside).sum())
+        before = word
+    return total
+
+
+def test_score_equals_a_plain_sequential_model():
+    rng = np.random.default_rng(5)
+    flat = (R.start(np.full(R.WORDS, 1 / R.WORDS)) + rng.normal(0, 0.3, R.SIZE)).astype(np.float32)
+    sizes = [1, 130, 7, 64, 65, 2, 300]
+    first = np.append(0, np.cumsum(sizes))
+    words = np.minimum(rng.zipf(1.3, first[-1]), R.WORDS) - 1
+    ln = R.log_likelihoods(flat, words, first, S.END, lanes=3)
+    for a, b in zip(first, first[1:]):
+        assert abs(ln[a:b].sum() - plain_log_likelihood(flat, words[a:b].tolist())) < 1e-3 * (b - a)
+
+
+def test_null_ids_and_repeated_rows(spark):
+    docs = [(i, f"some words for number {i % 7} and more of them") for i in range(60)] + [(None, "an unnamed text"), (None, None)] + [(5, "said again")] * 4
+    got = score_documents(spark.createDataFrame(docs, SCHEMA).coalesce(1)).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in got) == sorted((i is None, i or 0) for i, _ in docs)
+    held = {i: zlib.crc32(b"" if i is None else str(i).encode()) % 7 == 2 for i, _ in docs}
+    assert all(r.held_out == held[r.doc_id] for r in got)
+    tokens = sum(len(WORD.findall(t or "")) + 1 for i, t in docs if not held[i])
+    assert {r.train_tokens for r in got} == {tokens}
+    for i in (None, 5):
+        mine = [r for r in got if r.doc_id == i and r.n_tokens == 3]
+        assert len({(r.base_score, round(r.score, 4)) for r in mine}) <= 1
+    assert [r.n_tokens for r in got if r.doc_id is None].count(1) == 1  # a null text is its end alone
+
+
 def test_trainer_uses_every_word():
     rng = np.random.default_rng(2)
     for n in (1, 31, 33, 1000, 1055):

@@ -1,6 +1,7 @@
 """A gated recurrent language model in numpy with a class-factored softmax.
 
-Words are numbered by class: word ``w`` is number ``w % PER_CLASS`` of class ``w // PER_CLASS``.
+Words are numbered by falling frequency and cut into ``CLASSES`` classes, small ones of frequent
+words first, so that few outputs are computed for a usual word:
 ``log p(w) = log p(class | state) + log p(w | class, state)``. Output biases start at the
 logarithms of corpus frequencies, so an untrained model is the unigram model. Training is
 truncated backpropagation: the state is carried from window to window, gradients are not.
@@ -10,21 +11,28 @@ from __future__ import annotations
 
 import numpy as np
 
-EMBED, HIDDEN, CLASSES, PER_CLASS = 16, 32, 64, 64
-WORDS = CLASSES * PER_CLASS
+EMBED, HIDDEN = 16, 16
+#: Classes of one size: how many, and of how many words.
+SIZES = ((16, 4), (16, 16), (32, 118))
+CLASSES = sum(n for n, _ in SIZES)
+START = np.append(0, np.cumsum(np.repeat([size for _, size in SIZES], [n for n, _ in SIZES])))
+WORDS = int(START[-1])
+CLASS_OF = np.repeat(np.arange(CLASSES), np.diff(START))
 SHAPES = {"embed": (WORDS, EMBED), "wx": (EMBED, 3 * HIDDEN), "wh": (HIDDEN, 3 * HIDDEN), "b": (3 * HIDDEN,),
-          "wc": (HIDDEN, CLASSES), "bc": (CLASSES,), "ww": (CLASSES, PER_CLASS, HIDDEN), "bw": (CLASSES, PER_CLASS)}
+          "wc": (HIDDEN, CLASSES), "bc": (CLASSES,), "ww": (WORDS, HIDDEN), "bw": (WORDS,)}
 SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
+LEAST = 1e-20   # probability at which a word that does not occur starts
+SAFE = 60.0     # logits up to here need no shift before they are exponentiated
 
 
 def start(share: np.ndarray, seed: int = 0) -> np.ndarray:
     """Weights of an untrained model with the word probabilities ``share`` (``WORDS`` of them, 0 where unused)."""
     rng = np.random.default_rng(seed)
     w = {k: (rng.normal(0, 0.1, s) if k in ("embed", "wx", "wh") else np.zeros(s)) for k, s in SHAPES.items()}
-    p = share.reshape(CLASSES, PER_CLASS)
-    by_class = p.sum(1)
-    w["bc"] = np.log(np.maximum(by_class, 1e-30))
-    w["bw"] = np.log(np.maximum(p, 1e-30)) - w["bc"][:, None]
+    p = np.maximum(share, LEAST)
+    by_class = np.add.reduceat(p, START[:-1])
+    w["bc"] = np.log(by_class)
+    w["bw"] = np.log(p) - w["bc"][CLASS_OF]
     return np.concatenate([w[k].ravel() for k in SHAPES]).astype(np.float32)
 
 
@@ -42,10 +50,12 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(-1, keepdims=True))
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(-1, keepdims=True)
+def _softmax(x: np.ndarray, scale: float = 1.0) -> np.ndarray:
+    """``scale`` times the softmax of the last axis, in place."""
+    if x.size and (x.max() > SAFE or x.min() < -SAFE):
+        x -= x.max(-1, keepdims=True)
     np.exp(x, out=x)
-    x /= x.sum(-1, keepdims=True)
+    x *= (np.float32(scale) / (x @ np.ones(x.shape[-1], x.dtype)))[..., None]
     return x
 
 
@@ -80,16 +90,16 @@ def _picked(h: np.ndarray, weight: np.ndarray, bias: np.ndarray, pick: np.ndarra
 
 def word_log_probs(w: dict[str, np.ndarray], h: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Natural log probability of each word given the state in its row."""
-    cls, within = word // PER_CLASS, word % PER_CLASS
-    order = np.argsort(cls, kind="stable")
-    edge = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-    h, within, cls = h[order], within[order], cls[order]
+    order = np.argsort(word.astype(np.uint16), kind="stable")
+    h, word = h[order], word[order]
+    cls = CLASS_OF[word]
+    edge = np.searchsorted(word, START)
     got = np.empty(len(word))
     for lo in range(0, len(word), 4096):
         got[lo:lo + 4096] = _picked(h[lo:lo + 4096], w["wc"], w["bc"], cls[lo:lo + 4096])
     for c in np.flatnonzero(np.diff(edge)).tolist():
-        at = slice(edge[c], edge[c + 1])
-        got[at] += _picked(h[at], w["ww"][c].T, w["bw"][c], within[at])
+        at, own = slice(edge[c], edge[c + 1]), slice(START[c], START[c + 1])
+        got[at] += _picked(h[at], w["ww"][own].T, w["bw"][own], word[at] - START[c])
     out = np.empty(len(word))
     out[order] = got
     return out
@@ -154,12 +164,12 @@ def log_likelihoods(flat: np.ndarray, words: np.ndarray, first: np.ndarray, begi
 class Trainer:
     """Adam on windows of parallel text streams."""
 
-    def __init__(self, flat: np.ndarray, rate: float = 4e-3):
+    def __init__(self, flat: np.ndarray, rate: float = 2e-2):
         self.flat, self.rate, self.n = flat.copy(), rate, 0
         self.one, self.two, self.work, self.grad = (np.zeros_like(flat) for _ in range(4))
 
-    def fit(self, words: np.ndarray, fresh: np.ndarray, begin: int, lanes: int = 32, window: int = 32) -> int:
-        """One pass over a stream of texts (``fresh`` where one begins), cut into equal lanes, the last one with the rest; returns the words used."""
+    def fit(self, words: np.ndarray, fresh: np.ndarray, begin: int, lanes: int = 512, window: int = 16) -> int:
+        """One pass over a stream of texts (``fresh`` where one begins), cut into equal lanes, what is left into fewer; returns the words used."""
         lanes = max(1, min(lanes, len(words) // window))
         steps = len(words) // lanes
         if not steps:
@@ -171,9 +181,9 @@ class Trainer:
         h = np.zeros((lanes, HIDDEN), np.float32)
         for lo in range(0, steps, window):
             h = self._window(word[lo:lo + window], prior[lo:lo + window], new[lo:lo + window], h)
-        rest = slice(lanes * steps, len(words))
-        if rest.start < rest.stop:   # fewer words than lanes
-            self._window(words[rest, None], before[rest, None], fresh[rest, None], h[-1:])
+        rest = lanes * steps
+        if rest < len(words):   # fewer words than lanes
+            self.fit(words[rest:], fresh[rest:], int(before[rest]), lanes, window)
         return len(words)
 
     def _window(self, word, prior, new, h):
@@ -191,30 +201,41 @@ class Trainer:
             h, z[t], r[t], n[t], m[t] = _step(h0[t], proj[t], w["wh"])
             states[t] = h
         flat_h, flat_w = states.reshape(-1, HIDDEN), word.ravel()
-        cls, within = flat_w // PER_CLASS, flat_w % PER_CLASS
+        cls = CLASS_OF[flat_w]
         scale = np.float32(1 / len(flat_w))
-        d = _softmax(flat_h @ w["wc"] + w["bc"])
-        d[np.arange(len(flat_w)), cls] -= 1
-        d *= scale
+        d = flat_h @ w["wc"]
+        d += w["bc"]
+        d = _softmax(d, scale)
+        d[np.arange(len(flat_w)), cls] -= scale
         g["wc"] += flat_h.T @ d
-        g["bc"] += d.sum(0)
+        g["bc"] += np.ones(len(d), d.dtype) @ d
         dh_out = d @ w["wc"].T
-        order = np.argsort(cls, kind="stable")
+        order = np.argsort(flat_w.astype(np.uint16), kind="stable")
         count = np.bincount(cls, minlength=CLASSES)
         edge = np.cumsum(count) - count
-        width = np.frexp(count)[1]   # classes of about as many words are worked on together
-        for k in np.unique(width[count > 0]).tolist():
-            c = np.flatnonzero(width == k)
-            j = np.arange(count[c].max())
-            real = j < count[c][:, None]
-            at = order[edge[c][:, None] + np.minimum(j, count[c][:, None] - 1)]
-            own, weight = flat_h[at], w["ww"][c]
-            e = _softmax(own @ weight.transpose(0, 2, 1) + w["bw"][c][:, None])
-            e[np.arange(len(c))[:, None], j, within[at]] -= 1
-            e *= (scale * real)[:, :, None]
-            g["ww"][c] = e.transpose(0, 2, 1) @ own
-            g["bw"][c] = e.sum(1)
-            dh_out[at[real]] += (e @ weight)[real]
+        first = 0
+        for many, size in SIZES:
+            own = slice(START[first], START[first + many])
+            weights, biases = w["ww"][own].reshape(many, size, HIDDEN), w["bw"][own].reshape(many, size)
+            g_weights, g_biases = g["ww"][own].reshape(many, size, HIDDEN), g["bw"][own].reshape(many, size)
+            mine = count[first:first + many]
+            width = np.frexp(mine)[1]   # classes of about as many words are worked on together
+            for k in np.unique(width[mine > 0]).tolist():
+                c = np.flatnonzero(width == k)
+                j = np.arange(mine[c].max())
+                real = j < mine[c][:, None]
+                at = order[edge[first + c][:, None] + np.minimum(j, mine[c][:, None] - 1)]
+                state, weight = flat_h[at], weights[c]
+                e = state @ weight.transpose(0, 2, 1)
+                e += biases[c][:, None]
+                e = _softmax(e, scale)
+                e[np.arange(len(c))[:, None], j, flat_w[at] - START[first + c][:, None]] -= scale
+                if not real.all():
+                    e[~real] = 0
+                g_weights[c] = e.transpose(0, 2, 1) @ state
+                g_biases[c] = e.sum(1)
+                dh_out[at[real]] += (e @ weight)[real]
+            first += many
         dh_out = dh_out.reshape(steps, lanes, HIDDEN)
         # what a state's gradient is multiplied by for z, r and the candidate's recurrent part
         dn = (1 - z) * (1 - n * n)
@@ -235,7 +256,9 @@ class Trainer:
         flat_d = dm.reshape(-1, 3 * HIDDEN)
         g["wx"] += x.reshape(-1, EMBED).T @ flat_d
         g["b"] += flat_d.sum(0)
-        np.add.at(g["embed"], prior.ravel(), flat_d @ w["wx"].T)
+        into, dx = prior.ravel(), (flat_d @ w["wx"].T).T
+        for k in range(EMBED):
+            g["embed"][:, k] = np.bincount(into, dx[k], WORDS)
         norm = float(np.sqrt(grad @ grad))
         if norm > 1:
             grad /= norm

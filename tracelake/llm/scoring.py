@@ -4,7 +4,8 @@
    64-bit hash) once, with its count in training documents, to a bucket; buckets add up and
    send the corpus counts back. So corpus statistics cover all training documents, and a
    frequent word costs one entry per batch, not one row per occurrence.
-2. The ``WORDS - 2`` most frequent words, an end and an unknown word are the model's words.
+2. The ``WORDS - 2`` most frequent words, an end and an unknown word are the model's words. Every batch
+   is stored again as their numbers, with what the corpus counts say of each document.
 3. Rounds of training: every batch cuts the words of its training documents into as many
    stretches as there are rounds and trains the current weights on one in each round, so the
    rounds together train on every training word once, a long document in several stretches;
@@ -14,7 +15,8 @@
 
 Defined results: null text is empty and scores its end alone; a null id counts as '' for the
 held-out split; repeated rows are counted and scored each; an empty table gives no rows;
-other columns are not read.
+other columns are not read. Counts and ``base_score`` depend on the rows alone; ``score`` also on how the
+rows are cut into batches and tasks, since weights are averaged over tasks.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
@@ -104,25 +107,10 @@ class _Batch:
         return np.concatenate([h for h, _ in got]) if got else np.zeros(0, np.uint64), np.concatenate(first)
 
 
-def stretch(x: _Batch, number: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """The words of a batch's training documents that a round reads, and where a document begins; the rounds share all words."""
-    h, first = x.words()
-    rows = np.flatnonzero(~x.held)
-    rows = rows[np.argsort([zlib.crc32(str(r).encode()) for r in rows.tolist()], kind="stable")]
-    size = np.diff(first)[rows]
-    begin = np.cumsum(size) - size
-    total = int(size.sum())
-    fresh = np.zeros(total, bool)
-    fresh[begin] = True
-    part = slice(total * number // rounds, total * (number + 1) // rounds)
-    at = np.arange(total) + np.repeat(first[:-1][rows] - begin, size)
-    return h[at[part]], fresh[part]
-
-
 def _distinct(x: _Batch, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of a batch as codes, their rows, the distinct hashes ordered by bucket, training counts, and the buckets' edges."""
     h, first = x.words()
-    unique, code = np.unique(h, return_inverse=True)
+    code, unique = pd.factorize(h)
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
     bucket = (unique % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
@@ -204,16 +192,63 @@ class Vocabulary:
         return out
 
 
-def _train(stored: DataFrame, held, flat: np.ndarray, number: int, rounds: int) -> np.ndarray:
-    weights = stored.sparkSession.sparkContext.broadcast(flat)  # of fixed size
+INDEXED = ("batch long, ids binary, no_id binary, first binary, held binary, n_known binary, base binary, rare binary, words binary")
+
+
+def _index(stored: DataFrame, counted: DataFrame, held, buckets: int) -> DataFrame:
+    """Batches as numbers of the model's words (two bytes each, compressed), and per document the number of known
+    words, the base score and the logarithm of the unknown words' shares."""
+    def run(own: pa.Table, told: pa.Table) -> pa.Table:
+        rows, v = [], held.value
+        for row in own.to_pylist():
+            x = _Batch(row)
+            code, doc, first, unique, _, _ = _distinct(x, buckets)
+            got = sorted(zip(told["bucket"].to_pylist(), told["counts"].to_pylist()))
+            counts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(c, np.int64) for _, c in got)])
+            ids = v.ids(unique)
+            base = np.log10((counts + 1) / (v.tokens + v.types + 1))
+            rare = np.where(ids == UNKNOWN, np.log10((counts + 1) / v.rest), 0.0)
+            n = len(first) - 1
+            rows.append({"batch": row["batch"], "ids": row["ids"], "no_id": row["no_id"], "first": first.tobytes(), "held": x.held.tobytes(),
+                         "n_known": np.bincount(doc, counts[code] > 0, n).astype(np.int64).tobytes(), "base": np.bincount(doc, base[code], n).tobytes(),
+                         "rare": np.bincount(doc, rare[code], n).tobytes(),
+                         "words": zstandard.ZstdCompressor(level=1).compress(ids.astype(np.uint16)[code].tobytes())})
+        return pa.Table.from_pylist(rows, schema=pa.schema([(c.split()[0], pa.int64() if c.endswith("long") else pa.binary()) for c in INDEXED.split(", ")]))
+
+    replies = counted.filter("batch IS NOT NULL").select("batch", "bucket", "counts")
+    return store(stored.groupBy("batch").cogroup(replies.groupBy("batch")).applyInArrow(run, INDEXED), "word-batches")
+
+
+def _words(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the words of an indexed batch, and the documents' firsts."""
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(row["words"]), np.uint16), np.frombuffer(row["first"], np.int64)
+
+
+def stretch(row: dict, number: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words of a batch's training documents that a round reads, and where a document begins; the rounds share all words."""
+    words, first = _words(row)
+    rows = np.flatnonzero(~np.frombuffer(row["held"], bool))
+    rows = rows[np.argsort([zlib.crc32(str(r).encode()) for r in rows.tolist()], kind="stable")]
+    size = np.diff(first)[rows]
+    begin = np.cumsum(size) - size
+    total = int(size.sum())
+    lo, hi = total * number // rounds, total * (number + 1) // rounds
+    fresh = np.zeros(total, bool)
+    fresh[begin] = True
+    at = np.arange(lo, hi) + np.repeat(first[:-1][rows] - begin, size)[lo:hi]
+    return words[at].astype(np.int64), fresh[lo:hi]
+
+
+def _train(indexed: DataFrame, flat: np.ndarray, number: int, rounds: int) -> np.ndarray:
+    weights = indexed.sparkSession.sparkContext.broadcast(flat)  # of fixed size
 
     def run(batches):
         trainer, used = recurrent.Trainer(weights.value), 0
         for b in batches:
             for row in b.to_pylist():
-                h, fresh = stretch(_Batch(row), number, rounds)
-                if len(h):
-                    used += trainer.fit(held.value.ids(h), fresh, END)
+                words, fresh = stretch(row, number, rounds)
+                if len(words):
+                    used += trainer.fit(words, fresh, END)
         if used:
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([used], pa.int64()),
                                               pa.array([trainer.flat.tobytes()], pa.binary())], ["task", "used", "weights"])
@@ -226,7 +261,7 @@ def _train(stored: DataFrame, held, flat: np.ndarray, number: int, rounds: int)
                          "weights": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
     schema = "task long, used long, weights binary"
-    rows = store(stored.mapInArrow(run, schema), "weights")
+    rows = store(indexed.select("held", "first", "words").mapInArrow(run, schema), "weights")
     tasks, step = rows.count(), 16
     while tasks > 16:   # averages of averages, sixteen tasks at a time
         rows = store(rows.withColumn("few", F.floor(F.col("task") / F.lit(step))).groupBy("few").applyInArrow(average, schema), "weights")
@@ -240,36 +275,24 @@ def _train(stored: DataFrame, held, flat: np.ndarray, number: int, rounds: int)
     return np.frombuffer(average(pa.Table.from_pylist([r.asDict() for r in last]))["weights"][0].as_py(), np.float32)
 
 
-def _score(stored: DataFrame, counted: DataFrame, held, flat: np.ndarray, buckets: int) -> DataFrame:
-    weights = stored.sparkSession.sparkContext.broadcast(flat)
+def _score(indexed: DataFrame, flat: np.ndarray, tokens: int) -> DataFrame:
+    weights = indexed.sparkSession.sparkContext.broadcast(flat)
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    names = [c.split()[0] for c in schema.split(", ")]
 
-    def run(own: pa.Table, told: pa.Table) -> pa.Table:
-        out = {k: [] for k in ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")}
-        v = held.value
-        for row in own.to_pylist():
-            x = _Batch(row)
-            code, rows, first, unique, _, _ = _distinct(x, buckets)
-            got = sorted(zip(told["bucket"].to_pylist(), told["counts"].to_pylist()))
-            counts = np.concatenate([np.frombuffer(c, np.int64) for _, c in got])
-            base = np.log10((counts + 1) / (v.tokens + v.types + 1))
-            ids = v.ids(unique)
-            n = len(first) - 1
-            rare = np.where(ids == UNKNOWN, np.log10((counts + 1) / v.rest), 0.0)
-            ln = recurrent.log_likelihoods(weights.value, ids[code], first, END)
-            model = ln / np.log(10) + rare[code]
-            out["doc_id"] += x.ids
-            out["held_out"] += x.held.tolist()
-            out["n_tokens"] += np.diff(first).tolist()
-            out["n_known"] += np.bincount(rows, counts[code] > 0, n).astype(np.int64).tolist()
-            out["train_tokens"] += [v.tokens] * n
-            out["base_score"] += np.bincount(rows, base[code], n).tolist()
-            out["score"] += np.bincount(rows, model, n).tolist()
-        kinds = {"held_out": pa.bool_(), "base_score": pa.float64(), "score": pa.float64()}
-        return pa.table({k: pa.array(c, kinds.get(k, pa.int64())) for k, c in out.items()})
+    def run(batches):
+        for b in batches:
+            for row in b.to_pylist():
+                words, first = _words(row)
+                n = len(first) - 1
+                ln = recurrent.log_likelihoods(weights.value, words.astype(np.int64), first, END)
+                model = np.bincount(np.repeat(np.arange(n), np.diff(first)), ln, n) / np.log(10) + np.frombuffer(row["rare"])
+                ids = pa.array(np.frombuffer(row["ids"], np.int64), mask=np.frombuffer(row["no_id"], bool))
+                yield pa.RecordBatch.from_arrays([
+                    ids, pa.array(np.frombuffer(row["held"], bool)), pa.array(np.diff(first)), pa.array(np.frombuffer(row["n_known"], np.int64)),
+                    pa.array(np.full(n, tokens)), pa.array(np.frombuffer(row["base"])), pa.array(model)], names)
 
-    replies = counted.filter("batch IS NOT NULL").select("batch", "bucket", "counts")
-    return stored.groupBy("batch").cogroup(replies.groupBy("batch")).applyInArrow(run, schema)
+    return indexed.mapInArrow(run, schema)
 
 
 def score_documents(docs: DataFrame, rounds: int = ROUNDS, batch_bytes: int = BATCH_BYTES) -> DataFrame:
@@ -283,10 +306,11 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS, batch_bytes: int = BA
     end = docs_in_training(stored)
     vocabulary = Vocabulary(hashes, counts, end, total["n"], total["v"])
     held = docs.sparkSession.sparkContext.broadcast(vocabulary)  # a few thousand words at most
+    indexed = _index(stored, counted, held, buckets)
     flat = recurrent.start(vocabulary.share)
     for number in range(rounds):
-        flat = _train(stored, held, flat, number, rounds)
-    return _score(stored, counted, held, flat, buckets)
+        flat = _train(indexed, flat, number, rounds)
+    return _score(indexed, flat, vocabulary.tokens)
 
 
 def docs_in_training(stored: DataFrame) -> int:
