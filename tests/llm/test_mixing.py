@@ -38,3 +38,16 @@ def test_large_rates_and_odd_rows(spark):
 def test_plan_has_no_python(spark):
     plan = mix(spark.createDataFrame([(1, "x", "a", "")], SCHEMA))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_names_of_the_input_do_not_matter(spark):
+    names = ["doc_id", "source", "text", "_rate", "_cdf", "_key", "_count", "_source", "key", "n", "cdf", "c0", "Copy", "SHUFFLE_KEY", "rate"]
+    rows = [(i, f"s{i % 3}", f"t{i}", *[f"{c}{i}" for c in names[3:]]) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, " + ", ".join(f"`{c}` string" for c in names[2:]))
+    out = mix(df, size=900)
+    assert out.columns == names[:12] + ["copy", "rate", "shuffle_key"]
+    by = {r[0]: r for r in rows}
+    got = out.collect()
+    assert len(got) > 700
+    assert all(tuple(r)[:12] == by[r["doc_id"]][:12] and r["rate"] > 0 and len(r["shuffle_key"]) == 32 for r in got)
+    assert [r["shuffle_key"] for r in got] == sorted(r["shuffle_key"] for r in got)

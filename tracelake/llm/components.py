@@ -1,8 +1,9 @@
 """Connected components of a table of links, by alternating large and small stars.
 
 Links stay in tables of the shared folder, one per round; only their number and a checksum
-reach the driver. A node with very many links costs one joined row per link, never a group in
-one task: minima are taken with map-side combine and joined back.
+reach the driver, and the few hot nodes by name. A node with very many links costs one joined row per
+link, never a group in one task: minima are taken with map-side combine and joined back, to the links of
+a hot node over salts.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracelake.llm.skew import hot_keys, meet
 from tracelake.session import materialize
 
 
@@ -27,12 +29,13 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     state = _state(now)
     while state[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        hot = hot_keys(both, "u")   # a node has no more links in either join below
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = meet(both.filter("v > u"), least, "u", hot).select(F.col("v").alias("u"), F.col("m").alias("v"))
         # every row has u > v here, so the small star's neighbours are the rows of u
         large = large.filter("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
+        joined = meet(large, least, "u", hot)
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         small = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         now = materialize(small, "links")

@@ -26,11 +26,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracelake.llm.blocks import BASE, LOWER, SPACE, Hashes, Texts, blocks, grams_of, mix
 from tracelake.llm.components import components
+from tracelake.llm.skew import hot_keys, meet
 from tracelake.llm.stored import store
 
 BANDS, ROWS = 32, 4
@@ -93,8 +94,8 @@ def _digests(values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def sketch(docs: DataFrame, k: int) -> DataFrame:
-    """``doc_id, n_shingles, d0, d1, signature`` of every row; the signature of an empty set is null."""
-    schema = "doc_id long, n_shingles long, d0 long, d1 long, signature binary"
+    """``doc_id, text_key, n_shingles, d0, d1, signature`` of every row; the signature of an empty set is null."""
+    schema = "doc_id long, text_key long, n_shingles long, d0 long, d1 long, signature binary"
 
     def run(batches):
         for batch in batches:
@@ -106,10 +107,15 @@ def sketch(docs: DataFrame, k: int) -> DataFrame:
                 body = [sig[i].tobytes() if n else None for i, n in zip(at.tolist(), size.tolist())]
                 d0, d1 = _digests(values, first)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), pa.array(size), pa.array(d0), pa.array(d1), pa.array(body, pa.binary())],
-                    ["doc_id", "n_shingles", "d0", "d1", "signature"])
+                    [rows.column(0), rows.column(2), pa.array(size), pa.array(d0), pa.array(d1), pa.array(body, pa.binary())],
+                    ["doc_id", "text_key", "n_shingles", "d0", "d1", "signature"])
 
-    return _texts(docs).mapInArrow(run, schema)
+    return _texts(docs).withColumn("text_key", text_key("text")).mapInArrow(run, schema)
+
+
+def text_key(text: str) -> Column:
+    """What tells two texts of one id apart."""
+    return F.xxhash64(F.col(text).cast("string"))
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -169,7 +175,7 @@ def _pruned(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame
     """``a, b, agree`` of the pairs that survive the sequential comparison."""
     bounds = least_matches(threshold)
     side = lambda c: classes.select(F.col("node").alias(c), F.col("n_shingles").alias(f"n{c}"), F.col("signature").alias(f"s{c}"))
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "sa", "sb")
+    joined = meet(pairs, side("a"), "a", hot_keys(pairs, "a")).join(side("b"), "b").select("a", "b", "na", "nb", "sa", "sb")
 
     def run(batches):
         for batch in batches:
@@ -204,7 +210,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Pairs whose full sets reach the threshold (compared in whole percents)."""
     percent = round(100 * threshold)
     side = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}"))
-    joined = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb")
+    pairs = store(pairs.select("a", "b"), "pairs")
+    joined = meet(pairs, side("a"), "a", hot_keys(pairs, "a")).join(side("b"), "b").select("a", "b", "sa", "sb")
 
     def run(batches):
         for batch in batches:
@@ -315,7 +322,7 @@ def _across(member: DataFrame, labels: DataFrame, classes: DataFrame, sets: Data
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row."""
+    """``doc_id, n_shingles, component_id, kept, text_key`` of every row."""
     sketched = store(sketch(docs, shingle), "sketch")
     usable = sketched.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = usable.groupBy("d0", "d1", "n_shingles").agg(
@@ -324,7 +331,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8) -
                                          F.col("_m.signature").alias("signature")), "classes")
     member = store(members(classes), "members")
     stars = member.filter("pivot <> node").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    stars = store(_pruned(stars, classes, threshold), "stars")
+    stars = store(_pruned(store(stars, "pairs"), classes, threshold), "stars")
     nodes = member.select("node").distinct().join(classes.select("node", "d0"), "node")
     sets = store(_sets(docs, nodes, shingle), "sets")
 
@@ -341,7 +348,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8) -
 
     of_class = _labelled(classes.select("node", "d0", "d1", "copies"), labels, "node", "component_id")
     of_class = store(of_class.filter("copies > 1 OR component_id <> node").select("d0", "d1", "component_id"), "classes")
-    out = sketched.select("doc_id", "n_shingles", "d0", "d1").join(of_class, ["d0", "d1"], "left")
+    out = sketched.select("doc_id", "text_key", "n_shingles", "d0", "d1").join(of_class, ["d0", "d1"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+                      F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), "text_key")

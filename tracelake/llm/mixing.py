@@ -4,7 +4,8 @@ A source with a share ``w`` of the target corpus and ``n`` of ``N`` rows gets th
 repetition rate ``w * size / n``, where ``size`` is the wanted number of rows (by default
 ``N``). Each row draws a uniform number from a hash of seed and id, inverts the Poisson
 distribution of its source's rate, and is exploded by that count. Rows are then ordered by a
-hash of seed, id and copy, which shuffles all sources together and is the same on every run.
+hash of seed, id and copy, which shuffles all sources together and is the same on every run. The hash is
+uniform, so its leading digits name a row's partition; nothing is sampled or read twice for the order.
 
 Hot sources need no care: counts are taken with map-side combine, and the table of sources
 (one row each, with its distribution) is stored first, so that Spark broadcasts it only while
@@ -13,7 +14,7 @@ its measured size is below the session's threshold and joins by shuffle beyond.
 Defined results: sources without a weight share ``1`` with all others if no weights are given;
 with weights, a source that is not named gets none; a null source is a source of its own,
 named ''; rows with equal ids draw alike (a null id draws by its text); an empty table gives
-no rows; other columns are kept, and columns named like an output are replaced.
+no rows; other columns are kept, whatever their names; those named like an output, in any case, are replaced.
 """
 
 from __future__ import annotations
@@ -59,16 +60,21 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, size: int |
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, size: int | None = None, seed: int = 0,
         doc_id: str = "doc_id", source: str = "source", text: str = "text", temperature: float = 0.5) -> DataFrame:
     """The rows of ``docs``, each as often as drawn, in the order of ``shuffle_key``; ``copy`` counts from 0."""
-    outputs = ("copy", "shuffle_key", "rate")
-    kept = [c for c in docs.columns if c not in outputs]
-    table = materialize(rates(docs, weights, size, source, temperature), "rates")
-    table = table.select(F.col("source").alias("_source"), F.col("rate").alias("_rate"), F.col("cdf").alias("_cdf"))
-    ident = F.coalesce(F.col(doc_id).cast("string"), F.md5(F.coalesce(F.col(text).cast("string"), F.lit(""))))
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept]).withColumn("_key", F.concat(F.lit(f"{seed}:"), ident))
-    rows = rows.withColumn("_source", F.coalesce(F.col(source).cast("string"), F.lit(""))).join(table, "_source")
-    u = _uniform(F.col("_key"))
+    outputs = ("copy", "rate", "shuffle_key")
+    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    kept = [c for c in docs.columns if c.lower() not in outputs]
+    docs = docs.toDF(*at.values())   # no name of the input can meet one of ours
+    table = materialize(rates(docs, weights, size, at[source], temperature), "rates").select("source", "rate", "cdf")
+    ident = F.coalesce(F.col(at[doc_id]).cast("string"), F.md5(F.coalesce(F.col(at[text]).cast("string"), F.lit(""))))
+    rows = docs.withColumn("key", F.concat(F.lit(f"{seed}:"), ident)).withColumn("source", F.coalesce(F.col(at[source]).cast("string"), F.lit("")))
+    rows = rows.join(table, "source")
+    u = _uniform(F.col("key"))
     # the count is the number of steps at or below u; the array is sorted
-    rows = rows.withColumn("_count", F.size(F.filter("_cdf", lambda c: c <= u)))
-    rows = rows.filter("_count > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_count") - 1)))
-    rows = rows.withColumn("shuffle_key", F.md5(F.concat("_key", F.lit(":"), F.col("copy").cast("string"))))
-    return rows.select(*[F.col(f"`{c}`") for c in kept], "copy", F.col("_rate").alias("rate"), "shuffle_key").orderBy("shuffle_key", "copy")
+    rows = rows.withColumn("n", F.size(F.filter("cdf", lambda c: c <= u)))
+    rows = rows.filter("n > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    rows = rows.withColumn("shuffle_key", F.md5(F.concat("key", F.lit(":"), F.col("copy").cast("string"))))
+    rows = rows.select(*[at[c] for c in kept], "copy", "rate", "shuffle_key")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.conv(F.substring("shuffle_key", 1, DIGITS), 16, 10).cast("double") / F.lit(float(1 << 4 * DIGITS))
+    rows = rows.repartitionById(parts, F.floor(place * parts).cast("int")).sortWithinPartitions("shuffle_key", "copy")
+    return rows.toDF(*kept, *outputs)

@@ -197,7 +197,8 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     where = spark.sparkContext.broadcast(slots(plan_packing(counts), capacity))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = by_task.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    ranked = pieces.join(base, ["length", "part"])
+    # one row per length and task: grows with the input, so it is never sent to all
+    ranked = pieces.join(base.hint("merge"), ["length", "part"])
     ranked = ranked.select(*[c for c in pieces.columns if c not in ("part", "number")],
                            (F.col("base") + F.col("number")).alias("rank"))
     out = T.StructType([*ranked.schema.fields[:-1], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])

@@ -46,7 +46,7 @@ def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
 def op2_minhash(spark: SparkSession, sf: str) -> DataFrame:
     from tracelake.llm.minhash import near_duplicates
 
-    return near_duplicates(table(spark, sf, "documents"), shingle=4, threshold=0.8)
+    return near_duplicates(table(spark, sf, "documents"), shingle=4, threshold=0.8).drop("text_key")
 
 
 @case("op9_suffix")
@@ -62,11 +62,11 @@ rates AS (SELECT source, sqrt(n) / (SELECT sum(sqrt(n)) FROM counted) * (SELECT
 logs AS (SELECT k, sum(CASE WHEN k = 0 THEN 0 ELSE ln(k) END) OVER (ORDER BY k) AS logfact
          FROM (SELECT unnest(range(0, 2 + CAST((SELECT max(ceil(rate + 12 * sqrt(rate) + 40)) FROM rates) AS BIGINT))) AS k)),
 steps AS (SELECT source, rate, k, sum(exp(k * ln(rate) - rate - logfact)) OVER (PARTITION BY source ORDER BY k) AS c FROM rates, logs),
-draws AS (SELECT d.doc_id, coalesce(d.source, '') AS source,
+draws AS (SELECT d.*,
                  CAST(CAST('0x' || substr(md5('0:' || CAST(doc_id AS VARCHAR)), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0 AS u
           FROM documents d),
-counts AS (SELECT d.doc_id, d.source, s.rate, count(*) AS n FROM draws d JOIN steps s ON s.source = d.source AND s.c <= d.u GROUP BY ALL)
-SELECT doc_id, source, CAST(copy AS INTEGER) AS copy, rate,
+counts AS (SELECT d.doc_id, d.source, d.lang, d.n_chars, d.text, s.rate, count(*) AS n FROM draws d JOIN steps s ON s.source = coalesce(d.source, '') AND s.c <= d.u GROUP BY ALL)
+SELECT doc_id, source, lang, n_chars, text, CAST(copy AS INTEGER) AS copy, rate,
        md5('0:' || CAST(doc_id AS VARCHAR) || ':' || CAST(copy AS VARCHAR)) AS shuffle_key
 FROM (SELECT *, unnest(range(0, n)) AS copy FROM counts)
 """
@@ -76,7 +76,7 @@ FROM (SELECT *, unnest(range(0, n)) AS copy FROM counts)
 def op7_mix(spark: SparkSession, sf: str) -> DataFrame:
     from tracelake.llm.mixing import mix
 
-    return mix(table(spark, sf, "documents").select("doc_id", "source", "text")).select("doc_id", "source", "copy", "rate", "shuffle_key")
+    return mix(table(spark, sf, "documents"))
 
 
 @case("op5_licenses")
