@@ -24,11 +24,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8) stays; rows without id stay."""
+    """One document of each group of near copies (five-word shingles, similarity 0.8) stays; rows without id stay.
+
+    A row goes by its own id and text: of two texts under one id, the one that copies a smaller id goes and
+    the other one stays. Of rows equal in both one stays.
+    """
     from tracelake.llm.minhash import near_duplicates as judge
+    from tracelake.llm.minhash import text_key
 
-    gone = materialize(judge(docs, shingle=5, threshold=0.8).filter("NOT kept").select("doc_id").distinct(), "copies")
-    rest = docs.join(gone, "doc_id", "left_anti")
+    gone = judge(docs, shingle=5, threshold=0.8).filter("NOT kept").select("doc_id", F.col("text_key").alias("_text")).distinct()
+    rest = docs.withColumn("_text", text_key("text")).join(materialize(gone, "copies"), ["doc_id", "_text"], "left_anti").drop("_text")
     again = materialize(rest.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 AND doc_id IS NOT NULL").select("doc_id"), "repeated")
     if again.head(1):  # one document in several rows
         rest = rest.join(again, "doc_id", "left_anti").unionByName(rest.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]))
