@@ -44,3 +44,20 @@ def test_run_on_no_rows(spark, tmp_path):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0)
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     assert P.run(spark, str(tmp_path)).collect() == []
+
+
+def test_an_id_with_two_texts_loses_only_the_copy(spark):
+    copy, own = " ".join(f"w{i}" for i in range(40)), " ".join(f"x{i}" for i in range(40))
+    rows = [(1, copy, "en", "s", 1), (2, copy, "en", "s", 1), (2, own, "en", "s", 1), (3, own + " more", "en", "s", 1), (None, copy, "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = {(r.doc_id, r.text) for r in P.near_duplicates(spark, docs, "").collect()}
+    assert left == {(1, copy), (2, own), (None, copy)}
+
+
+def test_very_long_texts_and_clashing_columns(spark):
+    long = " ".join(f"word{i % 5000}" for i in range(150_000)) + "."
+    rows = [(1, long, "en", "s", 1, "a"), (2, long, "en", "s", 1, "b"), (3, "A short text that says enough to be kept, as it has many more words than the rules ask for, and ends well.", "en", None, 1, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, _text string")
+    for name, stage in P.STAGES:
+        docs = P.materialize(stage(spark, docs, ""), name)
+    assert {r.doc_id for r in docs.collect()} <= {1, 3}
