@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from tests.llm.brute import groups
 from tracelake.llm import vectors as V
@@ -73,6 +74,63 @@ def test_given_vectors(spark):
     compare(spark, [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select("vec_id", "embedding", "label").collect()])
 
 
+def test_shards_are_cut_again(spark, monkeypatch):
+    """More nodes than one fit can cut into small shards: two levels, with links across their borders."""
+    for name, value in {"TARGET": 100, "BLOCK": 150, "SAMPLE": 160, "QUERIES": 200}.items():
+        monkeypatch.setattr(V, name, value)
+    rng = np.random.default_rng(6)
+    angle = rng.uniform(0, 2 * np.pi, 2400)
+    x = np.stack([np.cos(angle), np.sin(angle)], 1) * rng.uniform(0.5, 2, (2400, 1))
+    rows = [(i, f32(v), 1) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    nodes = V.store(V.nodes_of(df)[1], "nodes")
+    member = V._shards(nodes, 0.002)
+    sizes = [r["count"] for r in member.groupBy("shard").count().collect()]
+    assert len(sizes) > V.SAMPLE // 8 and sum(sizes) < 12 * 2400 and max(sizes) < 600
+    assert member.filter("home").groupBy("node").count().filter("count = 1").count() == nodes.count()
+    assert member.filter("home AND shard <> at_home").count() == 0
+    assert member.filter("NOT array_contains(shards, at_home)").count() == 0
+
+
+def test_a_dense_group_is_not_cut(spark, monkeypatch):
+    for name, value in {"TARGET": 50, "BLOCK": 80, "QUERIES": 200}.items():
+        monkeypatch.setattr(V, name, value)
+    rng = np.random.default_rng(2)
+    rows = [(i, f32(v), 1) for i, v in enumerate(np.ones((600, 8)) + 0.01 * rng.normal(size=(600, 8)))]
+    member = V._shards(V.store(V.nodes_of(spark.createDataFrame(rows, SCHEMA))[1], "nodes"), 0.15)
+    assert member.count() == 600 and member.select("shard").distinct().count() == 1
+    compare(spark, rows)
+
+
+def test_links_count_at_both_ends_beside_a_dense_group(spark, monkeypatch):
+    for name, value in {"TARGET": 200, "BLOCK": 250, "QUERIES": 300}.items():
+        monkeypatch.setattr(V, name, value)
+    rng = np.random.default_rng(9)
+    a = rng.normal(size=(400, 16))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    turn = rng.normal(size=(400, 16))
+    turn -= (turn * a).sum(1, keepdims=True) * a
+    turn /= np.linalg.norm(turn, axis=1, keepdims=True)
+    b = 0.9805 * a + np.sqrt(1 - 0.9805 ** 2) * turn
+    dense = rng.normal(size=16) + 0.01 * rng.normal(size=(500, 16))
+    rows = [(i, f32(v), 1) for i, v in enumerate(np.vstack([a, b, dense]))]
+    compare(spark, rows)
+
+
+def test_low_recall_of_nodes_is_an_error(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(60, 8))
+    rows = [(i, f32(v), 1) for i, v in enumerate(np.vstack([x, x + 0.001, np.ones((200, 8)) + 0.001 * rng.normal(size=(200, 8))]))]
+    whole = V._search
+
+    def half(*a, **k):  # the sparse links are lost, the dense group's stay
+        return whole(*a, **k).filter("kind = 1 OR b > 5")
+
+    monkeypatch.setattr(V, "_search", half)
+    with pytest.raises(RuntimeError, match="of nodes stays below"):
+        near_vectors(spark.createDataFrame(rows, SCHEMA), attempts=1)
+
+
 def test_no_rows(spark):
     assert near_vectors(spark.createDataFrame([], SCHEMA)).collect() == []
 

@@ -1,14 +1,18 @@
 """Near-duplicate vectors by a robust-pruned flat graph.
 
-1. Equal vectors of a label become one node. Centroids are fitted per label on a hash sample
-   of about ``SAMPLE`` nodes (the only thing that is sampled); every node gets a home shard,
-   the nearest centroid's, and joins at least one more and all with nearly the same cosine.
-2. Each shard, cut into blocks of at most ``BLOCK`` nodes by hash, gets a robust-pruned graph.
+1. Equal vectors of a label become one node. A label with more than ``2 * BLOCK`` nodes is cut into
+   shards: centroids are fitted on a hash sample of about ``SAMPLE`` nodes (the only thing that is
+   sampled); every node gets a home, the nearest centroid's shard, and joins at least one more and all with
+   nearly the same cosine. Shards that are still larger are cut again, fitted on a sample of their own, so
+   shards stay small whatever the size of a label. A dense group, whose nodes would join most shards, stays whole.
+2. Each shard, cut into blocks of at most about ``BLOCK`` nodes by hash, gets a robust-pruned graph.
    Adjacency lists of a node from all its shards are united.
 3. Every node searches all blocks of its home shard from their medoids. The search widens
-   as long as it meets rows in range; each cosine is the full one in double precision.
-4. The links of a sample of nodes are compared with brute force over all nodes of their label.
-   If recall is below ``min_recall`` the search is repeated with a wider beam and overlap.
+   as long as it meets rows in range; each cosine is the full one in double precision. A node that
+   is met by one whose home it has not joined counts that one as well, so links count at both ends.
+4. The links of a sample of nodes are compared with brute force over all nodes of their label, by pairs and by
+   nodes (so that a dense group does not outweigh the rest). If either recall is below ``min_recall`` the
+   search is repeated with a wider beam and overlap; after ``attempts`` an error is raised.
 
 A dense group (all vectors within range of each other) is dealt over blocks of nodes and
 chunks of queries; tasks give counts per node and a forest of links, never all pairs.
@@ -35,6 +39,8 @@ BLOCK = 2048
 QUERIES = 4096
 DEGREE, CANDIDATES, ALPHA, FAR = 24, 64, 1.2, 6
 GROUP = ["label", "dim"]
+CELL = [*GROUP, "shard"]
+JOINED = 4.0           # shards that a node may join on average; fewer, or none, are made where it would be more
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -61,10 +67,10 @@ def nodes_of(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, found.select(*GROUP, "d0", "d1", F.col("_m.vec_id").alias("node"), "copies", F.col("_m.vector").alias("vector"))
 
 
-def _centroids(nodes: DataFrame, sizes: DataFrame, rounds: int = 6) -> DataFrame:
-    """Unit centroids per group: spherical k-means on the group's hash sample."""
+def _centroids(nodes: DataFrame, sizes: DataFrame, slack: float, rounds: int = 6) -> DataFrame:
+    """Unit centroids per shard that is to be cut: spherical k-means on a hash sample. One centroid: it stays whole."""
     share = F.lit(float(SAMPLE)) / F.col("n")
-    sample = nodes.join(sizes, GROUP).filter(F.pmod(F.xxhash64("node"), F.lit(1 << 30)) < share * (1 << 30))
+    sample = nodes.join(sizes, CELL).filter(F.pmod(F.xxhash64("node", "shard"), F.lit(1 << 30)) < share * (1 << 30))
     # a group with so few nodes that the sample may miss it is taken whole (share > 1)
 
     def fit(group: pa.Table) -> pa.Table:
@@ -72,46 +78,74 @@ def _centroids(nodes: DataFrame, sizes: DataFrame, rounds: int = 6) -> DataFrame
         x = _units(_matrix(group["vector"]))
         k = min(max(1, round(group["n"][0].as_py() / TARGET)), max(1, len(x) // 8))
         pick = np.argsort(group["node"].to_numpy(), kind="stable")
-        centre = x[pick[np.linspace(0, len(x) - 1, k).astype(int)]]
-        for _ in range(rounds):
-            own = (x @ centre.T).argmax(1)
-            total = np.zeros_like(centre)
-            np.add.at(total, own, x)
-            size = np.sqrt((total * total).sum(1))
-            centre = np.where((size > 0)[:, None], total / np.maximum(size, 1e-300)[:, None], centre)
-        return pa.table({"label": pa.array([group["label"][0].as_py()] * k, pa.string()), "dim": pa.array([group["dim"][0].as_py()] * k, pa.int32()),
-                         "shard": pa.array(range(k), pa.int32()), "centre": pa.array(list(centre), pa.list_(pa.float64()))})
-
-    return sample.select(*GROUP, "n", "node", "vector").groupBy(*GROUP).applyInArrow(fit, "label string, dim int, shard int, centre array<double>")
+        while True:
+            centre = x[pick[np.linspace(0, len(x) - 1, k).astype(int)]]
+            for _ in range(rounds):
+                own = (x @ centre.T).argmax(1)
+                total = np.zeros_like(centre)
+                np.add.at(total, own, x)
+                size = np.sqrt((total * total).sum(1))
+                centre = np.where((size > 0)[:, None], total / np.maximum(size, 1e-300)[:, None], centre)
+            cos = x @ centre.T
+            joined = np.maximum(2, (cos >= cos.max(1, keepdims=True) - slack).sum(1)).mean()
+            if k == 1 or joined <= min(JOINED, k / 2):  # a cut halves a shard at least
+                break
+            k = k // 2 if k > 4 else 1
+        key = {c: pa.array([group[c][0].as_py()] * k, t) for c, t in (("label", pa.string()), ("dim", pa.int32()), ("shard", pa.int64()))}
+        return pa.table({**key, "child": pa.array(range(k), pa.int32()), "centre": pa.array(list(centre), pa.list_(pa.float64()))})
+
+    return sample.select(*CELL, "n", "node", "vector").groupBy(*CELL).applyInArrow(fit, "label string, dim int, shard long, child int, centre array<double>")
 
 
 def _assign(nodes: DataFrame, sizes: DataFrame, centres: DataFrame, slack: float) -> DataFrame:
-    """``label, dim, shard, home, node, copies, vector``: each node once per shard that it joins."""
+    """Each node once per child that it joins; ``home`` where child and shard are its nearest."""
     salts = F.ceil(F.col("n") / F.lit(QUERIES)).cast("int")
-    left = nodes.join(sizes, GROUP).withColumn("salt", F.pmod(F.xxhash64("node"), salts).cast("int"))
-    right = centres.join(sizes, GROUP).withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    left = nodes.join(sizes, CELL).withColumn("salt", F.pmod(F.xxhash64("node"), salts).cast("int"))
+    right = centres.join(sizes, CELL).withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    schema = "label string, dim int, shard long, child int, home boolean, done boolean, node long, copies long, vector array<double>"
 
     def join(own: pa.Table, told: pa.Table) -> pa.Table:
         own = own.combine_chunks()
+        count = told.num_rows
         if not own.num_rows:
-            shard = node = np.zeros(0, np.int64)
+            child = node = np.zeros(0, np.int64)
             home = np.zeros(0, bool)
         else:
-            cos = _units(_matrix(own["vector"])) @ (_matrix(told["centre"]).T if told.num_rows else np.zeros((len(own["vector"][0]), 1)))
+            cos = _units(_matrix(own["vector"])) @ (_matrix(told["centre"]).T if count else np.zeros((len(own["vector"][0]), 1)))
             best = cos.argmax(1)
             joins = cos >= cos.max(1, keepdims=True) - slack
             if cos.shape[1] > 1:
                 joins[np.arange(len(cos))[:, None], np.argpartition(-cos, 1, 1)[:, :2]] = True
             node, at = np.nonzero(joins)
-            home = best[node] == at
-            shard = told["shard"].to_numpy()[at] if told.num_rows else at
+            home = (best[node] == at) & own["home"].to_numpy(zero_copy_only=False)[node]
+            child = told["child"].to_numpy()[at] if count else at
         take = own.take(pa.array(node))
-        return pa.table({"label": take["label"], "dim": take["dim"], "shard": pa.array(shard, pa.int32()), "home": pa.array(home),
-                         "node": take["node"], "copies": take["copies"], "vector": take["vector"]})
+        return pa.table({"label": take["label"], "dim": take["dim"], "shard": take["shard"], "child": pa.array(child, pa.int32()), "home": pa.array(home),
+                         "done": pa.array(np.full(len(node), count <= 1)), "node": take["node"], "copies": take["copies"], "vector": take["vector"]})
+
+    return left.select(*CELL, "salt", "home", "node", "copies", "vector").groupBy(*CELL, "salt").cogroup(
+        right.select(*CELL, "salt", "child", "centre").groupBy(*CELL, "salt")).applyInArrow(join, schema)
+
 
-    return left.select(*GROUP, "salt", "node", "copies", "vector").groupBy(*GROUP, "salt").cogroup(
-        right.select(*GROUP, "salt", "shard", "centre").groupBy(*GROUP, "salt")).applyInArrow(
-        join, "label string, dim int, shard int, home boolean, node long, copies long, vector array<double>")
+def _shards(nodes: DataFrame, slack: float) -> DataFrame:
+    """``label, dim, shard, home, node, copies, vector`` of each node once per shard that it joins, with its home and all its shards.
+
+    Levels are few: each cuts a shard into parts of about ``TARGET`` nodes, ``SAMPLE / 8`` at most.
+    """
+    member = nodes.select(*GROUP, F.lit(0).cast("long").alias("shard"), F.lit(True).alias("home"), F.lit(False).alias("done"), "node", "copies", "vector")
+    while True:
+        sizes = member.filter("NOT done").groupBy(*CELL).agg(F.count("*").alias("n")).filter(F.col("n") > 2 * BLOCK)
+        sizes = store(sizes, "sizes")
+        if not sizes.head(1):
+            break
+        cut = member.filter("NOT done").join(sizes.select(*CELL), CELL, "left_semi")
+        rest = member.join(sizes.select(*CELL).withColumn("_cut", F.lit(True)), CELL, "left").filter(F.col("_cut").isNull() | F.col("done")).drop("_cut")
+        centres = store(_centroids(cut, sizes, slack), "centres")
+        parts = _assign(cut, sizes, centres, slack).withColumn(
+            "shard", F.when(F.col("done"), F.col("shard")).otherwise(F.xxhash64("shard", "child"))).drop("child")
+        member = store(rest.unionByName(parts), "shards")
+    joined = member.groupBy("node").agg(F.max(F.when(F.col("home"), F.col("shard"))).alias("at_home"), F.collect_set("shard").alias("shards"))
+    return store(member.drop("done").join(joined, "node"), "shards")
 
 
 def _graphs(member: DataFrame) -> DataFrame:
@@ -153,9 +187,14 @@ def _search(member: DataFrame, graph: DataFrame, blocks: DataFrame, threshold: f
             asked = ask["node"].to_numpy()
             ids = np.unique(np.concatenate([node, asked]))
             tree, mine = np.arange(len(ids)), np.searchsorted(ids, node)
-            for q, (hit, _) in zip(asked.tolist(), range_search(x, linked, start, _matrix(ask["vector"]), threshold, beam)):
+            weight, homes, back = ask["copies"].to_numpy(), own["at_home"].to_numpy(), np.zeros(len(node), np.int64)
+            joined = [set(v) for v in ask["shards"].to_pylist()]
+            for i, (q, (hit, _)) in enumerate(zip(asked.tolist(), range_search(x, linked, start, _matrix(ask["vector"]), threshold, beam))):
                 hit = hit[node[hit] != q]
                 if len(hit):
+                    # whoever searches a shard that q has not joined cannot meet q
+                    blind = np.array([h not in joined[i] for h in homes[hit].tolist()])
+                    back[hit[blind]] += weight[i]
                     kind.append(0)
                     a.append(q)
                     b.append(int(copies[hit].sum()))
@@ -167,21 +206,26 @@ def _search(member: DataFrame, graph: DataFrame, blocks: DataFrame, threshold: f
                         a.append(min(q, v))
                         b.append(max(q, v))
                     tree[np.isin(tree, trees)] = tree[at]
+            owed = np.flatnonzero(back)
+            kind += [0] * len(owed)
+            a += node[owed].tolist()
+            b += back[owed].tolist()
         return pa.table({"kind": pa.array(kind, pa.int32()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return left.select(*key, "node", "copies", "vector", "linked").groupBy(*key).cogroup(
-        asks.select(*[F.col(c).alias(c) for c in (*key, "node", "vector")]).groupBy(*key)).applyInArrow(run, "kind int, a long, b long")
+    return left.select(*key, "node", "copies", "vector", "linked", "at_home").groupBy(*key).cogroup(
+        asks.select(*[F.col(c).alias(c) for c in (*key, "node", "copies", "vector", "shards")]).groupBy(*key)).applyInArrow(run, "kind int, a long, b long")
 
 
-def audit_recall(nodes: DataFrame, counts: DataFrame, threshold: float, sample: int = 256) -> tuple[int, int]:
-    """Rows in range of a hash sample of nodes: found by the search, and by brute force over all nodes.
+def audit_recall(nodes: DataFrame, counts: DataFrame, threshold: float, sample: int = 256) -> tuple[float, float]:
+    """Recall over a hash sample of nodes, by rows in range and by nodes that have any: found by the search against
+    brute force over all nodes. A count beyond the true one (a cosine at the threshold's last bit) is no gain.
 
     The sample has ``sample`` nodes at most whatever the input, so sending it to every task is safe.
     """
     picked = nodes.select(*GROUP, "node", "vector").orderBy(F.xxhash64(F.lit(11), "node")).limit(sample).collect()
     if not picked:
-        return 0, 0
-    by_group: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
+        return 1.0, 1.0
+    by_group: dict[tuple, list] = {}
     for r in picked:
         by_group.setdefault((r["label"], r["dim"]), []).append((r["node"], r["vector"]))
     held = nodes.sparkSession.sparkContext.broadcast(
@@ -191,18 +235,21 @@ def audit_recall(nodes: DataFrame, counts: DataFrame, threshold: float, sample:
         for batch in batches:
             label, dim = batch.column(0).to_pylist(), batch.column(1).to_numpy()
             node, copies = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            total = 0
+            ask, total = [], []
             for key, (ids, q) in held.value.items():
                 at = np.array([i for i, (x, d) in enumerate(zip(label, dim.tolist())) if (x, d) == key], np.int64)
                 if len(at):
                     cos = _units(_matrix(batch.column(4).take(pa.array(at)))) @ _units(q).T
                     near = (cos >= threshold) & (node[at][:, None] != ids[None, :])
-                    total += int((near * copies[at][:, None]).sum())
-            yield pa.RecordBatch.from_arrays([pa.array([total])], ["n"])
+                    ask += ids.tolist()
+                    total += (near * copies[at][:, None]).sum(0).tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(ask, pa.int64()), pa.array(total, pa.int64())], ["node", "n"])
 
-    want = nodes.select(*GROUP, "node", "copies", "vector").mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
-    found = counts.filter(F.col("node").isin([r["node"] for r in picked])).agg(F.sum("links")).first()[0] or 0
-    return int(found), int(want)
+    want = nodes.select(*GROUP, "node", "copies", "vector").mapInArrow(run, "node long, n long").groupBy("node").agg(F.sum("n").alias("n")).filter("n > 0")
+    both = [(r["n"], min(r["n"], r["links"] or 0)) for r in want.join(counts, "node", "left").collect()]
+    if not both:
+        return 1.0, 1.0
+    return sum(h for _, h in both) / sum(w for w, _ in both), sum(h / w for w, h in both) / len(both)
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.98, beam: int = 24, slack: float = 0.15, min_recall: float = 0.99,
@@ -210,21 +257,20 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, beam: int = 24, sl
     """``vec_id, n_links, component_id, kept`` of every row."""
     rows, nodes = nodes_of(vectors)
     nodes = store(nodes, "nodes")
-    sizes = nodes.groupBy(*GROUP).agg(F.count("*").alias("n"))
-    sizes = store(sizes, "sizes")
-    centres = store(_centroids(nodes, sizes), "centres")
     for attempt in range(attempts):
-        member = store(_assign(nodes, sizes, centres, slack), "shards")
-        blocks = member.groupBy(*GROUP, "shard").agg(F.count("*").alias("size")).withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int"))
+        member = _shards(nodes, slack)
+        blocks = member.groupBy(*CELL).agg(F.count("*").alias("size")).withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int"))
         blocks = store(blocks, "blocks")
-        member = member.join(blocks.drop("size"), [*GROUP, "shard"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).drop("blocks")
+        member = member.join(blocks.drop("size"), CELL).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).drop("blocks")
         graph = store(_graphs(member), "graph")
         found = store(_search(member, graph, blocks, threshold, beam), "found")
         counts = store(found.filter("kind = 0").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("links")), "counts")
-        have, want = audit_recall(nodes, counts, threshold)
-        if have >= min_recall * want:
+        recall = audit_recall(nodes, counts, threshold)
+        if min(recall) >= min_recall:
             break
         beam, slack = 2 * beam, 2 * slack
+    else:
+        raise RuntimeError(f"recall {recall[0]:.4f} of pairs and {recall[1]:.4f} of nodes stays below {min_recall} after {attempts} attempts")
     labels = components(found.filter("kind = 1").select("a", "b")).withColumnRenamed("component", "_c")
     known = nodes.drop("vector").join(counts, "node", "left").join(labels, "node", "left").select(
         *GROUP, "d0", "d1", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("_c", "node").alias("_c"))
