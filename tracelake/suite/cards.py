@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tracelake.functions import text as tx
 from tracelake.functions.rules import DEFAULT_RULES
 from tracelake.operators import cards as op
+from tracelake.operators import digest
+from tracelake.session import materialize
 from tracelake.session import materialize
 from tracelake.suite.registry import (
     case, hits_text, hits_text_sql, q, rule_steps, table, turns, turns_cte,
@@ -211,6 +213,18 @@ def fingerprint(spark, sf):
     return op.fingerprint(turns(spark, sf))
 
 
+@case("fingerprint_grown", f"WITH {turns_cte()}, {FINGERPRINT_CTE} SELECT * FROM fp")
+def fingerprint_grown(spark, sf):
+    """Every session arrives in three parts, of which the later ones repeat the earlier; each part is hashed once."""
+    t = turns(spark, sf)
+    cut = t.groupBy("session_id").agg(F.max("turn_index").alias("_m"))
+    t = t.join(cut, "session_id")
+    state = digest.digest_state(t.filter("3 * turn_index <= _m"))
+    for part in ("3 * turn_index <= 2 * _m", "TRUE"):
+        state = materialize(digest.grown(materialize(state, "state"), t.filter(part)), "state")
+    return digest.fingerprint_of(state)
+
+
 @case("session_stats", f"""WITH {turns_cte()} SELECT session_id, count(*) AS turn_count,
   CAST(sum(length(content)) AS BIGINT) AS content_len FROM turns GROUP BY session_id""")
 def session_stats(spark, sf):

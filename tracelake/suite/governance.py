@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tracelake.operators import governance as op
+from tracelake.session import shared_dir
+from tracelake.sources import hashed
 from tracelake.suite.registry import case, q, table
 
 NOW = dt.datetime(1998, 6, 1)
@@ -90,6 +92,18 @@ def revoke_cascade(spark, sf):
     return op.revoke_cascade({"turn_rewards": rewards}, requests(spark, sf))["turn_rewards"]
 
 
+@case("revoke_stored", f"""WITH {REQ} SELECT concat('x', l_orderkey) AS experience_id, l_linenumber AS turn_index FROM lineitem
+ WHERE concat('x', l_orderkey) NOT IN (SELECT experience_id FROM req)""")
+def revoke_stored(spark, sf):
+    """The same on a stored table: only folders that hold a revoked key are written."""
+    rewards = table(spark, sf, "lineitem").select(F.concat(F.lit("x"), F.col("l_orderkey").cast("string")).alias("experience_id"),
+                                                  F.col("l_linenumber").alias("turn_index"))
+    path = shared_dir(spark, "rewards")
+    hashed.write_hashed(rewards, path, "experience_id")
+    hashed.remove_hashed(spark, path, requests(spark, sf), "experience_id")
+    return hashed.read_hashed(spark, path)
+
+
 PUB = """SELECT concat('x', CAST(page_id AS STRING)) AS experience_id, concat('o', CAST(page_id % 9 AS STRING)) AS owner,
  CASE WHEN page_id % 13 = 0 THEN 'revoked' ELSE 'auto_approved' END AS review_status, 'private' AS publish_status, url,
  concat(html, CASE page_id % 4 WHEN 0 THEN ' see file:///Users/ann/x.txt' WHEN 1 THEN ' on 192.168.0.7' ELSE '' END) AS body FROM {pages}"""

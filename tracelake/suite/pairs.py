@@ -9,6 +9,8 @@ from tracelake.operators import pairs as op
 from tracelake.operators import rewards as rw
 from tracelake.schema import REWARD_DIMS
 from tracelake.suite.cards import marker_sql, strip_sql
+from tracelake.session import shared_dir
+from tracelake.sources import hashed
 from tracelake.suite.registry import case, table, turns, turns_cte
 
 PAIRS_CTE = turns_cte() + f""",
@@ -229,17 +231,34 @@ def reward_summary(spark, sf):
     return rw.reward_summary(rw.validate_reward(replies(spark, sf))[0])
 
 
-@case("reward_upsert", f"""WITH {REWARDS_CTE}, both_sides AS (
+UPSERT_SQL = f"""WITH {REWARDS_CTE}, both_sides AS (
   SELECT experience_id, turn_index, judge_model, 1 AS arrival, outcome, confidence FROM rewards
   UNION ALL SELECT experience_id, turn_index, judge_model, 2, -outcome, confidence / 2 FROM rewards WHERE conv_id % 2 = 0)
- SELECT * FROM both_sides QUALIFY row_number() OVER (PARTITION BY experience_id, turn_index, judge_model ORDER BY arrival DESC) = 1""")
+ SELECT * FROM both_sides QUALIFY row_number() OVER (PARTITION BY experience_id, turn_index, judge_model ORDER BY arrival DESC) = 1"""
+
+
+@case("reward_upsert", UPSERT_SQL)
 def reward_upsert(spark, sf):
+    return rw.reward_upsert(*reward_rows(spark, sf))
+
+
+def reward_rows(spark, sf):
     r = rw.validate_reward(replies(spark, sf))[0]
     cols = ["experience_id", "turn_index", "judge_model"]
     old = r.select(*cols, F.lit(1).alias("arrival"), "outcome", "confidence")
     new = r.filter("conv_id % 2 = 0").select(*cols, F.lit(2).alias("arrival"), (-F.col("outcome")).alias("outcome"),
                                              (F.col("confidence") / 2).alias("confidence"))
-    return rw.reward_upsert(old, new)
+    return old, new
+
+
+@case("reward_upsert_stored", UPSERT_SQL)
+def reward_upsert_stored(spark, sf):
+    """The same on a stored table: only folders that hold a changed key are written."""
+    old, new = reward_rows(spark, sf)
+    path = shared_dir(spark, "rewards")
+    hashed.write_hashed(old, path, "experience_id")
+    hashed.upsert_hashed(spark, path, new, "experience_id", ["experience_id", "turn_index", "judge_model"])
+    return hashed.read_hashed(spark, path)
 
 
 @case("reward_join", f"""WITH {REWARDS_CTE}, e AS (SELECT DISTINCT session_id AS experience_id FROM turns)
