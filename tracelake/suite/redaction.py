@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tracelake.functions import redact as rd
+from tracelake.functions import rule_table
 from tracelake.functions.rules import (
-    DEFAULT_RULES, HIGH_CATEGORIES, custom_rule, employee_id_rule, internal_host_rule,
+    DEFAULT_RULES, HIGH_CATEGORIES, Rule, custom_rule, employee_id_rule, internal_host_rule,
 )
 from tracelake.operators import cards as cd
 from tracelake.operators import governance as gv
@@ -154,3 +155,22 @@ AUDIT_TEXT = ("concat(html, CASE page_id % 5 WHEN 0 THEN ' file:///Users/ann/x.t
 def strict_public_audit(spark, sf):
     p = table(spark, sf, "pages").select("page_id", "url", F.expr(AUDIT_TEXT).alias("html"))
     return gv.strict_public_audit(p, "page_id", ["url", "html"])
+
+
+ITEMS = 500 - len(DEFAULT_RULES)
+ITEM_RULES = tuple(Rule(f"item_{n}", rf"\bitem-{n}\b", f"<ITEM {n}>", "low", (f"item-{n}",)) for n in range(ITEMS))
+ITEM_TEXT = "concat(text, ' item-', CAST(doc_id % 600 AS STRING), ' kept')"
+
+
+@case("redact_rule_table", f"""WITH t AS (SELECT doc_id, {ITEM_TEXT} AS text FROM documents), {rule_steps('t', 'text', keep='doc_id')}
+ SELECT doc_id, CASE WHEN doc_id % 600 < {ITEMS} THEN regexp_replace(txt, ' item-(\\d+) kept$', ' <ITEM \\1> kept') ELSE txt END AS text,
+  concat_ws(',', nullif({hits_text_sql()}, ''), CASE WHEN doc_id % 600 < {ITEMS} THEN 'item_' || (doc_id % 600) || ':1' END) AS hits FROM r""")
+def redact_rule_table(spark, sf):
+    """Five hundred rules from a table, most of which most texts do not call for."""
+    rules = rule_table.rules_of(rule_table.rules_table(spark, DEFAULT_RULES + ITEM_RULES))
+    d = spread(table(spark, sf, "documents")).select("doc_id", F.expr(ITEM_TEXT).alias("text"))
+    out = rule_table.redact_by_table(d, "text", rules)
+    names = F.map_filter("redactions", lambda k, _: ~F.startswith(k, F.lit("item_")))
+    items = F.map_filter("redactions", lambda k, _: F.startswith(k, F.lit("item_")))
+    hits = F.concat_ws(",", F.nullif(hits_text(names), F.lit("")), F.nullif(hits_text(items), F.lit("")))
+    return out.select("doc_id", F.col("text_redacted").alias("text"), hits.alias("hits"))
