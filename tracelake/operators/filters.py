@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracelake.functions import text as tx
@@ -29,10 +29,14 @@ def interrupt_filter(turns: DataFrame) -> DataFrame:
     return turns.filter(~((F.col("role") == "user") & F.startswith("content", F.lit(INTERRUPT))))
 
 
+def artifact_flag() -> Column:
+    """Aggregate over a session's turns: whether its first user turn is a packed transcript of another session."""
+    return F.min_by(F.startswith(tx.lstrip(F.col("content")), F.lit(ARTIFACT)), F.when(F.col("role") == "user", F.col("turn_index")))
+
+
 def artifact_sessions(turns: DataFrame) -> DataFrame:
     """Sessions whose first user turn is a packed transcript of another session."""
-    first = turns.filter("role = 'user'").groupBy("session_id").agg(
-        F.min_by(F.startswith(tx.lstrip(F.col("content")), F.lit(ARTIFACT)), "turn_index").alias("a"))
+    first = turns.filter("role = 'user'").groupBy("session_id").agg(artifact_flag().alias("a"))
     return first.filter("a").select("session_id")
 
 
@@ -43,10 +47,11 @@ def artifact_filter(turns: DataFrame) -> DataFrame:
 def size_cap_filter(files: DataFrame, max_kb: int = 4096, floor_kb: int = 64,
                     size: str = "size_bytes") -> DataFrame:
     """Sessions up to the cap; a cap below the floor is raised to it, 0 switches it off."""
-    if max_kb == 0:
-        return files
-    cap = max(floor_kb, max_kb) * 1024
-    return files.filter(F.coalesce(F.col(size), F.lit(0)) <= cap)
+    return files if max_kb == 0 else files.filter(fits(max_kb, floor_kb, size))
+
+
+def fits(max_kb: int = 4096, floor_kb: int = 64, size: str = "size_bytes") -> Column:
+    return F.lit(True) if max_kb == 0 else F.coalesce(F.col(size), F.lit(0)) <= max(floor_kb, max_kb) * 1024
 
 
 def since_filter(files: DataFrame, since, mtime: str = "mtime") -> DataFrame:

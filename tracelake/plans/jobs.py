@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,28 +78,27 @@ def tick(turns: DataFrame, sessions: DataFrame, seen: DataFrame, policy: tuple |
     picks it up.
     """
     key = ["source", "session_id"]
-    unseen = dd.seen_id_antijoin(sessions, seen)
-    fits = unseen if max_kb is None else fl.size_cap_filter(unseen, max_kb)
-    has_turns = turns.select(*key).distinct()
-    whole = turns.withColumn("session_id", whole_id())
-    artifacts = fl.artifact_sessions(whole).select(F.col("session_id").alias("_whole"))
-    full = fits.join(has_turns, key).withColumn("_whole", whole_id())
-    ready = full.join(artifacts, "_whole", "left_anti").drop("_whole")
-    if policy is None:
-        gated = cs.no_policy_gate(ready)
-    else:
-        gated = cs.consent_gate(cs.consent_decide(ready, *policy, now))
-    passed = gated.filter("allow")
-    allowed = passed if max_per_source is None else gv.cap_per_source(passed, max_per_source)
-    steps = [(unseen, "skipped_seen"), (fits, "skipped_size"), (full, "skipped_empty"), (ready, "skipped_artifact"),
-             (passed, "skipped_consent"), (allowed, "skipped_cap")]
-    # a session got as far as the last step that still holds it
-    reached = reduce(DataFrame.unionByName, [s.select(*key, F.lit(i + 1).alias("_n")) for i, (s, _) in enumerate(steps)])
-    reached = reached.groupBy(*key).agg(F.max("_n").alias("_n"))
-    names = F.array(*[F.lit(name) for _, name in steps], F.lit("uploaded"))
-    outcomes = sessions.join(reached, key, "left").withColumn(
-        "status", F.element_at(names, F.coalesce("_n", F.lit(0)) + 1)).drop("_n")
-    return outcomes, turns.join(allowed.select(*key), key, "left_semi")
+    # one row per session with all that decides; a session's status is the first test it fails
+    own = fl.artifact_flag()
+    flags = turns.groupBy(*key).agg(F.lit(True).alias("_turns"), F.coalesce(own, F.lit(False)).alias("_artifact"))
+    rows = sessions.join(seen.select(*key).distinct().withColumn("_seen", F.lit(True)), key, "left").join(flags, key, "left")
+    too_big = F.lit(False) if max_kb is None else ~fl.fits(max_kb)
+    rows = rows.withColumn("_left", F.when(F.col("_seen"), "skipped_seen").when(too_big, "skipped_size").when(
+        F.col("_turns").isNull(), "skipped_empty").when(F.col("_artifact"), "skipped_artifact")).drop("_seen", "_turns", "_artifact")
+    gated = cs.no_policy_gate(rows) if policy is None else cs.consent_gate(cs.consent_decide(rows, *policy, now))
+    status = F.coalesce("_left", F.when(~F.col("allow"), "skipped_consent"), F.lit("uploaded"))
+    outcomes = gated.select(*sessions.columns, status.alias("status"))
+    if max_per_source is not None:
+        kept = gv.cap_per_source(outcomes.filter("status = 'uploaded'"), max_per_source).select(*key).withColumn("_kept", F.lit(True))
+        outcomes = outcomes.join(kept, key, "left").withColumn("status", F.when(
+            (F.col("status") == "uploaded") & F.col("_kept").isNull(), "skipped_cap").otherwise(F.col("status"))).select(*sessions.columns, "status")
+    return outcomes, allowed_turns(turns, outcomes)
+
+
+def allowed_turns(turns: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Turns of the sessions that a sync run lets through."""
+    key = ["source", "session_id"]
+    return turns.join(outcomes.filter("status = 'uploaded'").select(*key), key, "left_semi")
 
 
 def search(queries: DataFrame, experiences: DataFrame, log: DataFrame, now: dt.datetime,

@@ -13,7 +13,7 @@ from tracelake.functions.redact import redact
 from tracelake.functions.rules import DEFAULT_RULES, Rule
 from tracelake.operators import dedup as dd
 from tracelake.operators import governance as gv
-from tracelake.plans.jobs import push, tick
+from tracelake.plans.jobs import allowed_turns, push, tick
 from tracelake.sources.base import session_key
 from tracelake.sources.event_log import event_turns
 from tracelake.sources.ledger import PRINTS, lookup, write_ledger
@@ -67,12 +67,17 @@ def stream_sync(spark: SparkSession, path: str, out: str, checkpoint: str, agent
             F.coalesce(F.min_by(cwd, F.when(F.coalesce(cwd, F.lit("")) != "", F.struct("block", "seq"))), F.lit("")).alias("cwd"),
             F.max("size_bytes").alias("size_bytes")).select(
             F.lit(source).alias("source"), "session_id", F.lit(agent).alias("agent"), "cwd", F.lit("").alias("mtime"), "size_bytes")
-        turns = to_turns(lines).withColumn("source", F.lit(source))
+        # parsed once; kept as Spark keeps any table of a batch, not stored before it is redacted
+        turns = to_turns(lines).withColumn("source", F.lit(source)).persist()
         nothing = spark.createDataFrame([], "source string, session_id string")
-        outcomes, allowed = tick(turns, sessions, nothing, policy, now or dt.datetime.now(dt.timezone.utc), max_kb=max_kb)
+        outcomes, _ = tick(turns, sessions, nothing, policy, now or dt.datetime.now(dt.timezone.utc), max_kb=max_kb)
         name = batch_name(spark, batch_id)
-        outcomes.select("source", "session_id", "status").write.mode("overwrite").parquet(f"{out}/outcomes/batch={name}")
-        push(spark, allowed, out, agent_id, name, lambda prints: stored_ledger(spark, out, name, prints), rules)
+        try:
+            outcomes.select("source", "session_id", "status").write.mode("overwrite").parquet(f"{out}/outcomes/batch={name}")
+            allowed = allowed_turns(turns, spark.read.parquet(f"{out}/outcomes/batch={name}"))
+            push(spark, allowed, out, agent_id, name, lambda prints: stored_ledger(spark, out, name, prints), rules)
+        finally:
+            turns.unpersist()
 
     writer = stream_lines(spark, path, max_files, glob).writeStream.foreachBatch(sink).option(
         "checkpointLocation", checkpoint)
