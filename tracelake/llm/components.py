@@ -29,7 +29,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     state = _state(now)
     while state[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        hot = hot_keys(both, "u")   # a node has no more links in either join below
+        # a node has no more links in either join below
+        hot = hot_keys(both, "u", 2 * state[0])
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = meet(both.filter("v > u"), least, "u", hot).select(F.col("v").alias("u"), F.col("m").alias("v"))
         # every row has u > v here, so the small star's neighbours are the rows of u

@@ -171,11 +171,11 @@ def posterior_filter(left: np.ndarray, right: np.ndarray, bounds: list[tuple[int
     return alive, agree
 
 
-def _pruned(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+def _pruned(pairs: DataFrame, classes: DataFrame, threshold: float, bound: int) -> DataFrame:
     """``a, b, agree`` of the pairs that survive the sequential comparison."""
     bounds = least_matches(threshold)
     side = lambda c: classes.select(F.col("node").alias(c), F.col("n_shingles").alias(f"n{c}"), F.col("signature").alias(f"s{c}"))
-    joined = meet(pairs, side("a"), "a", hot_keys(pairs, "a")).join(side("b"), "b").select("a", "b", "na", "nb", "sa", "sb")
+    joined = meet(pairs, side("a"), "a", hot_keys(pairs, "a", bound)).join(side("b"), "b").select("a", "b", "na", "nb", "sa", "sb")
 
     def run(batches):
         for batch in batches:
@@ -206,12 +206,12 @@ def _sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     return rows.mapInArrow(run, "node long, shingles binary")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, threshold: float, bound: int) -> DataFrame:
     """Pairs whose full sets reach the threshold (compared in whole percents)."""
     percent = round(100 * threshold)
     side = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}"))
-    pairs = store(pairs.select("a", "b"), "pairs")
-    joined = meet(pairs, side("a"), "a", hot_keys(pairs, "a")).join(side("b"), "b").select("a", "b", "sa", "sb")
+    pairs = pairs.select("a", "b")
+    joined = meet(pairs, side("a"), "a", hot_keys(pairs, "a", bound)).join(side("b"), "b").select("a", "b", "sa", "sb")
 
     def run(batches):
         for batch in batches:
@@ -331,16 +331,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8) -
                                          F.col("_m.signature").alias("signature")), "classes")
     member = store(members(classes), "members")
     stars = member.filter("pivot <> node").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    stars = store(_pruned(store(stars, "pairs"), classes, threshold), "stars")
+    bound = member.count()   # of a stored table; no fewer than its star pairs
+    stars = store(_pruned(stars, classes, threshold, bound), "stars")
     nodes = member.select("node").distinct().join(classes.select("node", "d0"), "node")
     sets = store(_sets(docs, nodes, shingle), "sets")
 
     best = stars.groupBy("b").agg(F.max(F.struct("agree", "a")).alias("_m")).select(F.col("_m.a").alias("a"), "b")
-    links = store(_verified(best, sets, threshold), "verified")
+    links = store(_verified(best, sets, threshold, bound), "verified")
     labels = components(links)
     rest = _labelled(_labelled(stars.select("a", "b"), labels, "a", "la"), labels, "b", "lb").filter("la <> lb")
     rest = rest.join(best, ["a", "b"], "left_anti")
-    links = links.unionByName(store(_verified(rest, sets, threshold), "verified"))
+    links = links.unionByName(store(_verified(rest, sets, threshold, bound), "verified"))
     labels = components(links)
     last = store(_across(member, labels, classes, sets, threshold), "verified")
     if last.head(1):

@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SHARE = 500      # a key is hot from one part in so many on: there are fewer such keys than this
-LEAST = 1000     # rows below which no key is hot, and rows that one copy of the other side meets
+MOST = 500       # hot keys that are told apart: a key beyond them has less than one part in so many of the rows
+LEAST = 50_000   # rows that one task takes without harm: below it no key is hot, and one copy of the other side meets so many
 
 
-def hot_keys(rows: DataFrame, key: str) -> dict:
-    """Hot keys and their numbers of rows; fewer than ``SHARE``, whatever the table."""
-    counts = rows.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n"))
-    total = rows.count()
-    return {r["key"]: r["n"] for r in counts.filter((F.col("n") > max(LEAST, total // SHARE)) & F.col("key").isNotNull()).collect()}
+def hot_keys(rows: DataFrame, key: str, bound: int) -> dict:
+    """The ``MOST`` keys with most rows, of those with more than ``LEAST``, and their numbers of rows.
+
+    ``bound`` is what ``rows`` has at most; a table of a few times ``LEAST`` is not searched, as tasks take its keys.
+    """
+    if bound <= 20 * LEAST:
+        return {}
+    counts = rows.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n"))
+    return {r["key"]: r["n"] for r in counts.filter(F.col("n") > LEAST).orderBy(F.desc("n"), "key").limit(MOST).collect()}
 
 
 def meet(rows: DataFrame, table: DataFrame, key: str, hot: dict) -> DataFrame:
