@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tracelake.functions import text as tx
 from tracelake.operators.scan import CHUNK, running
+from tracelake.session import many_folders
 
 JSON = {"allowSingleQuotes": "false"}
 CALLS = "array<struct<id:string,name:string,input:string>>"
@@ -45,7 +46,8 @@ def _sized(files: DataFrame, max_kb: int | None) -> DataFrame:
 def read_lines(spark: SparkSession, path: str, glob: str | None = None,
                max_kb: int | None = None, since: str | None = None) -> DataFrame:
     """Text lines with file order. Size and time filters prune files before they are opened."""
-    files = _sized(_reader(spark, glob, since).text(path), max_kb)
+    with many_folders(spark):
+        files = _sized(_reader(spark, glob, since).text(path), max_kb)
     lines = files.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -61,7 +63,8 @@ def read_lines(spark: SparkSession, path: str, glob: str | None = None,
 def read_docs(spark: SparkSession, path: str, glob: str | None = None,
               max_kb: int | None = None, since: str | None = None) -> DataFrame:
     """Whole files: formats that are one JSON document or one markdown page per file."""
-    docs = _sized(_reader(spark, glob, since).text(path, wholetext=True), max_kb)
+    with many_folders(spark):
+        docs = _sized(_reader(spark, glob, since).text(path, wholetext=True), max_kb)
     return docs.select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw"),
         F.col("_metadata.file_modification_time").alias("mtime"),

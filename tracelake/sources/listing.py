@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracelake.session import many_folders
 from tracelake.sources.base import JSON
 
 HEAD_LINES = 5
@@ -52,7 +53,8 @@ def raw_manifest(spark: SparkSession, path: str, cap: int | None = None, glob: s
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(path)
+    with many_folders(spark):
+        files = reader.load(path)
     small = files if cap is None else files.filter(F.col("length") <= cap)
     small = small.select(
         "path", F.col("length").alias("raw_size_bytes"), F.sha2("content", 256).alias("raw_sha256"),

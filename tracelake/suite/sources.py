@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tracelake.functions import text as tx
 from tracelake.schema import THINKING_PREFIX
-from tracelake.session import shared_dir
+from tracelake.session import many_folders, shared_dir, write_folders
 from tracelake.sources import base, chat, event_log, listing, messages, rollout
 from tracelake.sources.registry import read_traces, register_reader
 from tracelake.suite.cards import CARD_SQL, CLEAN_SQL, FINGERPRINT_CTE, REAL_ASSISTANT, flat_sql, strip_sql
@@ -382,7 +382,7 @@ def raw_manifest(spark, sf):
     """Every page is a file of its own here."""
     path = shared_dir(spark, "raw")
     pages = table(spark, sf, "pages").select("page_id", F.col("html").alias("value"))
-    pages.write.partitionBy("page_id").text(path)
+    write_folders(pages, path, "page_id")
     found = listing.raw_manifest(spark, path, glob="*.txt")
     return found.select(F.regexp_extract("path", "page_id=([0-9]+)/", 1).cast("long").alias("page_id"), "raw_size_bytes", "raw_sha256", "raw_truncated")
 
