@@ -401,8 +401,7 @@ def union_sources(spark, sf):
     out = {}
     for name, lines in (("event_folders", event_lines(spark, sf)), ("role_folders", role_lines(spark, sf))):
         path = shared_dir(spark, name)
-        rows = lines.repartition("session_id").sortWithinPartitions("session_id", "block", "seq")
-        rows.select("session_id", F.col("raw").alias("value")).write.partitionBy("session_id").text(path)
+        write_folders(lines.withColumn("value", F.col("raw")), path, "session_id", order=("block", "seq"))
         out[name] = path
     # the writer names files itself, so here the folder is the session
     register_reader("event_folders", _by_folder(event_log.event_turns))
