@@ -279,8 +279,10 @@ def detect_shape(spark, sf):
 def read_any_chat(spark, sf):
     """Files of all shapes in one folder, through the reader; the folder of a file names its session."""
     inbox = shared_dir(spark, "chats")
-    any_docs(spark, sf).select("session_id", F.col("raw").alias("value")).repartition("session_id").write.partitionBy("session_id").text(inbox)
-    owner = spark.read.option("recursiveFileLookup", "true").text(inbox, wholetext=True).select(F.col("_metadata.file_path").alias("path")).select(
+    write_folders(any_docs(spark, sf).select("session_id", F.col("raw").alias("value")), inbox, "session_id")
+    with many_folders(spark):
+        files = spark.read.option("recursiveFileLookup", "true").text(inbox, wholetext=True)
+    owner = files.select(F.col("_metadata.file_path").alias("path")).select(
         base.session_key(F.col("path")).alias("file"), F.regexp_extract("path", "session_id=([^/]+)/", 1).alias("owner"))
     turns = messages.read_any_chat(spark, inbox).withColumnRenamed("session_id", "file").join(owner, "file")
     return turns.withColumnRenamed("owner", "session_id").select(*BASIC)
