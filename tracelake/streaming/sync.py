@@ -57,7 +57,8 @@ def stream_sync(spark: SparkSession, path: str, out: str, checkpoint: str, agent
     stored with its batch in ``outcomes``.
     Every table is written per batch into that batch's folder, so a repeated batch replaces
     its own rows. Content known from earlier batches is dropped by its fingerprint; a session
-    that has grown is a new row.
+    that has grown is a new row. The source lists its files while the query runs: where there are
+    very many, start and await it inside ``many_folders``.
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tracelake.operators import dedup as dd
 from tracelake.operators.consent import policy_tables
-from tracelake.session import materialize, shared_dir
+from tracelake.session import many_folders, materialize, shared_dir, write_folders
 from tracelake.sources import ledger
 from tracelake.streaming import activity, memory, sync
 from tracelake.suite.registry import BASE_SECOND, case, rule_steps, table
@@ -109,15 +109,15 @@ def deep_backfill_stream(spark, sf):
 def stream_sync(spark, sf):
     """Session files are written and ingested by the stream in several batches; one folder is closed to it."""
     src, out = shared_dir(spark, "inbox"), shared_dir(spark, "gold")
-    rows = event_lines(spark, sf).repartition("session_id").sortWithinPartitions("session_id", "block", "seq")
-    rows.withColumn("p", F.pmod(F.xxhash64("session_id"), F.lit(4))).select(
-        "p", "session_id", F.col("raw").alias("value")).write.partitionBy("p", "session_id").text(src)
+    rows = event_lines(spark, sf).withColumn("p", F.pmod(F.xxhash64("session_id"), F.lit(4)))
+    write_folders(rows.withColumn("value", F.col("raw")), src, "p", "session_id", order=("block", "seq"))
 
     # the writer names files itself, so here the folder is the session
     policy = policy_tables(spark, {"cwd_rules": [{"glob": "/w/3", "mode": "never"}], "mode": "always"})
     files = max(1, table(spark, sf, "conversations").select("conv_id").distinct().count() // 3)
-    sync.stream_sync(spark, src, out, shared_dir(spark, "sync-cp"), "a1", max_files=files, glob="*.txt", policy=policy,
-                     session=lambda path: F.regexp_extract(path, "session_id=([^/]+)/", 1)).awaitTermination()
+    with many_folders(spark):
+        sync.stream_sync(spark, src, out, shared_dir(spark, "sync-cp"), "a1", max_files=files, glob="*.txt", policy=policy,
+                         session=lambda path: F.regexp_extract(path, "session_id=([^/]+)/", 1)).awaitTermination()
     kept = spark.read.parquet(f"{out}/turns").groupBy(F.substring_index("session_id", "/", -1).alias("session_id")).agg(F.count(F.lit(1)).alias("n_turns"))
     return spark.read.parquet(f"{out}/outcomes").select("session_id", "status").join(kept, "session_id", "left")
 
