@@ -117,6 +117,43 @@ def test_links_count_at_both_ends_beside_a_dense_group(spark, monkeypatch):
     compare(spark, rows)
 
 
+def test_work_per_row_is_bounded_without_clusters(spark, monkeypatch):
+    """Noise is alike to all centroids; its rows still join few shards, and face few rows there, and no link is lost."""
+    for name, value in {"TARGET": 100, "BLOCK": 300, "QUERIES": 1000}.items():
+        monkeypatch.setattr(V, name, value)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(2800, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    turn = rng.normal(size=(400, 64))
+    turn -= (turn * x[:400]).sum(1, keepdims=True) * x[:400]
+    turn /= np.linalg.norm(turn, axis=1, keepdims=True)
+    near = 0.982 * x[:400] + np.sqrt(1 - 0.982 ** 2) * turn
+    rows = [(i, f32(v), 1) for i, v in enumerate(np.vstack([x, near]))]
+    seen, whole = [], V._search
+
+    def counted(member, graph, blocks, *a):
+        faced = member.filter("home").join(blocks, V.CELL).agg({"size": "sum"}).first()[0]
+        seen.append((member.count(), faced))
+        return whole(member, graph, blocks, *a)
+
+    monkeypatch.setattr(V, "_search", counted)
+    compare(spark, rows)
+    assert len(seen) == 1
+    assert seen[0][0] <= 4 * len(rows) and seen[0][1] <= 600 * len(rows)
+
+
+def test_searches_from_own_rows():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(900, 32))
+    x[500:] = x[:400] + 0.05 * rng.normal(size=(400, 32))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    sims = u @ u.T
+    at = np.arange(0, 900, 3)
+    found = range_search(x, robust_prune(sims, 24, 64, 1.2, 6), at, x[at], 0.98, 8, cells=1 << 16)
+    assert [h.tolist() for h, _ in found] == [np.flatnonzero(s >= 0.98).tolist() for s in sims[at]]
+    assert range_search(x, [np.zeros(0, np.int64)] * 900, at[:0], x[:0], 0.98, 8) == []
+
+
 def test_low_recall_of_nodes_is_an_error(spark, monkeypatch):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(60, 8))

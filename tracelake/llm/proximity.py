@@ -21,12 +21,12 @@ def robust_prune(sims: np.ndarray, degree: int, candidates: int, alpha: float, f
         return [np.zeros(0, np.int64)] * n
     own = np.arange(n)
     c = min(candidates, n - 1)
-    masked = sims.copy()
-    masked[own, own] = -np.inf
-    near = np.argpartition(-masked, c - 1, 1)[:, :c]
-    rank = np.argsort(-masked[own[:, None], near], 1, kind="stable")
+    apart = -sims
+    apart[own, own] = np.inf
+    near = np.argpartition(apart, c - 1, 1)[:, :c]
+    rank = np.argsort(apart[own[:, None], near], 1, kind="stable")
     near = near[own[:, None], rank]
-    gap = np.sqrt(np.maximum(2 - 2 * masked[own[:, None], near], 0))
+    gap = np.sqrt(np.maximum(2 + 2 * apart[own[:, None], near], 0))
     alive = np.ones((n, c), bool)
     source, target = [], []
     for _ in range(min(degree, c)):
@@ -76,52 +76,56 @@ def _reached(linked: list[np.ndarray], start: int) -> np.ndarray:
     return seen
 
 
-def range_search(x: np.ndarray, linked: list[np.ndarray], start: int, queries: np.ndarray, threshold: float,
+def range_search(x: np.ndarray, linked: list[np.ndarray], start: int | np.ndarray, queries: np.ndarray, threshold: float,
                  beam: int, cells: int = 1 << 19) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each query the rows with cosine at or above the threshold that the search meets, and their cosines.
 
-    Every round expands what is new among the ``beam`` best rows met and everything in range;
-    so the search grows with the number of rows in range. Vectors need not be of unit length.
+    ``start`` is the row to set out from, or one for each query: a query that is a row itself sets out from there,
+    among its neighbours, and does with a narrow beam. Every round expands what is new among the ``beam`` best rows met
+    and everything in range; so the search grows with the number of rows in range. Vectors need not be of unit length.
     """
     n = len(x)
     norm = np.sqrt((x * x).sum(1))
     degree = np.array([len(v) for v in linked])
     first = np.cumsum(degree) - degree
     flat = np.concatenate(linked) if n else np.zeros(0, np.int64)
+    starts = np.broadcast_to(start, len(queries))
     out = []
     step = max(1, cells // max(n, 1))
+    turn = np.zeros(min(step, len(queries)) * n, np.int64)
     for lo in range(0, len(queries), step):
         q = queries[lo:lo + step]
         q_norm = np.sqrt((q * q).sum(1))
         m = len(q)
         sims = np.full((m, n), -np.inf)
+        met = sims.reshape(-1)
         expanded = np.zeros((m, n), bool)
-        sims[:, start] = q @ x[start] / (q_norm * norm[start])
         active = np.arange(m)
-        while len(active):
+        a, b = active, starts[lo:lo + step]
+        while True:
+            for k in range(0, len(a), 1 << 15):
+                i, j = a[k:k + (1 << 15)], b[k:k + (1 << 15)]
+                sims[i, j] = np.einsum("ij,ij->i", q[i], x[j]) / (q_norm[i] * norm[j])
             s = sims[active]
-            want = (s >= threshold) & ~expanded[active]
+            want = s >= threshold
             top = np.argpartition(-s, min(beam, n) - 1, 1)[:, :min(beam, n)]
             r = np.arange(len(active))[:, None]
-            want[r, top] |= ~expanded[active][r, top] & np.isfinite(s[r, top])
+            want[r, top] |= np.isfinite(s[r, top])
+            want &= ~expanded[active]
             row, node = np.nonzero(want)
-            expanded[active[row], node] = True
-            active = active[np.unique(row)]
-            row = np.repeat(_rows(want)[row], degree[node])
-            place = np.repeat(first[node], degree[node]) + np.arange(len(row)) - np.repeat(np.cumsum(degree[node]) - degree[node], degree[node])
-            key = np.unique(active[row] * n + flat[place]) if len(row) else np.zeros(0, np.int64)
+            if not len(row):
+                break
+            row = active[row]
+            expanded[row, node] = True
+            active = np.unique(row)
+            count = degree[node]
+            place = np.repeat(first[node] - np.cumsum(count) + count, count) + np.arange(count.sum())
+            key = np.repeat(row * n, count) + flat[place]
+            key = key[np.isneginf(met[key])]
+            turn[key] = np.arange(len(key))
+            key = key[turn[key] == np.arange(len(key))]  # of equal ones the last
             a, b = key // n, key % n
-            new = np.isneginf(sims[a, b])
-            a, b = a[new], b[new]
-            for k in range(0, len(a), 1 << 15):
-                i, j = a[k:k + (1 << 15)], b[k:k + (1 << 15)]
-                sims[i, j] = np.einsum("ij,ij->i", q[i], x[j]) / (q_norm[i] * norm[j])
         for i in range(m):
             hit = np.flatnonzero(sims[i] >= threshold)
             out.append((hit, sims[i, hit]))
     return out
-
-
-def _rows(want: np.ndarray) -> np.ndarray:
-    """Number of each row among the rows that want anything."""
-    return np.cumsum(want.any(1)) - 1
