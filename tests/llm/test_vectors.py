@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -154,6 +156,37 @@ def test_searches_from_own_rows():
     assert range_search(x, [np.zeros(0, np.int64)] * 900, at[:0], x[:0], 0.98, 8) == []
 
 
+def test_a_dense_group_beside_others_is_not_repeated(spark, monkeypatch):
+    """Centroids inside a dense group are joined by all of it; cuts that only repeat the group end."""
+    for name, value in {"TARGET": 20, "BLOCK": 60, "SAMPLE": 200}.items():
+        monkeypatch.setattr(V, name, value)
+    rng = np.random.default_rng(6)
+    centre = rng.normal(size=32)
+    x = np.vstack([rng.normal(size=(2000, 32)), centre + 0.01 * rng.normal(size=(500, 32))])
+    whole = V.store
+
+    def counted(df, label):
+        out = whole(df, label)
+        assert label != "shards" or out.count() <= 12 * len(x)
+        return out
+
+    monkeypatch.setattr(V, "store", counted)
+    compare(spark, [(i, f32(v), 1) for i, v in enumerate(x)])
+
+
+def test_memory_of_a_search_in_a_dense_block():
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=32) + 0.01 * rng.normal(size=(1000, 32))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    graph, at = robust_prune(u @ u.T, 24, 64, 1.2, 6), np.arange(400)
+    tracemalloc.start()
+    found = range_search(x, graph, at, x[at], 0.98, 8)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all(len(h) == 1000 for h, _ in found)
+    assert peak < 64 << 20
+
+
 def test_low_recall_of_nodes_is_an_error(spark, monkeypatch):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(60, 8))

@@ -5,6 +5,8 @@ All functions work on the rows of one block (at most a few thousand) in one task
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 
@@ -78,11 +80,18 @@ def _reached(linked: list[np.ndarray], start: int) -> np.ndarray:
 
 def range_search(x: np.ndarray, linked: list[np.ndarray], start: int | np.ndarray, queries: np.ndarray, threshold: float,
                  beam: int, cells: int = 1 << 19) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each query the rows with cosine at or above the threshold that the search meets, and their cosines.
+    """For each query the rows with cosine at or above the threshold that the search meets, and their cosines."""
+    return list(range_searches(x, linked, start, queries, threshold, beam, cells))
+
+
+def range_searches(x: np.ndarray, linked: list[np.ndarray], start: int | np.ndarray, queries: np.ndarray, threshold: float,
+                   beam: int, cells: int = 1 << 19, edges: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``range_search`` query by query.
 
     ``start`` is the row to set out from, or one for each query: a query that is a row itself sets out from there,
     among its neighbours, and does with a narrow beam. Every round expands what is new among the ``beam`` best rows met
-    and everything in range; so the search grows with the number of rows in range. Vectors need not be of unit length.
+    and everything in range; so the search grows with the number of rows in range. Where that is most of a block, a
+    round has very many edges: they are followed about ``edges`` at a time. Vectors need not be of unit length.
     """
     n = len(x)
     norm = np.sqrt((x * x).sum(1))
@@ -90,7 +99,6 @@ def range_search(x: np.ndarray, linked: list[np.ndarray], start: int | np.ndarra
     first = np.cumsum(degree) - degree
     flat = np.concatenate(linked) if n else np.zeros(0, np.int64)
     starts = np.broadcast_to(start, len(queries))
-    out = []
     step = max(1, cells // max(n, 1))
     turn = np.zeros(min(step, len(queries)) * n, np.int64)
     for lo in range(0, len(queries), step):
@@ -101,11 +109,14 @@ def range_search(x: np.ndarray, linked: list[np.ndarray], start: int | np.ndarra
         met = sims.reshape(-1)
         expanded = np.zeros((m, n), bool)
         active = np.arange(m)
-        a, b = active, starts[lo:lo + step]
-        while True:
+
+        def meet(a: np.ndarray, b: np.ndarray) -> None:
             for k in range(0, len(a), 1 << 15):
                 i, j = a[k:k + (1 << 15)], b[k:k + (1 << 15)]
                 sims[i, j] = np.einsum("ij,ij->i", q[i], x[j]) / (q_norm[i] * norm[j])
+
+        meet(active, starts[lo:lo + step])
+        while True:
             s = sims[active]
             want = s >= threshold
             top = np.argpartition(-s, min(beam, n) - 1, 1)[:, :min(beam, n)]
@@ -118,14 +129,16 @@ def range_search(x: np.ndarray, linked: list[np.ndarray], start: int | np.ndarra
             row = active[row]
             expanded[row, node] = True
             active = np.unique(row)
-            count = degree[node]
-            place = np.repeat(first[node] - np.cumsum(count) + count, count) + np.arange(count.sum())
-            key = np.repeat(row * n, count) + flat[place]
-            key = key[np.isneginf(met[key])]
-            turn[key] = np.arange(len(key))
-            key = key[turn[key] == np.arange(len(key))]  # of equal ones the last
-            a, b = key // n, key % n
+            upto = np.cumsum(degree[node])
+            cuts = np.unique(np.searchsorted(upto, np.arange(edges, upto[-1], edges)))
+            for u, v in zip(np.append(0, cuts), np.append(cuts, len(row))):
+                count = degree[node[u:v]]
+                place = np.repeat(first[node[u:v]] - np.cumsum(count) + count, count) + np.arange(count.sum())
+                key = np.repeat(row[u:v] * n, count) + flat[place]
+                key = key[np.isneginf(met[key])]
+                turn[key] = np.arange(len(key))
+                key = key[turn[key] == np.arange(len(key))]  # of equal ones the last
+                meet(key // n, key % n)
         for i in range(m):
             hit = np.flatnonzero(sims[i] >= threshold)
-            out.append((hit, sims[i, hit]))
-    return out
+            yield hit, sims[i, hit]

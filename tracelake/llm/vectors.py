@@ -7,7 +7,8 @@
    ``JOINED`` shards on average. Vectors without clusters are alike to all centroids, and with the whole slack
    would join a share of all shards, so that work would grow with the square of a label. Shards that are still
    larger are cut again, fitted on a sample of their own, so shards stay small whatever the size of a label.
-   A dense group, whose nodes would join most shards, stays whole.
+   A shard of which a cut would put more than half into one part, as most of it is a dense group whose nodes
+   join the same parts, stays whole; so every cut halves a shard at least.
 2. Each shard, cut into blocks of at most about ``BLOCK`` nodes by hash, gets a robust-pruned graph.
    Adjacency lists of a node from all its shards are united.
 3. Every node searches all blocks of its home shard: its own one from itself, others from their medoids. The
@@ -28,6 +29,8 @@ repeated rows count each other; an empty table gives no rows; other columns are
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
 from tracelake.llm.components import components
-from tracelake.llm.proximity import range_search, robust_prune
+from tracelake.llm.proximity import range_searches, robust_prune
 from tracelake.llm.stored import store
 
 SAMPLE = 4096
@@ -74,6 +77,14 @@ def nodes_of(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, found.select(*GROUP, "d0", "d1", F.col("_m.vec_id").alias("node"), "copies", F.col("_m.vector").alias("vector"))
 
 
+def _joins(cos: np.ndarray, slack: float) -> np.ndarray:
+    """Which shards each row joins, by its cosines with their centroids: the two nearest, and all within ``slack`` of the nearest."""
+    joins = cos >= cos.max(1, keepdims=True) - slack
+    if cos.shape[1] > 1:
+        joins[np.arange(len(cos))[:, None], np.argpartition(-cos, 1, 1)[:, :2]] = True
+    return joins
+
+
 def _centroids(nodes: DataFrame, sizes: DataFrame, slack: float, least: float, rounds: int = 6) -> DataFrame:
     """Unit centroids per shard that is to be cut, and the slack there: spherical k-means on a hash sample. One centroid: it stays whole."""
     share = F.lit(float(SAMPLE)) / F.col("n")
@@ -101,9 +112,10 @@ def _centroids(nodes: DataFrame, sizes: DataFrame, slack: float, least: float, r
             cos = y @ centre.T
             # two shards are joined in any case; the others' gaps to the nearest centroid, the least first
             gap = np.sort(np.sort(cos.max(1, keepdims=True) - cos, 1)[:, 2:], None)
-            more = int((min(JOINED, k / 2) - 2) * len(y))  # a cut halves a shard at least
+            more = int((min(JOINED, k / 2) - 2) * len(y))
             wide = min(slack, gap[more] * (1 - 1e-9)) if 0 <= more < len(gap) else slack if more >= 0 else -1.0
-            if wide >= least:
+            # rows of a dense group join the same shards: where one would hold most rows, cuts would repeat them without end
+            if wide >= least and _joins(cos, wide).mean(0).max() <= 0.5:
                 break
             k = k // 2 if k > 4 else 1
         key = {c: pa.array([group[c][0].as_py()] * k, t) for c, t in (("label", pa.string()), ("dim", pa.int32()), ("shard", pa.int64()))}
@@ -130,10 +142,7 @@ def _assign(nodes: DataFrame, sizes: DataFrame, centres: DataFrame) -> DataFrame
         else:
             cos = _units(_matrix(own["vector"])) @ (_matrix(told["centre"]).T if count else np.zeros((len(own["vector"][0]), 1)))
             best = cos.argmax(1)
-            joins = cos >= cos.max(1, keepdims=True) - (told["slack"][0].as_py() if count else 0.0)
-            if cos.shape[1] > 1:
-                joins[np.arange(len(cos))[:, None], np.argpartition(-cos, 1, 1)[:, :2]] = True
-            node, at = np.nonzero(joins)
+            node, at = np.nonzero(_joins(cos, told["slack"][0].as_py() if count else 0.0))
             home = (best[node] == at) & own["home"].to_numpy(zero_copy_only=False)[node]
             child = told["child"].to_numpy()[at] if count else at
         take = own.take(pa.array(node))
@@ -207,9 +216,9 @@ def _search(member: DataFrame, graph: DataFrame, blocks: DataFrame, threshold: f
             u = _units(x)
             start = int((u @ u.sum(0)).argmax())
             local = np.flatnonzero(own["asks"].to_numpy(zero_copy_only=False))
-            results = range_search(x, linked, local, x[local], threshold, max(1, beam // LOCAL))
+            results = range_searches(x, linked, local, x[local], threshold, max(1, beam // LOCAL))
             if ask.num_rows:
-                results += range_search(x, linked, start, _matrix(ask["vector"]), threshold, beam)
+                results = chain(results, range_searches(x, linked, start, _matrix(ask["vector"]), threshold, beam))
             asked = np.concatenate([node[local], ask["node"].to_numpy()])
             ids = np.unique(np.concatenate([node, asked]))
             tree, mine = np.arange(len(ids)), np.searchsorted(ids, node)
