@@ -38,6 +38,14 @@ def test_lookup_is_the_same_by_values_and_by_join(spark, tmp_path):
     assert sessions(lg.lookup(spark, out, None, asked.limit(0))) == []
 
 
+def test_as_many_values_as_are_pushed(spark, tmp_path):
+    """The reader's filter of the most values that go along is not so deep that a task's stack overflows."""
+    out = str(tmp_path)
+    lg.write_ledger(prints(spark, range(3000)), out, "b0")
+    asked = prints(spark, range(2500, 2500 + lg.LOOKUPS))
+    assert sessions(lg.lookup(spark, out, "now", asked)) == [f"s{n}" for n in range(2500, 3000)]
+
+
 def test_a_repeated_batch_leaves_one_copy(spark, tmp_path):
     out = str(tmp_path)
     for numbers in (range(40), range(20, 50)):
